@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("cluster_links",)
+MODULES = ("cluster_links", "drift")
 
 QUERIES: dict = {}
 SQL: dict = {}
