@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("cluster_links", "drift")
+MODULES = ("cluster_links", "drift", "packing", "chunking", "mixing")
 
 QUERIES: dict = {}
 SQL: dict = {}
