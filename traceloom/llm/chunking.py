@@ -30,7 +30,6 @@ from traceloom.session import table
 WINDOW, LEAST, REACH = 16, 0.25, 0.25
 PARAGRAPH = re.compile(r"(?:\r\n|\r|\n)[ \t]*(?:\r\n|\r|\n)+")
 SENTENCE = re.compile(r"[.!?][\"')\]]*\s+|[。！？]|\r\n|[\r\n]|</\w+>")
-WORD = re.compile(r"\s+|[,;|>]")
 
 
 def _landmarks(ids: np.ndarray, spacing: int) -> np.ndarray:
@@ -48,42 +47,72 @@ def _landmarks(ids: np.ndarray, spacing: int) -> np.ndarray:
     return np.flatnonzero((rolling & mask) == 0) + 1
 
 
-def _boundary_tokens(text: str, starts: np.ndarray, char_of: np.ndarray) -> list[np.ndarray]:
+def _own_size(enc, clean: str, char_of: np.ndarray, safe: np.ndarray, a: int, b: int) -> int:
+    """Tokens of the piece from token a to b when it is tokenized by itself.
+
+    A token of a blank and a word is always split off from what stands before it,
+    so only the stretches outside the first and the last such token can differ
+    from the text's own tokens; those are tokenized again.
+    """
+    i = np.searchsorted(safe, a)
+    j = np.searchsorted(safe, b) - 1
+    if i >= len(safe) or j <= i:
+        return len(enc.encode_ordinary(clean[char_of[a]:char_of[b]]))
+    first, last = int(safe[i]), int(safe[j])
+    head = len(enc.encode_ordinary(clean[char_of[a]:char_of[first]])) if first > a else 0
+    return head + (last - first) + len(enc.encode_ordinary(clean[char_of[last]:char_of[b]]))
+
+
+def _boundary_tokens(text: str, ids: np.ndarray, starts: np.ndarray, char_of: np.ndarray, safe: np.ndarray, closes: np.ndarray) -> list[np.ndarray]:
     """Token positions of the natural boundaries, by class, strongest first.
 
     A position counts if a token begins there, or if only blanks lie between.
+    Words begin at tokens with a blank in front and end after a separator.
     """
     out = []
-    for pattern in (PARAGRAPH, SENTENCE, WORD):
-        ends = np.fromiter((m.end() for m in pattern.finditer(text)), dtype=np.int64)
+    for pattern in (PARAGRAPH, SENTENCE):
+        ends = np.array([m.end() for m in pattern.finditer(text)], dtype=np.int64)
         at = np.searchsorted(char_of, ends, side="left")
         # Blanks before a word belong to its token: then the cut is one token earlier.
-        at = np.where((at < len(char_of)) & (char_of[np.minimum(at, len(char_of) - 1)] != ends), at - 1, at)
+        at = np.where(char_of[np.minimum(at, len(char_of) - 1)] != ends, at - 1, at)
         out.append(np.unique(at[(at > 0) & (at < len(char_of))]))
+    out.append(np.union1d(safe[safe > 0], np.flatnonzero(closes[ids[:-1]]) + 1))
     return [b[starts[b]] for b in out]
 
 
 def cut_text(text: str, max_tokens: int, overlap: int, path: str = TOKENIZER) -> list[tuple]:
     """Pieces (char_start, own_start, char_end, n_tokens, boundary) of a text above the limit."""
-    enc, lengths = encoder(path)
+    return cut_text_for(text, [(max_tokens, overlap)], path)[0]
+
+
+def cut_text_for(text: str, limits: list[tuple[int, int]], path: str = TOKENIZER) -> list[list[tuple]]:
+    """The pieces for each (max_tokens, overlap); the text is tokenized once for all."""
+    enc, lengths, worded, closes = encoder(path)
     clean = text.encode("utf-8", "replace").decode("utf-8")
     ids = np.array(enc.encode_ordinary(clean), dtype=np.int64)
     n = len(ids)
-    if n <= max_tokens:
-        return []
-    if not 0 <= overlap < max_tokens:
+    if any(not 0 <= overlap < most for most, overlap in limits):
         raise ValueError("the overlap must be less than the limit")
+    if all(n <= most for most, _ in limits):
+        return [[] for _ in limits]
     byte_of = np.concatenate([[0], np.cumsum(lengths[ids])])
     raw = np.frombuffer(clean.encode("utf-8"), dtype=np.uint8)
     begins = np.append((raw & 0xC0) != 0x80, True)
     char_at = np.concatenate([[0], np.cumsum(begins[:-1])])
     whole = begins[byte_of]  # tokens that begin with a character, not within one
     char_of = char_at[byte_of]
-    classes = _boundary_tokens(clean, whole, char_of)
-    most = max_tokens - overlap
+    safe = np.flatnonzero(worded[ids])
+    classes = _boundary_tokens(clean, ids, whole, char_of, safe, closes)
+    return [
+        _pieces(enc, clean, ids, whole, char_of, classes, safe, most, overlap) if n > most else [] for most, overlap in limits
+    ]
+
+
+def _pieces(enc, clean, ids, whole, char_of, classes, safe, max_tokens: int, overlap: int) -> list[tuple]:
+    n, most = len(ids), max_tokens - overlap
     least, reach = max(1, int(most * LEAST)), max(1, int(most * REACH))
     marks = _landmarks(ids, max(2, (most - least) // 4))
-    pieces, own, guard = [], 0, 0
+    pieces, own = [], 0
     while own < n:
         back = own - overlap if own else 0
         while back > 0 and not whole[back]:
@@ -95,8 +124,7 @@ def cut_text(text: str, max_tokens: int, overlap: int, path: str = TOKENIZER) ->
             end, kind = _choose(own + least, top, reach, marks, classes, whole)
         # Tokenized by itself a piece may come out longer by a token or two.
         while True:
-            piece = clean[char_of[back]:char_of[end]]
-            size = len(enc.encode_ordinary(piece))
+            size = _own_size(enc, clean, char_of, safe, back, end)
             if size <= max_tokens or end <= own + 1:
                 break
             end, kind = _choose(min(own + least, end - 1), end - (size - max_tokens), reach, marks[:0], classes, whole)
@@ -105,7 +133,7 @@ def cut_text(text: str, max_tokens: int, overlap: int, path: str = TOKENIZER) ->
                 while end < n and not whole[end]:
                     end += 1
         pieces.append((int(char_of[back]), int(char_of[own]), int(char_of[end]), size, kind))
-        own, guard = end, guard + 1
+        own = end
     return pieces
 
 
@@ -134,6 +162,7 @@ PIECES = (
 def cut_documents(docs: DataFrame, key: str, text: str, jobs: list[tuple[str, int, int]], path: str = TOKENIZER) -> DataFrame:
     """The pieces of every text above a job's limit, for jobs (name, max_tokens, overlap)."""
     names = [c.split()[0] for c in PIECES.split(", ")]
+    smallest = min((limit for _, limit, _ in jobs), default=0)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -142,10 +171,10 @@ def cut_documents(docs: DataFrame, key: str, text: str, jobs: list[tuple[str, in
                 for doc, t in zip(batch["key"].iloc[lo:lo + 200], batch["text"].iloc[lo:lo + 200]):
                     if not isinstance(t, str) or not t:
                         continue
-                    for job, limit, overlap in jobs:
-                        if len(t.encode("utf-8", "replace")) > limit:  # a token has a byte at least
-                            for i, (a, o, e, size, kind) in enumerate(cut_text(t, limit, overlap, path)):
-                                rows.append((job, doc, i + 1, a, o, e, size, kind, t[a:e]))
+                    if 4 * len(t) <= smallest:  # a character has four bytes at most, a token one at least
+                        continue
+                    for (job, _, _), pieces in zip(jobs, cut_text_for(t, [(m, o) for _, m, o in jobs], path)):
+                        rows += [(job, doc, i + 1, a, o, e, size, kind, t[a:e]) for i, (a, o, e, size, kind) in enumerate(pieces)]
                 yield pd.DataFrame(rows, columns=names)
 
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").alias("text"))

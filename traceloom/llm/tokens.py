@@ -23,15 +23,19 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 
 @lru_cache(maxsize=2)
 def encoder(path: str = TOKENIZER):
-    """The tokenizer of this process and the byte length of each of its tokens."""
+    """The tokenizer of this process; of each token its byte length, whether it is a
+    blank and a word, and whether it ends with a blank or a separator."""
     import tiktoken
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     lengths = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
+    worded, closes = np.zeros(len(lengths), dtype=bool), np.zeros(len(lengths), dtype=bool)
     for token, rank in ranks.items():
         lengths[rank] = len(token)
-    return tiktoken.Encoding("byte_bpe_50k", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), lengths
+        worded[rank] = token[:1] == b" " and token[1:2].isalpha()
+        closes[rank] = token[-1:] in b" \t\r\n,;|>"
+    return tiktoken.Encoding("byte_bpe_50k", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), lengths, worded, closes
 
 
 def encode(text: str, path: str = TOKENIZER) -> list[int]:
