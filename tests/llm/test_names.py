@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from traceloom.llm.metric_join import radius_pairs
-from traceloom.llm.name_variants import drop_chance_links, names_agree, people_of, variant_links
+from traceloom.llm.name_variants import names_agree, people_of, variant_links
 from traceloom.llm.people import birth_date, birth_parts, mailbox, name_tokens, phone
 
 
@@ -63,11 +63,11 @@ def test_links_and_people(spark):
         ("K5", ["bob", "stone"], "19900101", ["ann1"], None), ("K6", ["lark"], "19900101", ["ann1"], None), ("K7", [], None, [], None),
     ]
     df = spark.createDataFrame(rows, "key string, tokens array<string>, dob string, mails array<string>, tel string")
-    links = drop_chance_links(variant_links(df), df)
+    links = variant_links(df)
     people = people_of(links).collect()
     by = {}
     for r in people:
         by.setdefault(r.person, set()).add(r.key)
     assert list(by.values()) == [{"K1", "K2", "K3"}]
     empty = df.limit(0)
-    assert people_of(drop_chance_links(variant_links(empty), empty)).count() == 0
+    assert people_of(variant_links(empty)).count() == 0

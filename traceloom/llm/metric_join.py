@@ -7,44 +7,67 @@ just those strings to q loses no pair. Inside a cell, home strings are compared
 with all strings of the cell. Blocks up to ``cell`` strings are one cell.
 
 Defined results: nulls take no part; equal strings of a block are one string and
-pair with nothing; each pair comes once, the lesser string first.
+pair with nothing, unless what is kept beside them differs; each pair comes once,
+the lesser side first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from traceloom.session import cut
-
 #: Strings of a block up to which it is one cell; most pivots of a block.
 CELL, PIVOTS = 256, 96
 
 
-def radius_pairs(objects: DataFrame, block: str, text: str, radius: int, cell: int = CELL, pivots: int = PIVOTS) -> DataFrame:
-    """(block, a, b, d): strings of one block at an edit distance of at most ``radius``."""
-    items = cut(objects.select(F.col(block).alias("block"), F.col(text).alias("x")).where("block IS NOT NULL AND x IS NOT NULL").distinct())
-    sizes = items.groupBy("block").agg(F.count("*").alias("n")).where("n > 1")
-    small, large = sizes.where(F.col("n") <= cell).select("block"), sizes.where(F.col("n") > cell)
-    cells = items.join(small, "block").select("block", F.lit(0).alias("q"), "x", F.lit(True).alias("home"))
-    if not large.isEmpty():
-        # Pivots are the strings of least hash: a bounded number for each large block.
-        few = F.least(F.lit(pivots), F.ceil(F.col("n") / cell)).cast("int")
-        ranked = items.join(large, "block").withColumn("h", F.xxhash64("x"))
-        share = F.lit(4.0) * few / F.col("n")
-        near = ranked.where(F.pmod("h", F.lit(1 << 30)) < F.greatest(share * (1 << 30), F.lit(64.0 * (1 << 30)) / F.col("n")))
-        chosen = near.groupBy("block", few.alias("k")).agg(F.sort_array(F.collect_list(F.struct("h", "x"))).alias("p"))
-        chosen = chosen.select("block", F.transform(F.slice("p", 1, F.greatest("k", F.lit(1))), lambda s: s["x"]).alias("p"))
-        far = items.join(chosen, "block").withColumn("d", F.transform("p", lambda p: F.levenshtein(F.col("x"), p)))
-        far = far.withColumn("least", F.array_min("d")).withColumn("own", F.array_position("d", F.col("least")).cast("int") - 1)
-        spread = far.select(
-            "block", "x", "least", "own", F.posexplode("d").alias("q", "dq")
-        ).where(F.col("dq") <= F.col("least") + 2 * radius)
-        cells = cells.unionByName(spread.select("block", F.col("q").cast("int").alias("q"), "x", (F.col("q") == F.col("own")).alias("home")))
-        cells = cut(cells)
-    homes = cells.where("home").select("block", "q", F.col("x").alias("h"), F.length("x").alias("hl"))
-    guests = cells.select("block", "q", F.col("x").alias("g"), F.length("x").alias("gl"))
-    # An edit distance of r changes the length by r at most: cheap to test first.
-    pairs = homes.join(guests, ["block", "q"]).where((F.abs(F.col("hl") - F.col("gl")) <= radius) & (F.col("h") != F.col("g")))
-    pairs = pairs.withColumn("d", F.levenshtein("h", "g", radius)).where("d >= 0")
-    return pairs.select("block", F.least("h", "g").alias("a"), F.greatest("h", "g").alias("b"), "d").distinct()
+def radius_pairs(
+    objects: DataFrame, block: str, text: Column | str, radius: int, keep: tuple[str, ...] = (), cell: int = CELL, pivots: int = PIVOTS
+) -> DataFrame:
+    """(block, a, b, d, *keep_a, *keep_b): strings of one block within ``radius``.
+
+    ``keep`` names columns carried along with each side; rows that differ in them
+    are compared each. ``text`` may be an expression over the columns that travel,
+    so that a long string need not be shuffled beside what it is derived from.
+    Everything before the pivots reads one exchange by block.
+    """
+    x = F.col(text) if isinstance(text, str) else text
+    source = [F.col(c) for c in objects.columns if c not in (block, *keep)]
+    items = objects.select(F.col(block).alias("block"), *source, *keep).where("block IS NOT NULL").repartition("block").distinct()
+    items = items.select("block", x.alias("x"), *keep).where("x IS NOT NULL")
+    sizes = items.groupBy("block").agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).where("n > 1")
+    small, large = sizes.where(F.col("n") <= cell).select("block"), sizes.where(F.col("n") > cell).select("block", "n")
+    left = lambda df, *on: df.select(*on, F.col("x").alias("h"), *[F.col(c).alias(f"{c}_h") for c in keep])
+    right = lambda df, *on: df.select(*on, F.col("x").alias("g"), *[F.col(c).alias(f"{c}_g") for c in keep])
+    inside = items.join(small, "block")
+    pairs = [left(inside, "block").join(right(items, "block"), "block").where(_ordered("h", "g", keep))]
+
+    # Pivots are the strings of least hash: a bounded number for each large block.
+    few = F.least(F.lit(pivots), F.ceil(F.col("n") / cell)).cast("int")
+    part = F.pmod(F.xxhash64("x"), F.lit(1 << 30)) / float(1 << 30)
+    near = items.join(large, "block").where(part < F.greatest(F.lit(4.0) * few, F.lit(64.0)) / F.col("n"))
+    chosen = near.groupBy("block", few.alias("k")).agg(F.sort_array(F.collect_set(F.struct(F.xxhash64("x").alias("h"), "x"))).alias("p"))
+    chosen = chosen.select("block", F.transform(F.slice("p", 1, F.greatest("k", F.lit(1))), lambda s: s["x"]).alias("p"))
+    far = items.join(large.select("block"), "block").join(chosen, "block").withColumn("d", F.transform("p", lambda p: F.levenshtein(F.col("x"), p)))
+    far = far.withColumn("least", F.array_min("d")).withColumn("own", F.array_position("d", F.col("least")).cast("int") - 1)
+    cells = far.select("block", "x", *keep, "least", "own", F.posexplode("d").alias("q", "dq")).where(F.col("dq") <= F.col("least") + 2 * radius)
+    cells = cells.select("block", "q", "x", *keep, (F.col("q") == F.col("own")).alias("home"))
+    # A pair whose homes differ meets in both cells: the lesser home keeps it.
+    cells = cells.repartition("block", "q")
+    met = left(cells.where("home"), "block", "q").join(right(cells, "block", "q"), ["block", "q"]).drop("q")
+    pairs.append(met)
+    out = []
+    for p, crossing in zip(pairs, (False, True)):
+        # An edit distance of r changes the length by r at most: cheap to test first.
+        p = p.where((F.abs(F.length("h") - F.length("g")) <= radius) & ((F.col("h") != F.col("g")) if not keep else F.lit(True)))
+        p = p.withColumn("d", F.levenshtein("h", "g", radius)).where("d >= 0")
+        turned = _ordered("h", "g", keep)
+        sides = [F.when(turned, F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in (
+            ("h", "g", "a"), ("g", "h", "b"), *[pair for c in keep for pair in ((f"{c}_h", f"{c}_g", f"{c}_a"), (f"{c}_g", f"{c}_h", f"{c}_b"))])]
+        p = p.select("block", *sides, "d")
+        out.append(p.distinct() if crossing else p)
+    return out[0].unionByName(out[1])
+
+
+def _ordered(h: str, g: str, keep: tuple[str, ...]) -> Column:
+    """A total order of the two sides, by the string and what travels with it."""
+    return F.struct(h, *[f"{c}_h" for c in keep]) < F.struct(g, *[f"{c}_g" for c in keep])

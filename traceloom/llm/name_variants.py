@@ -3,8 +3,8 @@
 A typed name becomes tokens; each ordered pair of tokens gives one object: the
 initial of the one and the whole of the other, so turned parts, short forms and
 initials still share an object. The space of objects has a discrete part (a
-piece of evidence that two rows of one person share: birth date, mailbox or
-telephone number, and the initial) and the edit distance of the whole token.
+piece of evidence that two rows of one person share, birth date or mailbox, and
+the initial) and the edit distance of the whole token.
 Metric partitioning finds all objects within the radius; an exact check aligns
 the two names token by token. Links are consolidated into people.
 
@@ -51,57 +51,37 @@ def names_agree(a: Column, b: Column) -> Column:
 
 
 def evidence(rows: DataFrame) -> DataFrame:
-    """(key, tokens, proof): one row per key, name and piece of evidence."""
+    """(proof, name, key): one row per key, name and piece of evidence.
+
+    Names travel as one text, evidence as 64 bits: both are shuffled more than once.
+    """
     proofs = F.array_compact(F.concat(
-        F.array(F.concat(F.lit("d"), F.col("dob")), F.concat(F.lit("p"), F.col("tel"))),
-        F.transform("mails", lambda m: F.when(F.length(m) >= 4, F.concat(F.lit("m"), m))),
+        F.array(F.concat(F.lit("d"), F.col("dob"))), F.transform("mails", lambda m: F.when(F.length(m) >= 4, F.concat(F.lit("m"), m))),
     ))
-    return rows.where(F.size("tokens") >= 2).select("key", "tokens", F.explode(proofs).alias("proof")).distinct()
+    named = rows.where(F.size("tokens") >= 2).select("key", F.array_join("tokens", " ").alias("name"), F.explode(proofs).alias("proof"))
+    return named.select(F.xxhash64("proof").alias("proof"), "name", "key").distinct()
 
 
 def variant_links(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(key_a, key_b, proof, d): keys with variant spellings and a common proof."""
-    known = cut(evidence(rows))
-    # Several keys must share a proof before their names need comparing.
-    shared = known.groupBy("proof").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi").select("proof")
-    known = cut(known.join(shared, "proof"))
-    names = known.select("proof", "tokens").distinct()
-    objects = names.select(
-        "proof", "tokens",
-        F.explode(F.flatten(F.flatten(F.transform("tokens", lambda i: F.transform(
-            F.filter("tokens", lambda j: (i != j) & (F.length(j) >= 3)),
-            lambda j: F.transform(initials_of(i), lambda c: F.struct(c.alias("i"), j.alias("x")))))))).alias("o"),
-    ).select(F.concat_ws(" ", "proof", "o.i").alias("block"), F.col("o.x").alias("x"), "proof", "tokens").distinct()
-    objects = cut(objects)
-    near = radius_pairs(objects, "block", "x", radius)
-    left = objects.select("block", F.col("x").alias("a"), "proof", F.col("tokens").alias("ta"))
-    right = objects.select("block", F.col("x").alias("b"), F.col("tokens").alias("tb"))
-    # Names that share an object exactly are linked through one of them, not pair by pair.
-    first = objects.groupBy("block", "x").agg(F.min("tokens").alias("tb"))
-    same = objects.join(first, ["block", "x"]).where("tokens <> tb").select("proof", F.col("tokens").alias("ta"), "tb", F.lit(0).alias("d"))
-    apart = near.join(left, ["block", "a"]).join(right, ["block", "b"]).select("proof", "ta", "tb", "d")
-    alike = same.unionByName(apart).where(names_agree(F.col("ta"), F.col("tb"))).groupBy("proof", "ta", "tb").agg(F.min("d").alias("d"))
-    holders = known.groupBy("proof", "tokens").agg(F.min("key").alias("key"))
-    edges = alike.join(holders.select("proof", F.col("tokens").alias("ta"), F.col("key").alias("key_a")), ["proof", "ta"]).join(
-        holders.select("proof", F.col("tokens").alias("tb"), F.col("key").alias("key_b")), ["proof", "tb"]
-    ).where("key_a <> key_b").select("key_a", "key_b", "proof", "d")
-    one = known.join(holders.withColumnRenamed("key", "key_b"), ["proof", "tokens"]).where("key <> key_b").select(
-        F.col("key").alias("key_a"), "key_b", "proof", F.lit(0).alias("d")
-    )
-    return edges.unionByName(one)
+    """(key_a, key_b): keys with variant spellings of one name and a common proof.
 
-
-def drop_chance_links(links: DataFrame, rows: DataFrame) -> DataFrame:
-    """Links whose only proof is a shared telephone number need birth dates that do not differ."""
-    born = rows.where("dob IS NOT NULL").groupBy("key").agg(F.min("dob").alias("dob"))
-    merged = links.groupBy(F.least("key_a", "key_b").alias("key_a"), F.greatest("key_a", "key_b").alias("key_b")).agg(
-        F.max(F.col("proof").startswith("p") == F.lit(False)).alias("strong"), F.min("d").alias("d")
+    Keys of equal name and proof are a star around the least of them; only that
+    one stands for the name when spellings are compared.
+    """
+    known = evidence(rows)
+    holders = known.groupBy("proof", "name").agg(F.min("key").alias("holder"))
+    stars = known.join(holders, ["proof", "name"]).where("key <> holder").select(F.col("key").alias("key_a"), F.col("holder").alias("key_b"))
+    tokens = F.split("name", " ")
+    shapes = F.flatten(F.flatten(F.transform(tokens, lambda i: F.transform(
+        F.filter(F.transform(tokens, lambda j, n: F.struct(j.alias("j"), n.cast("tinyint").alias("n"))), lambda t: (i != t["j"]) & (F.length(t["j"]) >= 3)),
+        lambda t: F.transform(initials_of(i), lambda c: F.struct(c.alias("i"), t["n"].alias("n")))))))
+    objects = holders.select("proof", "name", "holder", F.explode(shapes).alias("o")).select(
+        F.xxhash64("proof", "o.i").alias("block"), F.col("o.n").alias("n"), "name", "holder"
     )
-    a = born.select(F.col("key").alias("key_a"), F.col("dob").alias("da"))
-    b = born.select(F.col("key").alias("key_b"), F.col("dob").alias("db"))
-    return merged.join(a, "key_a", "left").join(b, "key_b", "left").where(
-        F.col("strong") | F.col("da").isNull() | F.col("db").isNull() | (F.col("da") == F.col("db"))
-    ).select("key_a", "key_b", "d")
+    # The token that is compared is read from the name on the far side of the exchange.
+    near = radius_pairs(objects, "block", F.get(F.split("name", " "), F.col("n")), radius, keep=("name", "holder"))
+    agree = near.where("holder_a <> holder_b").where(names_agree(F.split("name_a", " "), F.split("name_b", " ")))
+    return agree.select(F.col("holder_a").alias("key_a"), F.col("holder_b").alias("key_b")).unionByName(stars).distinct()
 
 
 def people_of(links: DataFrame) -> DataFrame:
@@ -125,16 +105,16 @@ def keyed_rows(spark: SparkSession, base: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, base: str) -> DataFrame:
     """(key_a, key_b): every pair of different keys of one person."""
-    rows = cut(keyed_rows(spark, base))
-    people = cut(people_of(drop_chance_links(variant_links(rows), rows)))
+    rows = keyed_rows(spark, base)
+    people = cut(people_of(variant_links(rows)))
     other = people.withColumnRenamed("key", "key_b")
     return people.withColumnRenamed("key", "key_a").join(other, "person").where("key_a < key_b").select("key_a", "key_b")
 
 
 def p4_people(spark: SparkSession, base: str) -> DataFrame:
     """(keys, people): how many keys one person holds."""
-    rows = cut(keyed_rows(spark, base))
-    people = people_of(drop_chance_links(variant_links(rows), rows))
+    rows = keyed_rows(spark, base)
+    people = people_of(variant_links(rows))
     sizes = people.groupBy("person").agg(F.count("*").alias("keys"))
     return sizes.groupBy("keys").agg(F.count("*").alias("people"))
 
