@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from traceloom.session import cut
 
-#: Rate of the exponential shifts; growth steps per round; most rounds.
-BETA, STEPS, ROUNDS = 0.4, 3, 60
+#: Rate of the exponential shifts (an edge is cut with about this chance), the
+#: radius at which the growth of a round ends, and the most rounds.
+BETA, STEPS, ROUNDS = 0.05, 4, 60
 #: Members of a key that one star holds.
 STAR = 512
 
@@ -81,30 +82,25 @@ def components(edges: DataFrame) -> DataFrame:
     """
     rest = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b")
     rest = cut(rest.unionByName(rest.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    assigned, n = None, rest.count()
-    for round_no in range(ROUNDS):
-        if n == 0:
-            break
-        grown = cut(_grow(rest, round_no))
-        if assigned is None:
-            assigned = grown.select(F.col("v").alias("vertex"), F.col("c").alias("root"))
-        else:
-            assigned = assigned.join(grown, F.col("root") == F.col("v"), "left").select(
-                "vertex", F.coalesce("c", "root").alias("root")
-            )
+    rounds: list[DataFrame] = []
+    while not rest.isEmpty():
+        if len(rounds) == ROUNDS:
+            raise RuntimeError("components did not settle")
+        grown = cut(_grow(rest, len(rounds)))
+        rounds.append(grown)
         ends = grown.select(F.col("v").alias("a"), F.col("c").alias("ca"))
-        rest = (
+        rest = cut(
             rest.join(ends, "a").join(ends.select(F.col("a").alias("b"), F.col("ca").alias("cb")), "b")
             .where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
         )
-        rest = cut(rest)
-        n = rest.count()
-        assigned = cut(assigned)
-    else:
-        raise RuntimeError("components did not settle")
-    if assigned is None:
+    if not rounds:
         return rest.select(F.col("a").alias("vertex"), F.col("b").alias("root"))
-    return assigned
+    # Later rounds are smaller, so their assignments are composed first.
+    final = rounds.pop()
+    while rounds:
+        step = rounds.pop()
+        final = step.join(final.select(F.col("v").alias("c"), F.col("c").alias("to")), "c", "left").select("v", F.coalesce("to", "c").alias("c"))
+    return final.select(F.col("v").alias("vertex"), F.col("c").alias("root"))
 
 
 def groups(edges: DataFrame) -> DataFrame:

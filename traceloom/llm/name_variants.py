@@ -95,12 +95,17 @@ def people_of(links: DataFrame) -> DataFrame:
 
 
 def keyed_rows(spark: SparkSession, base: str) -> DataFrame:
-    """The people of the three tables of problem 4."""
-    return (
-        people_rows(table(spark, base, "exposed_records_008"), "student_id", ["full_name"], "dob", ["email"], "phone")
-        .unionByName(people_rows(table(spark, base, "exposed_roster_003"), "id", ["first_name", "last_name"], "dob", ["uon_email", "other_email"], "phone"))
-        .unionByName(people_rows(table(spark, base, "roster_contacts_a"), "external_ref", ["full_name"], "birth_when", ["mailbox"], None))
-    )
+    """The people of the three tables of problem 4, brought together before they are read."""
+    def raw(name, key, first, last, dob, mail, other):
+        pick = [key, first, last, dob, mail, other]
+        return table(spark, base, name).select(*[
+            (F.col(c).cast("string") if c else F.lit(None).cast("string")).alias(a) for c, a in zip(pick, ("id", "first", "last", "dob", "mail", "other"))
+        ])
+
+    rows = raw("exposed_records_008", "student_id", "full_name", None, "dob", "email", None).unionByName(
+        raw("exposed_roster_003", "id", "first_name", "last_name", "dob", "uon_email", "other_email")
+    ).unionByName(raw("roster_contacts_a", "external_ref", "full_name", None, "birth_when", "mailbox", None))
+    return people_rows(rows, "id", ["first", "last"], "dob", ["mail", "other"])
 
 
 def p4_found(spark: SparkSession, base: str) -> DataFrame:

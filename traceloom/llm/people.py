@@ -126,13 +126,12 @@ def phone(value: Column) -> Column:
     return F.when(F.length(digits) >= 9, F.substring(digits, -9, 9))
 
 
-def people_rows(df: DataFrame, key: str, names: list[str], dob: str, mails: list[str], tel: str | None) -> DataFrame:
-    """(key, tokens, dob, mails, tel) of a table of people; rows without key are left out."""
+def people_rows(df: DataFrame, key: str, names: list[str], dob: str, mails: list[str]) -> DataFrame:
+    """(key, tokens, dob, mails) of a table of people; rows without key are left out."""
     whole = F.concat_ws(" ", *[F.col(f"`{c}`") for c in names])
     return df.where(F.trim(F.col(f"`{key}`").cast("string")) != "").select(
         F.trim(F.col(f"`{key}`").cast("string")).alias("key"),
         name_tokens(whole).alias("tokens"),
         birth_date(F.col(f"`{dob}`").cast("string")).alias("dob"),
         F.array_distinct(F.array_compact(F.array(*[mailbox(F.col(f"`{c}`")) for c in mails]))).alias("mails"),
-        (phone(F.col(f"`{tel}`")) if tel else F.lit(None).cast("string")).alias("tel"),
     )
