@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from traceloom.session import cut
+
 #: Strings of a block up to which it is one cell; most pivots of a block.
 CELL, PIVOTS = 256, 96
 
@@ -32,42 +34,45 @@ def radius_pairs(
     """
     x = F.col(text) if isinstance(text, str) else text
     source = [F.col(c) for c in objects.columns if c not in (block, *keep)]
-    items = objects.select(F.col(block).alias("block"), *source, *keep).where("block IS NOT NULL").repartition("block").distinct()
-    items = items.select("block", x.alias("x"), *keep).where("x IS NOT NULL")
-    sizes = items.groupBy("block").agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).where("n > 1")
-    small, large = sizes.where(F.col("n") <= cell).select("block"), sizes.where(F.col("n") > cell).select("block", "n")
+    raw = objects.select(F.col(block).alias("block"), *source, *keep).where("block IS NOT NULL")
+    # An upper bound of the blocks' sizes, aggregated before it is shuffled.
+    large = raw.groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") > cell)
+    items = raw.repartition("block").distinct().select("block", x.alias("x"), *keep).where("x IS NOT NULL")
     left = lambda df, *on: df.select(*on, F.col("x").alias("h"), *[F.col(c).alias(f"{c}_h") for c in keep])
     right = lambda df, *on: df.select(*on, F.col("x").alias("g"), *[F.col(c).alias(f"{c}_g") for c in keep])
-    inside = items.join(small, "block")
-    pairs = [left(inside, "block").join(right(items, "block"), "block").where(_ordered("h", "g", keep))]
-
+    if large.isEmpty():
+        return _compared(left(items, "block").join(right(items, "block"), "block"), radius, keep, once=True)
+    large = cut(large)
+    small = items.join(large, "block", "left_anti")
+    within = _compared(left(small, "block").join(right(small, "block"), "block"), radius, keep, once=True)
     # Pivots are the strings of least hash: a bounded number for each large block.
     few = F.least(F.lit(pivots), F.ceil(F.col("n") / cell)).cast("int")
     part = F.pmod(F.xxhash64("x"), F.lit(1 << 30)) / float(1 << 30)
-    near = items.join(large, "block").where(part < F.greatest(F.lit(4.0) * few, F.lit(64.0)) / F.col("n"))
+    crowded = items.join(large, "block")
+    near = crowded.where(part < F.greatest(F.lit(4.0) * few, F.lit(64.0)) / F.col("n"))
     chosen = near.groupBy("block", few.alias("k")).agg(F.sort_array(F.collect_set(F.struct(F.xxhash64("x").alias("h"), "x"))).alias("p"))
     chosen = chosen.select("block", F.transform(F.slice("p", 1, F.greatest("k", F.lit(1))), lambda s: s["x"]).alias("p"))
-    far = items.join(large.select("block"), "block").join(chosen, "block").withColumn("d", F.transform("p", lambda p: F.levenshtein(F.col("x"), p)))
+    far = crowded.join(chosen, "block").withColumn("d", F.transform("p", lambda p: F.levenshtein(F.col("x"), p)))
     far = far.withColumn("least", F.array_min("d")).withColumn("own", F.array_position("d", F.col("least")).cast("int") - 1)
     cells = far.select("block", "x", *keep, "least", "own", F.posexplode("d").alias("q", "dq")).where(F.col("dq") <= F.col("least") + 2 * radius)
-    cells = cells.select("block", "q", "x", *keep, (F.col("q") == F.col("own")).alias("home"))
-    # A pair whose homes differ meets in both cells: the lesser home keeps it.
-    cells = cells.repartition("block", "q")
+    cells = cut(cells.select("block", "q", "x", *keep, (F.col("q") == F.col("own")).alias("home")))
     met = left(cells.where("home"), "block", "q").join(right(cells, "block", "q"), ["block", "q"]).drop("q")
-    pairs.append(met)
-    out = []
-    for p, crossing in zip(pairs, (False, True)):
-        # An edit distance of r changes the length by r at most: cheap to test first.
-        p = p.where((F.abs(F.length("h") - F.length("g")) <= radius) & ((F.col("h") != F.col("g")) if not keep else F.lit(True)))
-        p = p.withColumn("d", F.levenshtein("h", "g", radius)).where("d >= 0")
-        turned = _ordered("h", "g", keep)
-        sides = [F.when(turned, F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in (
-            ("h", "g", "a"), ("g", "h", "b"), *[pair for c in keep for pair in ((f"{c}_h", f"{c}_g", f"{c}_a"), (f"{c}_g", f"{c}_h", f"{c}_b"))])]
-        p = p.select("block", *sides, "d")
-        out.append(p.distinct() if crossing else p)
-    return out[0].unionByName(out[1])
+    # A pair whose homes differ may meet in both cells.
+    return within.unionByName(_compared(met, radius, keep, once=False).distinct())
+
+
+def _compared(pairs: DataFrame, radius: int, keep: tuple[str, ...], once: bool) -> DataFrame:
+    """Pairs within the radius, the lesser side first; ``once``: every pair is there in both orders."""
+    # An edit distance of r changes the length by r at most: cheapest to test first.
+    close = (F.abs(F.length("h") - F.length("g")) <= radius) & (F.levenshtein("h", "g", radius) >= 0)
+    turned = _ordered("h", "g", keep)
+    pairs = pairs.where(close & (turned if once else turned | _ordered("g", "h", keep, swap=True)))
+    sides = [F.when(turned, F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in (
+        ("h", "g", "a"), ("g", "h", "b"), *[pair for c in keep for pair in ((f"{c}_h", f"{c}_g", f"{c}_a"), (f"{c}_g", f"{c}_h", f"{c}_b"))])]
+    return pairs.select("block", *sides, F.levenshtein("h", "g", radius).alias("d"))
 
 
-def _ordered(h: str, g: str, keep: tuple[str, ...]) -> Column:
+def _ordered(h: str, g: str, keep: tuple[str, ...], swap: bool = False) -> Column:
     """A total order of the two sides, by the string and what travels with it."""
-    return F.struct(h, *[f"{c}_h" for c in keep]) < F.struct(g, *[f"{c}_g" for c in keep])
+    one, two = ("g", "h") if swap else ("h", "g")
+    return F.struct(h, *[f"{c}_{one}" for c in keep]) < F.struct(g, *[f"{c}_{two}" for c in keep])

@@ -27,14 +27,16 @@ RADIUS = 2
 
 
 def tokens_agree(a: Column, b: Column) -> Column:
-    """Whether two tokens may be one: equal, an initial, a short form, or typed alike."""
+    """Whether two tokens may be one: equal, an initial, typed alike, or a short form.
+
+    The tests are in order of their cost; the first that holds ends them.
+    """
     shortest = F.least(F.length(a), F.length(b))
-    typed = F.levenshtein(a, b) <= F.when(shortest <= 1, 0).when(shortest <= 3, 1).otherwise(2)
-    typed = typed & ((shortest > 2) | (F.substring(a, 1, 1) == F.substring(b, 1, 1)))
-    initial = (shortest == 1) & (F.substring(a, 1, 1) == F.substring(b, 1, 1))
-    pairs = F.array(*[F.lit(f"{x} {y}") for x, y in same_name_pairs()])
-    short = F.array_contains(pairs, F.concat_ws(" ", a, b)) | F.array_contains(pairs, F.concat_ws(" ", b, a))
-    return (a == b) | initial | typed | short
+    first = F.substring(a, 1, 1) == F.substring(b, 1, 1)
+    limit = F.when(shortest <= 1, 0).when(shortest <= 3, 1).otherwise(2)
+    typed = (shortest > 1) & ((shortest > 2) | first) & (F.levenshtein(a, b, 2).between(0, limit))
+    known = F.lit(" " + " ".join(f"{x}={y} {y}={x}" for x, y in same_name_pairs()) + " ")
+    return (a == b) | ((shortest == 1) & first) | typed | ((shortest > 2) & known.contains(F.concat(F.lit(" "), a, F.lit("="), b, F.lit(" "))))
 
 
 def names_agree(a: Column, b: Column) -> Column:
@@ -45,9 +47,10 @@ def names_agree(a: Column, b: Column) -> Column:
     less = F.when(F.size(a) <= F.size(b), a).otherwise(b)
     more = F.when(F.size(a) <= F.size(b), b).otherwise(a)
     hits = F.filter(less, lambda x: F.exists(more, lambda y: tokens_agree(x, y)))
-    solid = F.exists(less, lambda x: (F.length(x) > 2) & F.exists(more, lambda y: (F.length(y) > 2) & tokens_agree(x, y)))
-    missing = F.size(less) - F.size(hits)
-    return solid & (F.size(hits) >= 2) & (missing <= F.when(F.size(less) > 2, 1).otherwise(0))
+    most = F.when(F.size(less) > 2, F.size(less) - 1).otherwise(F.size(less))
+    enough = F.size(hits) >= F.greatest(F.lit(2), most)
+    solid = F.exists(hits, lambda x: (F.length(x) > 2) & F.exists(more, lambda y: (F.length(y) > 2) & tokens_agree(x, y)))
+    return enough & solid
 
 
 def evidence(rows: DataFrame) -> DataFrame:
@@ -68,7 +71,7 @@ def variant_links(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
     Keys of equal name and proof are a star around the least of them; only that
     one stands for the name when spellings are compared.
     """
-    known = evidence(rows)
+    known = cut(evidence(rows))
     holders = known.groupBy("proof", "name").agg(F.min("key").alias("holder"))
     stars = known.join(holders, ["proof", "name"]).where("key <> holder").select(F.col("key").alias("key_a"), F.col("holder").alias("key_b"))
     tokens = F.split("name", " ")

@@ -5,11 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Letters and their plain forms (fixed values).
-_FROM = "àáâãäåāăąçćčďđèéêëēęěğìíîïīıłñńňòóôõöøōőŕřśšşßťţùúûüūůűýÿźžżþðæœ"
-_TO = "aaaaaaaaacccddeeeeeeegiiiiiilnnnoooooooorrssssttuuuuuuuyyzzztdao"
-TITLES = r"^(?:(?:dr|mr|mrs|ms|miss|mx|prof|professor|sir|dame|rev)\.?\s+)+"
-PARTICLES = ("de", "van", "der", "den", "vander", "von", "la", "di", "al")
+#: Letters and their plain forms (fixed values); quotes and combining marks go,
+#: digits become letters of like shape.
+_PLAIN = {
+    "a": "àáâãäåāăą", "c": "çćč", "d": "ďđð", "e": "èéêëēęěė", "g": "ğģ", "i": "ìíîïīı", "l": "łľĺ", "n": "ñńňņ", "o": "òóôõöøōő",
+    "r": "ŕřŗ", "s": "śşšșß", "t": "ţťțþ", "u": "ùúûüūůűų", "y": "ýÿ", "z": "źżž",
+}
+_FROM = "".join(_PLAIN.values())
+_TO = "".join(k * len(v) for k, v in _PLAIN.items())
+_UPPER = [(f.upper(), t.upper()) for f, t in zip(_FROM, _TO) if len(f.upper()) == 1 and f.upper() != f]
+_GONE = "'’`´\u0300\u0301\u0302\u0303\u0304\u0306\u0307\u0308\u030a\u030b\u030c\u0327\u0328"
+#: Words of a name that do not tell people apart: titles and particles.
+LEFT_OUT = ("dr", "mr", "mrs", "ms", "miss", "mx", "prof", "professor", "sir", "dame", "rev", "de", "van", "der", "den", "vander", "von", "la", "di", "al")
+
 
 #: Short forms in common use, by the full name they stand for.
 NICKNAMES = {
@@ -37,14 +45,18 @@ NICKNAMES = {
 _OWN = {"drew", "frank", "lucy", "rose", "will", "kit", "nora", "eva", "sandra", "bella", "neil", "frankie", "liam", "theo", "pat", "mari", "rosie", "sandy"}
 
 
-def given_map() -> Column:
-    """Map from a short form to its full name; ambiguous or independent ones are left out."""
+def unambiguous() -> list[tuple[str, str]]:
+    """(short, full) of the short forms that name tokens replace."""
     seen: dict[str, set[str]] = {}
     for full, shorts in NICKNAMES.items():
         for s in shorts.split():
             seen.setdefault(s, set()).add(full)
-    pairs = [(s, next(iter(f))) for s, f in sorted(seen.items()) if len(f) == 1 and s not in _OWN]
-    return F.create_map(*[F.lit(x) for p in pairs for x in p])
+    return [(s, next(iter(f))) for s, f in sorted(seen.items()) if len(f) == 1 and s not in _OWN]
+
+
+def given_map() -> Column:
+    """Map from a short form to its full name; ambiguous or independent ones are left out."""
+    return F.create_map(*[F.lit(x) for p in unambiguous() for x in p])
 
 
 def initials_of(token: Column) -> Column:
@@ -59,14 +71,16 @@ def initials_of(token: Column) -> Column:
 
 
 def same_name_pairs() -> list[tuple[str, str]]:
-    """(short, full) pairs that may stand for each other, the independent ones too."""
-    return [(s, f) for f, shorts in NICKNAMES.items() for s in shorts.split()]
+    """(short, full) pairs that may stand for each other and are not replaced."""
+    gone = set(unambiguous())
+    return [(s, f) for f, shorts in NICKNAMES.items() for s in shorts.split() if (s, f) not in gone]
 
 
 def fold(text: Column) -> Column:
-    """Lower case without accents; composed and decomposed letters alike."""
-    low = F.lower(text)
-    return F.regexp_replace(F.translate(low, _FROM, _TO), r"\p{M}+", "")
+    """Letters without accents, case kept; quotes and combining marks gone, digits as letters."""
+    frm = _FROM + "".join(f for f, _ in _UPPER) + "015" + _GONE
+    to = _TO + "".join(t for _, t in _UPPER) + "ols"
+    return F.translate(text, frm, to)
 
 
 def name_tokens(name: Column) -> Column:
@@ -74,17 +88,17 @@ def name_tokens(name: Column) -> Column:
 
     ``Last, First`` needs no turning since tokens carry no order here.
     """
-    parted = F.regexp_replace(name, r"(?<=\p{Ll})(?=\p{Lu})", " ")
-    plain = fold(F.regexp_replace(parted, r"['’`´]", ""))
-    plain = F.translate(plain, "015", "ols")  # digits for letters of like shape
-    plain = F.regexp_replace(F.trim(plain), TITLES, "")
-    plain = F.trim(F.regexp_replace(plain, r"[^a-z]+", " "))
-    plain = F.regexp_replace(plain, r"\b(mc|mac) (?=[a-z]{3})", "$1")
-    tokens = F.filter(F.split(plain, " "), lambda t: (t != "") & ~t.isin(*PARTICLES))
+    parted = F.regexp_replace(fold(name), r"(?<=[a-z])(?<!\bMc)(?<!\bMac)(?=[A-Z])", " ")
+    tokens = F.split(F.regexp_replace(F.lower(parted), "[^a-z]+", " "), " ")
+    tokens = F.filter(tokens, lambda t: (t != "") & ~t.isin(*LEFT_OUT))
     full = given_map()
-    tokens = F.transform(tokens, lambda t: F.coalesce(F.get(F.array(full[t]), F.lit(0)), t))
-    tokens = F.transform(tokens, lambda t: F.when(t.startswith("vander") & (F.length(t) > 8), F.substring(t, 7, 99)).otherwise(t))
-    return F.array_sort(F.array_distinct(tokens))
+    longest = max(len(s) for f in NICKNAMES.values() for s in f.split())
+
+    def whole(t: Column) -> Column:
+        named = F.when(F.length(t) <= longest, F.coalesce(F.get(F.array(full[t]), F.lit(0)), t)).otherwise(t)
+        return F.when(t.startswith("vander") & (F.length(t) > 8), F.substring(t, 7, 99)).otherwise(named)
+
+    return F.array_sort(F.array_distinct(F.transform(tokens, whole)))
 
 
 def birth_parts(value: Column) -> tuple[Column, Column, Column]:
