@@ -77,11 +77,11 @@ def linked_evidence(findings: DataFrame, unit: list[str]) -> DataFrame:
     single = (F.size("types") > 1) | (F.get("types", F.lit(0)).isin(*STRONG, *EMAIL_TYPES) & (F.size("evidence") == 1))
     df = df.where(single)
     anchor = F.array_min(F.transform(F.filter("evidence", lambda e: e["t"] == F.col("anchor_type")), lambda e: e["v"]))
-    over = F.array_compact(F.array(*[
-        F.when(F.size(F.filter("evidence", lambda e, t=t: e["t"] == t)) > cap, F.concat(
-            F.lit("too_many_"), slug(F.lit(t)), F.lit("_values:"), F.size(F.filter("evidence", lambda e, t=t: e["t"] == t)).cast("string"), F.lit(f">{cap}")))
-        for t, cap in sorted(CAPS.items())
-    ]))
+    def too_many(kind: str, cap: int) -> Column:
+        n = F.size(F.filter("evidence", lambda e: e["t"] == kind))
+        return F.when(n > cap, F.concat(F.lit("too_many_"), slug(F.lit(kind)), F.lit("_values:"), n.cast("string"), F.lit(f">{cap}")))
+
+    over = F.array_compact(F.array(*[too_many(t, cap) for t, cap in sorted(CAPS.items())]))
     reason = F.array_join(over, "|")
     return df.select(
         *unit, "anchor_type", anchor.alias("anchor_value"), F.array_join("types", "|").alias("evidence_types"),
@@ -105,13 +105,20 @@ def merge_keys(evidence: Column, strong: Sequence[str] = STRONG, compound: Seque
 
     out = []
     widen = lambda t: (t, *EMAIL_TYPES) if t == "Email" else (t,)
+
+    def strong_keys(kind: str) -> Column:
+        return F.transform(of(kind), lambda v: F.concat(F.lit(f"strong:{kind}:"), v))
+
+    def times(keys: Column, kind: str) -> Column:
+        return F.flatten(F.transform(keys, lambda k: F.transform(of(kind), lambda v: F.concat_ws(":", k, v))))
+
     for t in [x for s in strong for x in widen(s)]:
-        out.append(F.transform(of(t), lambda v, t=t: F.concat(F.lit(f"strong:{t}:"), v)))
+        out.append(strong_keys(t))
     for anchors in compound:
         for combo in product(*[widen(t) for t in anchors]):
             keys = F.array(F.lit(f"compound:{'+'.join(combo)}"))
             for t in combo:
-                keys = F.flatten(F.transform(keys, lambda k, t=t: F.transform(of(t), lambda v: F.concat_ws(":", k, v))))
+                keys = times(keys, t)
             out.append(keys)
     return F.array_distinct(F.flatten(F.array(*out)))
 
