@@ -38,8 +38,13 @@ def radius_pairs(
     # An upper bound of the blocks' sizes, aggregated before it is shuffled.
     large = raw.groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") > cell)
     items = raw.repartition("block").distinct().select("block", x.alias("x"), *keep).where("x IS NOT NULL")
-    left = lambda df, *on: df.select(*on, F.col("x").alias("h"), *[F.col(c).alias(f"{c}_h") for c in keep])
-    right = lambda df, *on: df.select(*on, F.col("x").alias("g"), *[F.col(c).alias(f"{c}_g") for c in keep])
+
+    def side(df: DataFrame, name: str, *on: str) -> DataFrame:
+        held = [F.col(c).alias(f"{c}_{name}") for c in keep]
+        return df.select(*on, F.col("x").alias(name), F.length("x").alias(f"len_{name}"), letters(F.col("x")).alias(f"set_{name}"), *held)
+
+    left = lambda df, *on: side(df, "h", *on)
+    right = lambda df, *on: side(df, "g", *on)
     if large.isEmpty():
         return _compared(left(items, "block").join(right(items, "block"), "block"), radius, keep, once=True)
     large = cut(large)
@@ -61,10 +66,20 @@ def radius_pairs(
     return within.unionByName(_compared(met, radius, keep, once=False).distinct())
 
 
+def letters(text: Column) -> Column:
+    """The set of a string's characters, folded to 64 bits."""
+    return F.aggregate(
+        F.split(text, ""), F.lit(0).cast("long"),
+        lambda acc, c: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), (F.ascii(c) % 64).cast("int"))),
+    )
+
+
 def _compared(pairs: DataFrame, radius: int, keep: tuple[str, ...], once: bool) -> DataFrame:
     """Pairs within the radius, the lesser side first; ``once``: every pair is there in both orders."""
-    # An edit distance of r changes the length by r at most: cheapest to test first.
-    close = (F.abs(F.length("h") - F.length("g")) <= radius) & (F.levenshtein("h", "g", radius) >= 0)
+    # r edits change the length by r and the set of letters by 2r at most: both are
+    # cheap to test, and no pair within the radius fails them.
+    same_letters = F.bit_count(F.col("set_h").bitwiseXOR(F.col("set_g"))) <= 2 * radius
+    close = (F.abs(F.col("len_h") - F.col("len_g")) <= radius) & same_letters & (F.levenshtein("h", "g", radius) >= 0)
     turned = _ordered("h", "g", keep)
     pairs = pairs.where(close & (turned if once else turned | _ordered("g", "h", keep, swap=True)))
     sides = [F.when(turned, F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in (
