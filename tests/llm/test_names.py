@@ -63,11 +63,10 @@ def test_links_and_people(spark):
         ("K5", ["bob", "stone"], "19900101", ["ann1"], None), ("K6", ["lark"], "19900101", ["ann1"], None), ("K7", [], None, [], None),
     ]
     df = spark.createDataFrame(rows, "key string, tokens array<string>, dob string, mails array<string>, tel string")
-    links = variant_links(df)
-    people = people_of(links).collect()
+    people = people_of(variant_links(df), df).collect()
     by = {}
     for r in people:
         by.setdefault(r.person, set()).add(r.key)
     assert list(by.values()) == [{"K1", "K2", "K3"}]
     empty = df.limit(0)
-    assert people_of(variant_links(empty)).count() == 0
+    assert people_of(variant_links(empty), empty).count() == 0

@@ -66,13 +66,13 @@ def _shift(vertex: Column, round_no: int) -> Column:
 def _grow(edges: DataFrame, round_no: int) -> DataFrame:
     """(v, c): the cluster each vertex of the symmetric ``edges`` joins."""
     vertices = edges.select(F.col("a").alias("v")).distinct()
-    state = vertices.select("v", F.struct((-_shift(F.col("v"), round_no)).alias("t"), F.col("v").alias("c")).alias("best"))
+    state = vertices.select("v", (-_shift(F.col("v"), round_no)).alias("t"), F.col("v").alias("c"))
     for _ in range(STEPS):
-        told = edges.join(state, edges.a == state.v).select(
-            F.col("b").alias("v"), F.struct((F.col("best.t") + 1.0).alias("t"), F.col("best.c").alias("c")).alias("best")
-        )
-        state = state.unionByName(told).groupBy("v").agg(F.min("best").alias("best"))
-    return state.select("v", F.col("best.c").alias("c"))
+        told = edges.join(state, edges.a == state.v).select(F.col("b").alias("v"), (F.col("t") + 1.0).alias("t"), "c")
+        # Two numbers aggregate by hash, a struct of them would be sorted. Times of
+        # different clusters do not tie: they hold 52 random bits each.
+        state = state.unionByName(told).groupBy("v").agg(F.min_by("c", "t").alias("c"), F.min("t").alias("t"))
+    return state.select("v", "c")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -23,14 +23,16 @@ CELL, PIVOTS = 256, 96
 
 
 def radius_pairs(
-    objects: DataFrame, block: str, text: Column | str, radius: int, keep: tuple[str, ...] = (), cell: int = CELL, pivots: int = PIVOTS
+    objects: DataFrame, block: str, text: Column | str, radius: int, keep: tuple[str, ...] = (), apart: str | None = None,
+    cell: int = CELL, pivots: int = PIVOTS,
 ) -> DataFrame:
     """(block, a, b, d, *keep_a, *keep_b): strings of one block within ``radius``.
 
-    ``keep`` names columns carried along with each side; rows that differ in them
-    are compared each. ``text`` may be an expression over the columns that travel,
-    so that a long string need not be shuffled beside what it is derived from.
-    Everything before the pivots reads one exchange by block.
+    ``keep`` names columns carried along with each side. With ``apart``, one of
+    them, rows are compared that differ in it, equal strings too, and the side of
+    the lesser value comes first. ``text`` may be an expression over the columns
+    that travel, so that a long string need not be shuffled beside what it is
+    derived from. Everything before the pivots reads one exchange by block.
     """
     x = F.col(text) if isinstance(text, str) else text
     source = [F.col(c) for c in objects.columns if c not in (block, *keep)]
@@ -40,16 +42,20 @@ def radius_pairs(
     items = raw.repartition("block").distinct().select("block", x.alias("x"), *keep).where("x IS NOT NULL")
 
     def side(df: DataFrame, name: str, *on: str) -> DataFrame:
-        held = [F.col(c).alias(f"{c}_{name}") for c in keep]
-        return df.select(*on, F.col("x").alias(name), F.length("x").alias(f"len_{name}"), letters(F.col("x")).alias(f"set_{name}"), *held)
+        return df.select(*on, F.col("x").alias(name), F.length("x").alias(f"len_{name}"), *[F.col(c).alias(f"{c}_{name}") for c in keep])
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        first = F.col(f"{apart}_a") < F.col(f"{apart}_b") if apart else F.col("a") < F.col("b")
+        # r edits change the length by r at most: cheapest to test before the distance.
+        close = (F.abs(F.col("len_a") - F.col("len_b")) <= radius) & (F.levenshtein("a", "b", radius) >= 0)
+        held = [f"{c}_{s}" for c in keep for s in "ab"]
+        return pairs.where(first & close).select("block", "a", "b", *held, F.levenshtein("a", "b", radius).alias("d"))
 
-    left = lambda df, *on: side(df, "h", *on)
-    right = lambda df, *on: side(df, "g", *on)
     if large.isEmpty():
-        return _compared(left(items, "block").join(right(items, "block"), "block"), radius, keep, once=True)
+        return compared(side(items, "a", "block").join(side(items, "b", "block"), "block"))
     large = cut(large)
     small = items.join(large, "block", "left_anti")
-    within = _compared(left(small, "block").join(right(small, "block"), "block"), radius, keep, once=True)
+    within = compared(side(small, "a", "block").join(side(small, "b", "block"), "block"))
     # Pivots are the strings of least hash: a bounded number for each large block.
     few = F.least(F.lit(pivots), F.ceil(F.col("n") / cell)).cast("int")
     part = F.pmod(F.xxhash64("x"), F.lit(1 << 30)) / float(1 << 30)
@@ -61,33 +67,7 @@ def radius_pairs(
     far = far.withColumn("least", F.array_min("d")).withColumn("own", F.array_position("d", F.col("least")).cast("int") - 1)
     cells = far.select("block", "x", *keep, "least", "own", F.posexplode("d").alias("q", "dq")).where(F.col("dq") <= F.col("least") + 2 * radius)
     cells = cut(cells.select("block", "q", "x", *keep, (F.col("q") == F.col("own")).alias("home")))
-    met = left(cells.where("home"), "block", "q").join(right(cells, "block", "q"), ["block", "q"]).drop("q")
-    # A pair whose homes differ may meet in both cells.
-    return within.unionByName(_compared(met, radius, keep, once=False).distinct())
-
-
-def letters(text: Column) -> Column:
-    """The set of a string's characters, folded to 64 bits."""
-    return F.aggregate(
-        F.split(text, ""), F.lit(0).cast("long"),
-        lambda acc, c: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), (F.ascii(c) % 64).cast("int"))),
-    )
-
-
-def _compared(pairs: DataFrame, radius: int, keep: tuple[str, ...], once: bool) -> DataFrame:
-    """Pairs within the radius, the lesser side first; ``once``: every pair is there in both orders."""
-    # r edits change the length by r and the set of letters by 2r at most: both are
-    # cheap to test, and no pair within the radius fails them.
-    same_letters = F.bit_count(F.col("set_h").bitwiseXOR(F.col("set_g"))) <= 2 * radius
-    close = (F.abs(F.col("len_h") - F.col("len_g")) <= radius) & same_letters & (F.levenshtein("h", "g", radius) >= 0)
-    turned = _ordered("h", "g", keep)
-    pairs = pairs.where(close & (turned if once else turned | _ordered("g", "h", keep, swap=True)))
-    sides = [F.when(turned, F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in (
-        ("h", "g", "a"), ("g", "h", "b"), *[pair for c in keep for pair in ((f"{c}_h", f"{c}_g", f"{c}_a"), (f"{c}_g", f"{c}_h", f"{c}_b"))])]
-    return pairs.select("block", *sides, F.levenshtein("h", "g", radius).alias("d"))
-
-
-def _ordered(h: str, g: str, keep: tuple[str, ...], swap: bool = False) -> Column:
-    """A total order of the two sides, by the string and what travels with it."""
-    one, two = ("g", "h") if swap else ("h", "g")
-    return F.struct(h, *[f"{c}_{one}" for c in keep]) < F.struct(g, *[f"{c}_{two}" for c in keep])
+    # One side is at home in the cell, whichever it is; a pair whose homes differ meets twice.
+    home = cells.where("home")
+    met = [side(p, "a", "block", "q").join(side(g, "b", "block", "q"), ["block", "q"]).drop("q") for p, g in ((home, cells), (cells, home))]
+    return within.unionByName(compared(met[0]).unionByName(compared(met[1])).distinct())

@@ -56,24 +56,25 @@ def names_agree(a: Column, b: Column) -> Column:
 def evidence(rows: DataFrame) -> DataFrame:
     """(proof, name, key): one row per key, name and piece of evidence.
 
-    Names travel as one text, evidence as 64 bits: both are shuffled more than once.
+    Names travel as one text, evidence and keys as 64 bits: all are shuffled more
+    than once, and numbers aggregate by hash where texts would be sorted.
     """
     proofs = F.array_compact(F.concat(
         F.array(F.concat(F.lit("d"), F.col("dob"))), F.transform("mails", lambda m: F.when(F.length(m) >= 4, F.concat(F.lit("m"), m))),
     ))
-    named = rows.where(F.size("tokens") >= 2).select("key", F.array_join("tokens", " ").alias("name"), F.explode(proofs).alias("proof"))
+    named = rows.where(F.size("tokens") >= 2).select(F.xxhash64("key").alias("key"), F.array_join("tokens", " ").alias("name"), F.explode(proofs).alias("proof"))
     return named.select(F.xxhash64("proof").alias("proof"), "name", "key").distinct()
 
 
 def variant_links(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(key_a, key_b): keys with variant spellings of one name and a common proof.
+    """(a, b): hashed keys with variant spellings of one name and a common proof.
 
     Keys of equal name and proof are a star around the least of them; only that
     one stands for the name when spellings are compared.
     """
     known = cut(evidence(rows))
     holders = known.groupBy("proof", "name").agg(F.min("key").alias("holder"))
-    stars = known.join(holders, ["proof", "name"]).where("key <> holder").select(F.col("key").alias("key_a"), F.col("holder").alias("key_b"))
+    stars = known.join(holders, ["proof", "name"]).where("key <> holder").select(F.col("key").alias("a"), F.col("holder").alias("b"))
     tokens = F.split("name", " ")
     shapes = F.flatten(F.flatten(F.transform(tokens, lambda i: F.transform(
         F.filter(F.transform(tokens, lambda j, n: F.struct(j.alias("j"), n.cast("tinyint").alias("n"))), lambda t: (i != t["j"]) & (F.length(t["j"]) >= 3)),
@@ -82,19 +83,16 @@ def variant_links(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
         F.xxhash64("proof", "o.i").alias("block"), F.col("o.n").alias("n"), "name", "holder"
     )
     # The token that is compared is read from the name on the far side of the exchange.
-    near = radius_pairs(objects, "block", F.get(F.split("name", " "), F.col("n")), radius, keep=("name", "holder"))
-    agree = near.where("holder_a <> holder_b").where(names_agree(F.split("name_a", " "), F.split("name_b", " ")))
-    return agree.select(F.col("holder_a").alias("key_a"), F.col("holder_b").alias("key_b")).unionByName(stars).distinct()
+    near = radius_pairs(objects, "block", F.get(F.split("name", " "), F.col("n")), radius, keep=("name", "holder"), apart="holder")
+    agree = near.where(names_agree(F.split("name_a", " "), F.split("name_b", " ")))
+    return agree.select(F.col("holder_a").alias("a"), F.col("holder_b").alias("b")).unionByName(stars).distinct()
 
 
-def people_of(links: DataFrame) -> DataFrame:
-    """(key, person): connected keys, over hashed vertices."""
-    hashed = links.select("key_a", "key_b", F.xxhash64("key_a").alias("a"), F.xxhash64("key_b").alias("b"))
-    hashed = cut(hashed)
-    found = components(hashed.select("a", "b"))
-    keys = hashed.select(F.col("key_a").alias("key"), F.col("a").alias("vertex")).unionByName(
-        hashed.select(F.col("key_b").alias("key"), F.col("b").alias("vertex"))).distinct()
-    return keys.join(found, "vertex").select("key", F.col("root").alias("person"))
+def people_of(links: DataFrame, rows: DataFrame) -> DataFrame:
+    """(key, person): the keys of ``rows`` that are linked to others."""
+    found = components(links)
+    keys = rows.select("key").distinct()
+    return keys.join(found, F.xxhash64("key") == F.col("vertex")).select("key", F.col("root").alias("person"))
 
 
 def keyed_rows(spark: SparkSession, base: str) -> DataFrame:
@@ -111,19 +109,21 @@ def keyed_rows(spark: SparkSession, base: str) -> DataFrame:
     return people_rows(rows, "id", ["first", "last"], "dob", ["mail", "other"])
 
 
+def _people(spark: SparkSession, base: str) -> DataFrame:
+    rows = keyed_rows(spark, base)
+    return people_of(variant_links(rows), rows)
+
+
 def p4_found(spark: SparkSession, base: str) -> DataFrame:
     """(key_a, key_b): every pair of different keys of one person."""
-    rows = keyed_rows(spark, base)
-    people = cut(people_of(variant_links(rows)))
+    people = cut(_people(spark, base))
     other = people.withColumnRenamed("key", "key_b")
     return people.withColumnRenamed("key", "key_a").join(other, "person").where("key_a < key_b").select("key_a", "key_b")
 
 
 def p4_people(spark: SparkSession, base: str) -> DataFrame:
     """(keys, people): how many keys one person holds."""
-    rows = keyed_rows(spark, base)
-    people = people_of(variant_links(rows))
-    sizes = people.groupBy("person").agg(F.count("*").alias("keys"))
+    sizes = _people(spark, base).groupBy("person").agg(F.count("*").alias("keys"))
     return sizes.groupBy("keys").agg(F.count("*").alias("people"))
 
 
