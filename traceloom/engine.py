@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from traceloom.config import EngineConfig
@@ -17,6 +17,7 @@ from traceloom.functions.text import email_type
 from traceloom.operators import linking as L
 from traceloom.operators import people as P
 from traceloom.operators.dedupe import collapse_evidence
+from traceloom.operators.ordering import group_places
 from traceloom.operators.profiling import column_profile, value_type
 from traceloom.operators.rules import RULES, Rule, load_rules, resolve_header, rules_for
 from traceloom.operators.scan import FINDING, cap_findings, lines, match_text, scan_table, scan_text
@@ -85,11 +86,8 @@ class Engine:
             keep = keep & ~hidden(F.col("path"))
         index = file_index(files.where(keep))
         digest = F.col("sha256") if c.file_hash == "sha256" else F.col("md5")
-        group = Window.partitionBy("digest")
-        index = index.withColumn("digest", F.concat(F.lit(f"{c.file_hash}:"), digest)).withColumns({
-            "duplicate_count": F.count("*").over(group), "duplicate_index": F.row_number().over(group.orderBy("path")), "canonical_path": F.min("path").over(group),
-        })
-        return self.save(index, "file_index")
+        placed = group_places(index.withColumn("digest", F.concat(F.lit(f"{c.file_hash}:"), digest)), "digest", "path", name="duplicate_index")
+        return self.save(placed.withColumnRenamed("group_size", "duplicate_count").withColumnRenamed("canonical", "canonical_path"), "file_index")
 
     def scan(self, index: DataFrame) -> DataFrame:
         """Findings of all canonical files, repeated for duplicates where asked."""

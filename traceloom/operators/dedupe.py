@@ -2,25 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from traceloom.operators.ordering import group_places
+
 
 def content_groups(df: DataFrame, key: str, content: str, algorithm: str = "sha256") -> DataFrame:
-    """(key, digest, group_size, index, canonical): rows of equal content, the least key first.
+    """(key, size, digest, group_size, duplicate_index, canonical, action): rows of equal content.
 
-    Only sizes that occur twice are hashed. The index comes from a window over
-    digests of 32 bytes; contents are not shuffled.
+    The least key of a group is the canonical one. What is sorted and shuffled are
+    digests; a group of any size is spread over ranges.
     """
     size = F.octet_length(content)
     sized = df.select(F.col(key).alias("key"), size.alias("size_bytes"), F.col(content).alias("_c"))
     digest = F.sha2("_c", 256) if algorithm == "sha256" else F.md5("_c")
     hashed = sized.select("key", "size_bytes", F.concat(F.lit(f"{algorithm}:"), digest).alias("digest"))
-    group = Window.partitionBy("digest")
-    return hashed.select(
-        "key", "size_bytes", "digest", F.count("*").over(group).alias("group_size"),
-        F.row_number().over(group.orderBy("key")).alias("duplicate_index"), F.min("key").over(group).alias("canonical"),
-    ).withColumn("action", F.when(F.col("group_size") == 1, "scanned").when(F.col("duplicate_index") == 1, "scanned").otherwise("duplicate_collapsed"))
+    placed = group_places(hashed, "digest", "key", name="duplicate_index")
+    first = (F.col("group_size") == 1) | (F.col("duplicate_index") == 1)
+    return placed.select(
+        "key", "size_bytes", "digest", "group_size", "duplicate_index", "canonical", F.when(first, "scanned").otherwise("duplicate_collapsed").alias("action")
+    )
 
 
 def evidence_signature(linked: DataFrame) -> DataFrame:

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import product
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from traceloom.functions.text import capped_join, slug
+from traceloom.functions.text import slug
 from traceloom.operators.graph import connected_components
+from traceloom.operators.ordering import capped_values, number_rows
 from traceloom.operators.rules import RULES, TIER_1, TIER_2
+from traceloom.session import cut
 
 # Anchors and their order, on which results depend.
 STRONG = ("Email",)
@@ -156,17 +158,20 @@ def cluster_summary(linked: DataFrame, clusters: DataFrame, row: str, file: str
     Numbers go by risk, then rows, then the first anchor, then the least row.
     """
     rank = F.when(F.col("risk_level") == "high", 3).when(F.col("risk_level") == "medium", 2).otherwise(1)
-    members = clusters.join(linked, row)
+    members = cut(clusters.join(linked, row).select("cluster", row, *([file] if file else []), rank.alias("_rank"), "anchor_type", "anchor_value", "merge_keys", "evidence_types", "suppressed"))
     agg = members.groupBy("cluster").agg(
         F.count("*").alias("linked_evidence_count"), F.count_distinct(F.col(file) if file else F.col(row)).alias("file_count"),
-        F.max(rank).alias("_rank"), capped_join(F.collect_set("anchor_type")).alias("cluster_anchor_types"),
-        capped_join(F.collect_set("anchor_value")).alias("cluster_anchor_values"), capped_join(F.flatten(F.collect_set("merge_keys")), 100).alias("cluster_merge_keys"),
-        capped_join(F.flatten(F.collect_set(F.split("evidence_types", r"\|")))).alias("evidence_types"),
-        F.max(F.col("suppressed").isNotNull()).alias("hub_suppressed"), F.min("anchor_value").alias("_first"),
+        F.max("_rank").alias("_rank"), F.max(F.col("suppressed").isNotNull()).alias("hub_suppressed"), F.min("anchor_value").alias("_first"),
     )
+    each = lambda col: members.select("cluster", F.explode(col).alias("v"))
+    for name, values, limit in (
+        ("cluster_anchor_types", members.select("cluster", F.col("anchor_type").alias("v")), 50), ("cluster_anchor_values", members.select("cluster", F.col("anchor_value").alias("v")), 50),
+        ("cluster_merge_keys", each("merge_keys"), 100), ("evidence_types", each(F.split("evidence_types", r"\|")), 50),
+    ):
+        agg = agg.join(capped_values(values, "cluster", "v", limit, name), "cluster", "left")
     level = F.when(F.col("_rank") == 3, "high").when(F.col("_rank") == 2, "medium").otherwise("low")
-    order = Window.orderBy(F.desc("_rank"), F.desc("linked_evidence_count"), "_first", "cluster")
-    return agg.withColumn("risk_level", level).withColumn("_no", F.row_number().over(order)).select(
+    numbered = number_rows(agg.withColumn("risk_level", level), F.desc("_rank"), F.desc("linked_evidence_count"), "_first", "cluster", name="_no")
+    return numbered.select(
         F.format_string("person_cluster_%08d", "_no").alias("person_cluster_id"), "cluster", "risk_level", "linked_evidence_count", "file_count",
         "cluster_anchor_types", "cluster_anchor_values", "cluster_merge_keys", "evidence_types", "hub_suppressed",
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from traceloom.functions import text as T
 from traceloom.functions import validators as V
+from traceloom.operators.ordering import capped_values
 from traceloom.operators.rules import resolve_header
 from traceloom.session import table
 
@@ -83,7 +84,8 @@ def p_lines(spark: SparkSession, base: str) -> DataFrame:
 
 def p_capped_join(spark: SparkSession, base: str) -> DataFrame:
     """Distinct e-mail values per student, joined with a cap."""
-    return table(spark, base, "exposed_records_008").where("student_id IS NOT NULL").groupBy("student_id").agg(T.capped_join(F.collect_set("email"), 2).alias("emails"))
+    rows = table(spark, base, "exposed_records_008").where("student_id IS NOT NULL")
+    return rows.select("student_id").distinct().join(capped_values(rows, "student_id", "email", 2, "emails"), "student_id", "left").select("student_id", F.coalesce("emails", F.lit("")).alias("emails"))
 
 
 HEADERS = (
