@@ -24,13 +24,14 @@ CELL, PIVOTS = 256, 96
 
 def radius_pairs(
     objects: DataFrame, block: str, text: Column | str, radius: int, keep: tuple[str, ...] = (), apart: str | None = None,
-    cell: int = CELL, pivots: int = PIVOTS,
+    check: Column | None = None, cell: int = CELL, pivots: int = PIVOTS,
 ) -> DataFrame:
     """(block, a, b, d, *keep_a, *keep_b): strings of one block within ``radius``.
 
     ``keep`` names columns carried along with each side. With ``apart``, one of
     them, rows are compared that differ in it, equal strings too, and the side of
-    the lesser value comes first. ``text`` may be an expression over the columns
+    the lesser value comes first. ``check`` is a further condition on both sides'
+    kept columns, evaluated for pairs within the radius only. ``text`` may be an expression over the columns
     that travel, so that a long string need not be shuffled beside what it is
     derived from. Everything before the pivots reads one exchange by block.
     """
@@ -46,10 +47,12 @@ def radius_pairs(
 
     def compared(pairs: DataFrame) -> DataFrame:
         first = F.col(f"{apart}_a") < F.col(f"{apart}_b") if apart else F.col("a") < F.col("b")
-        # r edits change the length by r at most: cheapest to test before the distance.
-        close = (F.abs(F.col("len_a") - F.col("len_b")) <= radius) & (F.levenshtein("a", "b", radius) >= 0)
+        # r edits change the length by r at most. The nested conditions keep the order of
+        # cost, which a conjunction would leave to the optimizer.
+        near = F.levenshtein("a", "b", radius) >= 0
+        close = F.when(F.abs(F.col("len_a") - F.col("len_b")) <= radius, near if check is None else F.when(near, check).otherwise(False)).otherwise(False)
         held = [f"{c}_{s}" for c in keep for s in "ab"]
-        return pairs.where(first & close).select("block", "a", "b", *held, F.levenshtein("a", "b", radius).alias("d"))
+        return pairs.where(F.when(first, close).otherwise(False)).select("block", "a", "b", *held, F.levenshtein("a", "b", radius).alias("d"))
 
     if large.isEmpty():
         return compared(side(items, "a", "block").join(side(items, "b", "block"), "block"))

@@ -83,9 +83,9 @@ def variant_links(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
         F.xxhash64("proof", "o.i").alias("block"), F.col("o.n").alias("n"), "name", "holder"
     )
     # The token that is compared is read from the name on the far side of the exchange.
-    near = radius_pairs(objects, "block", F.get(F.split("name", " "), F.col("n")), radius, keep=("name", "holder"), apart="holder")
-    agree = near.where(names_agree(F.split("name_a", " "), F.split("name_b", " ")))
-    return agree.select(F.col("holder_a").alias("a"), F.col("holder_b").alias("b")).unionByName(stars).distinct()
+    agree = names_agree(F.split("name_a", " "), F.split("name_b", " "))
+    near = radius_pairs(objects, "block", F.get(F.split("name", " "), F.col("n")), radius, keep=("name", "holder"), apart="holder", check=agree)
+    return near.select(F.col("holder_a").alias("a"), F.col("holder_b").alias("b")).unionByName(stars).distinct()
 
 
 def people_of(links: DataFrame, rows: DataFrame) -> DataFrame:
