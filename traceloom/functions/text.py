@@ -112,3 +112,26 @@ def capped_join(values: Column, limit: int = 50) -> Column:
     more = F.size(kept) - limit
     head = F.array_join(F.slice(kept, 1, limit), "|")
     return F.when(more > 0, F.concat(head, F.lit("|...(+"), more.cast("string"), F.lit(" more)"))).otherwise(head)
+
+
+def alias_rules(text: str) -> list[tuple[str, str]]:
+    """Pairs of domain beginnings that stand for each other: ``a.org == mail.a.org; b == c``."""
+    out: list[tuple[str, str]] = []
+    for part in text.replace(";", ",").split(","):
+        left, eq, right = part.partition("==") if "==" in part else part.partition("=")
+        left, right = (x.strip().lower().lstrip("@").strip(".") for x in (left, right))
+        if eq and left and right and left != right and (left, right) not in out and (right, left) not in out:
+            out.append((left, right))
+    return out
+
+
+def email_aliases(value: Column, rules: Iterable[tuple[str, str]]) -> Column:
+    """The address and those it equals by one rule, sorted; a domain begins with a rule's side."""
+    v = F.lower(F.trim(F.coalesce(value, F.lit(""))))
+    local, domain = F.substring_index(v, "@", 1), F.substring_index(v, "@", -1)
+    found = [F.when(v != "", v)]
+    for a, b in [p for left, right in rules for p in ((left, right), (right, left))]:
+        tail = F.substring(domain, F.lit(len(a) + 1), F.length(domain))
+        hit = v.contains("@") & ((domain == a) | domain.startswith(a + "."))
+        found.append(F.when(hit, F.concat(local, F.lit("@"), F.lit(b), tail)))
+    return F.array_sort(F.array_distinct(F.array_compact(F.array(*found))))

@@ -32,3 +32,24 @@ def multiset_overlap(left: DataFrame, right: DataFrame) -> DataFrame:
     a = left.groupBy("token").agg(F.count("*").alias("n"))
     b = right.groupBy("token").agg(F.count("*").alias("m"))
     return a.join(b, "token").agg(F.coalesce(F.sum(F.least("n", "m")), F.lit(0)).alias("shared_rows"), F.count("*").alias("shared_tokens"))
+
+
+def person_tokens(linked: DataFrame, source: str, keys) -> DataFrame:
+    """(source, token): digests of the strong and compound keys of linked evidence."""
+    return linked.select(F.explode(keys).alias("k")).select(F.lit(source).alias("source"), F.sha2("k", 256).alias("token")).distinct()
+
+
+def email_overlap(emails: DataFrame) -> DataFrame:
+    """(left_source, right_source, shared): distinct addresses of each pair of sources.
+
+    emails: (source, email). Sources are few; addresses meet in one aggregate.
+    """
+    per = emails.where("email <> ''").distinct().groupBy("email").agg(F.array_sort(F.collect_set("source")).alias("s")).where(F.size("s") > 1)
+    pairs = F.flatten(F.transform("s", lambda a: F.transform(F.filter("s", lambda b: b > a), lambda b: F.struct(a.alias("l"), b.alias("r")))))
+    return per.select(F.explode(pairs).alias("p")).groupBy(F.col("p.l").alias("left_source"), F.col("p.r").alias("right_source")).agg(F.count("*").alias("shared"))
+
+
+def not_in_list(emails: DataFrame, listed: DataFrame, unit: str) -> DataFrame:
+    """(email, rows): addresses no list holds, with the number of rows they stand in."""
+    free = emails.where("email <> ''").join(listed.select("email").distinct(), "email", "left_anti")
+    return free.groupBy("email").agg(F.count_distinct(unit).alias("rows"))

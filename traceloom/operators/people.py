@@ -75,3 +75,26 @@ def not_in_dataset(people: DataFrame, hits: DataFrame) -> DataFrame:
 def unknown_rows(linked: DataFrame, hits: DataFrame, unit: list[str]) -> DataFrame:
     """Linked evidence that no listed person explains."""
     return linked.join(hits.select(*unit).distinct(), unit, "left_anti")
+
+
+def authoritative_names(findings: DataFrame, exact: DataFrame, names: DataFrame, unit: str = "unit_key") -> DataFrame:
+    """Names per unit: of the one person an exact match points at, else the ones found.
+
+    exact: (unit_key, person); names: (person, name). A unit that points at several
+    people keeps its own names.
+    """
+    sure = exact.select(F.col("unit_key").alias(unit), "person").distinct().groupBy(unit).agg(F.count("*").alias("n"), F.min("person").alias("person")).where("n = 1")
+    own = sure.join(names, "person").select(unit, "name").distinct()
+    found = findings.where("evidence_type = 'Name'").select(unit, F.col("normalized_value").alias("name")).distinct()
+    return own.withColumn("origin", F.lit("person list")).unionByName(found.join(own.select(unit).distinct(), unit, "left_anti").withColumn("origin", F.lit("found")))
+
+
+def value_matrix(hits: DataFrame, types: Sequence[str], limit: int = 50) -> DataFrame:
+    """Per person found, the matched values of each type, joined with a cap."""
+    from traceloom.operators.ordering import capped_values
+
+    out = hits.select("person").distinct()
+    for t in types:
+        name = "".join(c if c.isalnum() else "_" for c in t.lower()) + "_values"
+        out = out.join(capped_values(hits.where(F.col("evidence_type") == t), "person", "value", limit, name), "person", "left")
+    return out.fillna("")

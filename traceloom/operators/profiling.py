@@ -72,3 +72,29 @@ def schema_signature(profile: DataFrame) -> DataFrame:
     """One digest of the profile of all columns: tables of one make share it."""
     row = F.concat_ws(",", "column_name", *[F.format_string("%.1f", F.col(f"{k}_rate")) for k in ("email", "date", "postcode", "numeric")])
     return profile.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(row)), ";"), 256).alias("signature"), F.count("*").alias("columns"))
+
+
+def grouped_candidates(candidates: DataFrame, by: str = "candidate_kind") -> DataFrame:
+    """Candidates of one kind together: best score, columns, values."""
+    return candidates.groupBy(by).agg(F.max("candidate_score").alias("best_score"), F.count("*").alias("columns"), F.sum("distinct_count").alias("values"),
+                                      F.array_join(F.array_sort(F.collect_set("column_name")), "|").alias("labels"))
+
+
+def schema_families(entries: DataFrame, file: list[str], field: str) -> DataFrame:
+    """(family, fields, files): files whose set of fields is the same."""
+    per = entries.select(*file, F.col(field).alias("_f")).distinct().groupBy(*file).agg(F.array_sort(F.collect_set("_f")).alias("_fs"))
+    return per.groupBy(F.array_join("_fs", "|").alias("fields")).agg(F.count("*").alias("files"), F.first(F.size("_fs")).alias("width")).withColumn("family", F.sha2("fields", 256))
+
+
+def draft_rules(candidates: DataFrame, path: str) -> int:
+    """A JSON draft per candidate column, for a person to finish; returns how many."""
+    import json
+    from pathlib import Path
+
+    Path(path).mkdir(parents=True, exist_ok=True)
+    rows = candidates.select("column_name", "candidate_kind").collect()
+    for r in rows:
+        slug = "".join(c if c.isalnum() else "_" for c in r.column_name.lower())
+        draft = {"evidence_type": f"Unknown Identifier: {r.column_name}", "pattern_name": f"profile_candidate_{slug}", "pattern": "", "normal": "compact_upper", "kind": r.candidate_kind}
+        (Path(path) / f"{slug}.json").write_text(json.dumps(draft, indent=1), encoding="utf-8")
+    return len(rows)

@@ -158,3 +158,20 @@ def file_index(files: DataFrame) -> DataFrame:
 
     cols = files.select("path", "size_bytes", "extension", F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5"), F.substring("content", 1, 1 << 20).alias("content"))
     return cols.mapInPandas(look, INDEX)
+
+
+IMAGES = (".png", ".jpg", ".jpeg", ".gif", ".tiff", ".tif", ".bmp", ".webp", ".heic")
+DOCUMENTS = (".pdf", ".doc", ".docx", ".rtf")
+
+
+def file_signals(files: DataFrame, name: str, extension: str) -> DataFrame:
+    """(file_name, evidence_type, confidence): what a name and extension alone say."""
+    from traceloom.functions.validators import identity_document_file
+
+    ext = F.concat(F.lit("."), F.regexp_replace(F.lower(F.col(extension)), r"^\.", ""))
+    image, document = ext.isin(*IMAGES), ext.isin(*DOCUMENTS)
+    signals = F.array_compact(F.array(
+        F.when(image, F.struct(F.lit("Pictures").alias("t"), F.lit("high").alias("c"))), F.when(document, F.struct(F.lit("Document Info").alias("t"), F.lit("low").alias("c"))),
+        F.when((image | document) & identity_document_file(F.col(name)), F.struct(F.lit("Identity Document File").alias("t"), F.lit("medium").alias("c"))),
+    ))
+    return files.select(F.col(name).alias("file_name"), F.explode(signals).alias("s")).select("file_name", F.col("s.t").alias("evidence_type"), F.col("s.c").alias("confidence"))

@@ -48,3 +48,18 @@ def html_report(path: str, title: str, rows: list[dict]) -> None:
     head = "".join(f"<th>{escape(c)}</th>" for c in cols)
     body = "".join("<tr>" + "".join(f"<td>{escape(str(r[c]))}</td>" for c in cols) + "</tr>" for r in rows)
     Path(path).write_text(f"<!doctype html><title>{escape(title)}</title><h1>{escape(title)}</h1><table><tr>{head}</tr>{body}</table>", encoding="utf-8")
+
+
+def write_person_evidence(links: DataFrame, path: str, form: str = "parquet") -> None:
+    """One folder per person, named by a digest so that no name or address is a path."""
+    links.withColumn("person_digest", F.md5(F.col("person").cast("string"))).write.mode("overwrite").partitionBy("person_digest").format(form).save(path)
+
+
+def write_index(index: DataFrame, path: str) -> None:
+    """A file or person index as JSON lines, to be trusted by a later run."""
+    index.write.mode("overwrite").json(path)
+
+
+def read_index(spark, path: str, like: DataFrame) -> DataFrame:
+    """An index written before, with the columns and types of ``like``."""
+    return spark.read.schema(like.schema).json(path)
