@@ -33,14 +33,16 @@ def radius_pairs(
     the lesser value comes first. ``check`` is a further condition on both sides'
     kept columns, evaluated for pairs within the radius only. ``text`` may be an expression over the columns
     that travel, so that a long string need not be shuffled beside what it is
-    derived from. Everything before the pivots reads one exchange by block.
+    derived from. Everything before the pivots reads one exchange by block. Repeated
+    rows give repeated pairs where ``apart`` is given, and one pair otherwise.
     """
     x = F.col(text) if isinstance(text, str) else text
     source = [F.col(c) for c in objects.columns if c not in (block, *keep)]
     raw = objects.select(F.col(block).alias("block"), *source, *keep).where("block IS NOT NULL")
     # An upper bound of the blocks' sizes, aggregated before it is shuffled.
     large = raw.groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") > cell)
-    items = raw.repartition("block").distinct().select("block", x.alias("x"), *keep).where("x IS NOT NULL")
+    placed = raw.repartition("block")
+    items = (placed if apart else placed.distinct()).select("block", x.alias("x"), *keep).where("x IS NOT NULL")
 
     def side(df: DataFrame, name: str, *on: str) -> DataFrame:
         return df.select(*on, F.col("x").alias(name), F.length("x").alias(f"len_{name}"), *[F.col(c).alias(f"{c}_{name}") for c in keep])

@@ -76,11 +76,11 @@ def variant_links(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
     holders = known.groupBy("proof", "name").agg(F.min("key").alias("holder"))
     stars = known.join(holders, ["proof", "name"]).where("key <> holder").select(F.col("key").alias("a"), F.col("holder").alias("b"))
     tokens = F.split("name", " ")
-    shapes = F.flatten(F.flatten(F.transform(tokens, lambda i: F.transform(
-        F.filter(F.transform(tokens, lambda j, n: F.struct(j.alias("j"), n.cast("tinyint").alias("n"))), lambda t: (i != t["j"]) & (F.length(t["j"]) >= 3)),
-        lambda t: F.transform(initials_of(i), lambda c: F.struct(c.alias("i"), t["n"].alias("n")))))))
-    objects = holders.select("proof", "name", "holder", F.explode(shapes).alias("o")).select(
-        F.xxhash64("proof", "o.i").alias("block"), F.col("o.n").alias("n"), "name", "holder"
+    # Two generators are compiled code, nested functions over arrays would be interpreted.
+    wholes = holders.select("proof", "name", "holder", F.posexplode(tokens).alias("n", "t")).where(F.length("t") >= 3)
+    others = wholes.select("proof", "name", "holder", F.col("n").cast("tinyint").alias("n"), F.posexplode(tokens).alias("m", "i")).where("m <> n")
+    objects = others.select("proof", "n", "name", "holder", F.explode(initials_of(F.col("i"))).alias("c")).select(
+        F.xxhash64("proof", "c").alias("block"), "n", "name", "holder"
     )
     # The token that is compared is read from the name on the far side of the exchange.
     agree = names_agree(F.split("name_a", " "), F.split("name_b", " "))

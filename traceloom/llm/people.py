@@ -67,7 +67,7 @@ def initials_of(token: Column) -> Column:
             by.setdefault(short, set()).add(full[0])
     other = F.create_map(*[x for s, i in sorted(by.items()) for x in (F.lit(s), F.array(*[F.lit(c) for c in sorted(i)]))])
     own = F.array(F.substring(token, 1, 1))
-    return F.coalesce(F.concat(own, F.get(F.array(other[token]), F.lit(0))), own)
+    return F.coalesce(F.concat(own, F.element_at(other, token)), own)
 
 
 def same_name_pairs() -> list[tuple[str, str]]:
@@ -95,7 +95,7 @@ def name_tokens(name: Column) -> Column:
     longest = max(len(s) for f in NICKNAMES.values() for s in f.split())
 
     def whole(t: Column) -> Column:
-        named = F.when(F.length(t) <= longest, F.coalesce(F.get(F.array(full[t]), F.lit(0)), t)).otherwise(t)
+        named = F.when(F.length(t) <= longest, F.coalesce(F.element_at(full, t), t)).otherwise(t)
         return F.when(t.startswith("vander") & (F.length(t) > 8), F.substring(t, 7, 99)).otherwise(named)
 
     return F.array_sort(F.array_distinct(F.transform(tokens, whole)))
@@ -115,7 +115,7 @@ def birth_parts(value: Column) -> tuple[Column, Column, Column]:
     for pattern, y, m, d in reversed(forms):
         hit = v.rlike(pattern)
         year = F.when(hit, F.regexp_extract(v, pattern, y)).otherwise(year)
-        mm = F.lit(None).cast("string") if m == 0 else two(F.regexp_extract(v, pattern, m)) if m > 0 else F.get(F.array(months[F.regexp_extract(v, pattern, -m)]), F.lit(0))
+        mm = F.lit(None).cast("string") if m == 0 else two(F.regexp_extract(v, pattern, m)) if m > 0 else F.element_at(months, F.regexp_extract(v, pattern, -m))
         month = F.when(hit, mm).otherwise(month)
         day = F.when(hit, two(F.regexp_extract(v, pattern, d)) if d else F.lit(None).cast("string")).otherwise(day)
     unknown = (year == "1900") | (year < "1900")
