@@ -22,7 +22,7 @@ from traceloom.session import cut
 
 #: Rate of the exponential shifts (an edge is cut with about this chance), the
 #: radius at which the growth of a round ends, and the most rounds.
-BETA, STEPS, ROUNDS = 0.05, 4, 60
+BETA, STEPS, ROUNDS = 0.05, 3, 60
 #: Members of a key that one star holds.
 STAR = 512
 

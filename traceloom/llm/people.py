@@ -123,9 +123,15 @@ def birth_parts(value: Column) -> tuple[Column, Column, Column]:
 
 
 def birth_date(value: Column) -> Column:
-    """yyyymmdd of a full date, else null."""
-    y, m, d = birth_parts(value)
-    return F.concat(y, m, d)
+    """yyyymmdd of a full date, else null; the usual form is tried first and costs one test."""
+    v = F.trim(value)
+    iso = v.rlike(r"^\d{4}-?\d{2}-?\d{2}")
+    plain = F.substring(F.translate(v, "-", ""), 1, 8)
+    slashed = v.rlike(r"^\d{1,2}[/.]\d{1,2}[/.]\d{4}$")
+    part = F.split(F.translate(v, ".", "/"), "/")
+    turned = F.concat(F.get(part, F.lit(2)), F.lpad(F.get(part, F.lit(1)), 2, "0"), F.lpad(F.get(part, F.lit(0)), 2, "0"))
+    date = F.when(iso, plain).when(slashed, turned).when(F.length(v) >= 9, F.concat(*birth_parts(value)))
+    return F.when(date >= "1901", date)
 
 
 def mailbox(value: Column) -> Column:
