@@ -81,4 +81,20 @@ def p5_group_sizes(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES = {"p5_found": p5_found, "p5_group_sizes": p5_group_sizes}
-SQL: dict[str, str] = {}
+#: The same by a transitive closure; fit for groups of some hundred rows, not for hubs.
+_GROUPS_SQL = r"""
+WITH RECURSIVE keys AS (SELECT cluster_no, unnest(string_split_regex(coalesce(cluster_merge_keys, ''), '\s*[|;,]\s*')) AS k FROM clusters_not_in_list),
+anchors AS (SELECT cluster_no, unnest(string_split_regex(coalesce(cluster_anchor_values, ''), '\s*\|\s*')) AS a FROM clusters_not_in_list),
+typed AS (SELECT cluster_no, lower(trim(split_part(k, ':', 2))) AS t, lower(trim(k[length(split_part(k, ':', 1)) + length(split_part(k, ':', 2)) + 3:])) AS v FROM keys WHERE lower(k) LIKE 'strong:%'
+  UNION SELECT cluster_no, lower(trim(split_part(a, '=', 1))), lower(trim(a[length(split_part(a, '=', 1)) + 2:])) FROM anchors WHERE a LIKE '%=%'),
+tokens AS (SELECT cluster_no, 'v:' || CASE WHEN t IN ('email', 'institutional email', 'personal email') THEN 'email' ELSE t END || '=' || v AS tok FROM typed WHERE t NOT IN ('dob', 'name', '') AND v <> ''
+  UNION SELECT cluster_no, 'c:' || array_to_string(list_transform(string_split(k, ':'), lambda x: lower(trim(x))), ':') FROM keys WHERE lower(k) LIKE 'compound:%'
+  UNION SELECT cluster_no, 'p:' || lower(trim(person_cluster_id)) FROM clusters_not_in_list WHERE trim(person_cluster_id) <> ''),
+edges AS (SELECT DISTINCT a.cluster_no AS x, b.cluster_no AS y FROM tokens a JOIN tokens b ON a.tok = b.tok AND a.cluster_no <> b.cluster_no),
+reach AS (SELECT x, y FROM edges UNION SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x)
+SELECT x AS cluster_no, least(x, min(y)) AS group_no FROM reach GROUP BY x
+"""
+SQL: dict[str, str] = {
+    "p5_found": _GROUPS_SQL,
+    "p5_group_sizes": f"SELECT group_size, count(*) AS n_groups FROM (SELECT group_no, count(*) AS group_size FROM ({_GROUPS_SQL}) GROUP BY 1) GROUP BY 1",
+}
