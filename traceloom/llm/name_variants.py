@@ -24,6 +24,8 @@ from traceloom.llm.people import initials_of, people_rows, same_name_pairs
 from traceloom.session import cut, table
 
 RADIUS = 2
+#: Mailbox columns a row of people has at most.
+MAILS = 2
 
 
 def tokens_agree(a: Column, b: Column) -> Column:
@@ -59,11 +61,10 @@ def evidence(rows: DataFrame) -> DataFrame:
     Names travel as one text, evidence and keys as 64 bits: all are shuffled more
     than once, and numbers aggregate by hash where texts would be sorted.
     """
-    proofs = F.array_compact(F.concat(
-        F.array(F.concat(F.lit("d"), F.col("dob"))), F.transform("mails", lambda m: F.when(F.length(m) >= 4, F.concat(F.lit("m"), m))),
-    ))
+    mail = lambda i: F.when(F.length(F.get("mails", F.lit(i))) >= 4, F.concat(F.lit("m"), F.get("mails", F.lit(i))))
+    proofs = F.array(F.concat(F.lit("d"), F.col("dob")), *[mail(i) for i in range(MAILS)])
     named = rows.where(F.size("tokens") >= 2).select(F.xxhash64("key").alias("key"), F.array_join("tokens", " ").alias("name"), F.explode(proofs).alias("proof"))
-    return named.select(F.xxhash64("proof").alias("proof"), "name", "key").distinct()
+    return named.where("proof IS NOT NULL").select(F.xxhash64("proof").alias("proof"), "name", "key").distinct()
 
 
 def variant_links(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
