@@ -4,7 +4,8 @@ A rolling hash over the last tokens marks landmarks that depend on nothing but
 the text around them. A piece ends at the first landmark between its least and
 its greatest size, snapped to the nearest natural boundary (paragraph, then line
 or sentence, then word) near it, so an edit moves the cuts next to it only.
-Consecutive pieces share ``overlap`` tokens of the text's own token sequence.
+Consecutive pieces share ``overlap`` tokens, a few more where characters or merges
+would make the shared text come out shorter when it is tokenized by itself.
 
 Defined results: a text within the limit, an empty or a null text gives no
 pieces; a text without boundaries is cut between characters; every piece has at
@@ -54,8 +55,8 @@ def _own_size(enc, clean: str, char_of: np.ndarray, safe: np.ndarray, a: int, b:
     so only the stretches outside the first and the last such token can differ
     from the text's own tokens; those are tokenized again.
     """
-    i = np.searchsorted(safe, a)
-    j = np.searchsorted(safe, b) - 1
+    i = safe.searchsorted(a)
+    j = safe.searchsorted(b) - 1
     if i >= len(safe) or j <= i:
         return len(enc.encode_ordinary(clean[char_of[a]:char_of[b]]))
     first, last = int(safe[i]), int(safe[j])
@@ -72,11 +73,15 @@ def _boundary_tokens(text: str, ids: np.ndarray, starts: np.ndarray, char_of: np
     out = []
     for pattern in (PARAGRAPH, SENTENCE):
         ends = np.array([m.end() for m in pattern.finditer(text)], dtype=np.int64)
-        at = np.searchsorted(char_of, ends, side="left")
+        at = char_of.searchsorted(ends, side="left")
         # Blanks before a word belong to its token: then the cut is one token earlier.
         at = np.where(char_of[np.minimum(at, len(char_of) - 1)] != ends, at - 1, at)
-        out.append(np.unique(at[(at > 0) & (at < len(char_of))]))
-    out.append(np.union1d(safe[safe > 0], np.flatnonzero(closes[ids[:-1]]) + 1))
+        out.append(at[(at > 0) & (at < len(char_of))])
+    ends = np.zeros(len(ids), dtype=bool)
+    ends[safe] = True
+    ends[1:] |= closes[ids[:-1]]
+    ends[0] = False
+    out.append(np.flatnonzero(ends))
     return [b[starts[b]] for b in out]
 
 
@@ -104,18 +109,20 @@ def cut_text_for(text: str, limits: list[tuple[int, int]], path: str = TOKENIZER
     safe = np.flatnonzero(worded[ids])
     classes = _boundary_tokens(clean, ids, whole, char_of, safe, closes)
     return [
-        _pieces(enc, clean, ids, whole, char_of, classes, safe, most, overlap) if n > most else [] for most, overlap in limits
+        _pieces(enc, clean, ids, whole, char_of, classes, safe, worded, most, overlap) if n > most else [] for most, overlap in limits
     ]
 
 
-def _pieces(enc, clean, ids, whole, char_of, classes, safe, max_tokens: int, overlap: int) -> list[tuple]:
+def _pieces(enc, clean, ids, whole, char_of, classes, safe, worded, max_tokens: int, overlap: int) -> list[tuple]:
     n, most = len(ids), max_tokens - overlap
     least, reach = max(1, int(most * LEAST)), max(1, int(most * REACH))
     marks = _landmarks(ids, max(2, (most - least) // 4))
     pieces, own = [], 0
     while own < n:
         back = own - overlap if own else 0
-        while back > 0 and not whole[back]:
+        # The shared text alone must have the stated tokens too, not only within the text.
+        settled = not own or not overlap or (worded[ids[own]] and worded[ids[back]])
+        while back > 0 and (not whole[back] or (not settled and _own_size(enc, clean, char_of, safe, back, own) < overlap)):
             back -= 1
         top = min(n, back + max_tokens)
         if top == n and n - back <= max_tokens:
@@ -139,11 +146,11 @@ def _pieces(enc, clean, ids, whole, char_of, classes, safe, max_tokens: int, ove
 
 def _choose(low: int, high: int, reach: int, marks: np.ndarray, classes: list[np.ndarray], whole: np.ndarray) -> tuple[int, str]:
     """Where a piece that may end from low to high ends, and at what."""
-    i = np.searchsorted(marks, low)
+    i = marks.searchsorted(low)
     goal = int(marks[i]) if i < len(marks) and marks[i] <= high else high
     a, b = max(low, goal - reach), min(high, goal + reach)
     for kind, at in zip(("paragraph", "sentence", "word"), classes):
-        near = at[np.searchsorted(at, a):np.searchsorted(at, b, side="right")]
+        near = at[at.searchsorted(a):at.searchsorted(b, side="right")]
         if len(near):
             return int(near[np.argmin(np.abs(near - goal))]), kind
     while goal > low and not whole[goal]:
