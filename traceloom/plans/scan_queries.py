@@ -308,6 +308,12 @@ SELECT unit_key, n_chars, finding_count, """ + ", ".join(f"c{i} AS count_{''.joi
     "i_exposure": _EXPOSED + """ SELECT person, array_to_string(types, '|') AS evidence_types, matched_units, matched_values, 'medium' AS risk_level, 60 AS risk_score FROM exposed""",
     "i_risk_matrix": _EXPOSED + """ SELECT p.person, CASE WHEN e.person IS NULL THEN 'none' ELSE 'medium' END AS risk_level, CASE WHEN list_contains(types, 'Email') THEN 'yes' ELSE 'no' END AS has_email,
   CASE WHEN list_contains(types, 'Name') THEN 'yes' ELSE 'no' END AS has_name FROM (SELECT DISTINCT id AS person FROM contacts) p LEFT JOIN exposed e ON p.person = e.person""",
+    "i_unknown": _LINKED + f""", {_CONTACT_ANCHORS}, links AS (SELECT DISTINCT unit_key FROM findings f JOIN anchors a ON f.evidence_type = a.evidence_type AND f.normalized_value = a.value)
+SELECT unit_key, anchor_type, (SELECT min(v) FROM ev WHERE ev.unit_key = reasons.unit_key AND ev.t = reasons.anchor_type) AS anchor_value FROM reasons WHERE unit_key NOT IN (SELECT unit_key FROM links)""",
+    "d_evidence": _LINKED + """, rows AS (SELECT unit_key, array_to_string(vals, '|') AS e, lower(array_to_string(list_sort(list_transform(vals, lambda x: lower(x))), '|')) AS sig, anchor_type,
+  (SELECT min(v) FROM ev WHERE ev.unit_key = reasons.unit_key AND ev.t = reasons.anchor_type) AS av,
+  CASE WHEN len(list_filter(r, lambda x: x <> 'supporting_contact_details_linked')) > 0 THEN 'high' WHEN len(r) > 0 OR e OR pp THEN 'medium' ELSE 'low' END AS risk FROM reasons)
+SELECT count(*) AS duplicate_count, min(unit_key) AS first_row, arg_min(e, unit_key) AS evidence_values, arg_min(risk, unit_key) AS risk_level FROM rows GROUP BY sig, anchor_type, lower(av)""",
     "i_not_found": _LINKS + " SELECT DISTINCT id AS person FROM contacts WHERE id NOT IN (SELECT person FROM links)",
 }
 QUERIES = {f.__name__: f for f in (
