@@ -6,7 +6,7 @@ from pathlib import Path
 
 import pytest
 
-from traceloom.llm.drift import FAMILY, canonical, changes, column_entries, edit_scripts, json_entries, p6_unified
+from traceloom.llm.drift import COLUMNS, FAMILY, canonical, changes, column_entries, edit_scripts, first_names, json_entries, p6_roster, p6_unified, typed_records, unify
 from traceloom.llm.schema_tree import assignment, script
 
 
@@ -70,3 +70,27 @@ def test_unified_table_keeps_every_record(spark):
     assert out.count() == drops.count()
     filled = out.selectExpr("avg(int(full_name IS NOT NULL)) AS n", "avg(int(external_ref IS NOT NULL)) AS r", "avg(int(mailbox IS NOT NULL)) AS m").first()
     assert filled.n > 0.99 and filled.r > 0.99 and filled.m > 0.9
+
+
+@pytest.mark.skipif(not Path(DATA).exists(), reason="needs the test tables")
+def test_roster_holds_the_records_of_all_three_tables(spark):
+    out = p6_roster(spark, DATA).cache()
+    tables = {x: spark.read.parquet(f"{DATA}/{x}.parquet") for x in ("roster_drops", "roster_contacts_a", "roster_contacts_b")}
+    assert out.count() == sum(t.count() for t in tables.values())
+    b = tables["roster_contacts_b"].selectExpr("roster_b_no AS line_no", "full_name", *[f"CAST({y} AS string) AS {x}" for y, x in FAMILY.items()])
+    assert b.exceptAll(out.where("file_name = 'roster_contacts_b'").select(*b.columns)).count() == 0
+    # The files' own records are those of p6_unified.
+    drops = out.where("series <> 'roster_contacts'")
+    assert drops.exceptAll(p6_unified(spark, DATA)).count() == 0
+    out.unpersist()
+
+
+def test_typed_tables_follow_their_own_script(spark):
+    people = [(i, f"Person {i:03d}", f"p{i:03d}@x.org", f"REF{i:04d}") for i in range(20)]
+    a = spark.createDataFrame(people, "no long, full_name string, mailbox string, external_ref string")
+    b = spark.createDataFrame(people, "no long, full_name string, post string, ident string")
+    entries = column_entries(a, "roster_contacts", 1, "a", "no").unionByName(column_entries(b, "roster_contacts", 2, "b", "no"))
+    typed = typed_records(a, "roster_contacts", 1, "a", "no").unionByName(typed_records(b, "roster_contacts", 2, "b", "no"))
+    out = unify(typed, first_names(edit_scripts(entries), entries))
+    assert {tuple(r) for r in out.select("file_name", "line_no", *COLUMNS[:2], "external_ref").collect()} == {
+        (f, i, n, m, x) for f in "ab" for i, n, m, x in people}

@@ -181,12 +181,15 @@ def changes(scripts: DataFrame) -> DataFrame:
     return moved.unionByName(retyped)
 
 
+#: The typed tables of one series, in their order, each with its row key.
+TYPED, TYPED_TABLES = "roster_contacts", (("roster_contacts_a", "roster_a_no"), ("roster_contacts_b", "roster_b_no"))
+
+
 def _all_entries(spark: SparkSession, base: str) -> DataFrame:
-    return cut(
-        json_entries(table(spark, base, "roster_drops"))
-        .unionByName(column_entries(table(spark, base, "roster_contacts_a"), "roster_contacts", 1, "roster_contacts_a", "roster_a_no"))
-        .unionByName(column_entries(table(spark, base, "roster_contacts_b"), "roster_contacts", 2, "roster_contacts_b", "roster_b_no"))
-    )
+    entries = json_entries(table(spark, base, "roster_drops"))
+    for seq, (name, key) in enumerate(TYPED_TABLES, 1):
+        entries = entries.unionByName(column_entries(table(spark, base, name), TYPED, seq, name, key))
+    return cut(entries)
 
 
 def p6_found(spark: SparkSession, base: str) -> DataFrame:
@@ -210,42 +213,73 @@ def _compose(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["series", "seq", "fields"])
 
 
-#: Names of the second family of feeds in the terms of the first; it is the
-#: script from roster_contacts_a to roster_contacts_b, checked by a test.
+#: Names of the second family of feeds in the terms of the first, as the script from
+#: roster_contacts_a to roster_contacts_b has them in the given tables; a test compares.
 FAMILY = {"user_contact": "mailbox", "born_when": "birth_when", "reference_code": "external_ref"}
 COLUMNS = ("full_name", "mailbox", "birth_when", "external_ref", "postcode", "status_flag", "category_flag")
 
 
-def p6_unified(spark: SparkSession, base: str) -> DataFrame:
-    """All roster records in one table; fields outside its columns stay in ``more``."""
-    entries = _all_entries(spark, base)
-    scripts = edit_scripts(entries).where("series <> 'roster_contacts'")
-    maps = scripts.groupBy("series").applyInPandas(_compose, ORIGIN_SCHEMA)
-    drops = table(spark, base, "roster_drops").where("series IS NOT NULL AND file_seq IS NOT NULL")
-    firsts = drops.groupBy("series").agg(F.min("file_seq").cast("long").alias("first_seq"))
-    maps = maps.join(firsts, "series").select(
+def first_names(scripts: DataFrame, entries: DataFrame) -> DataFrame:
+    """(series, seq, fields): the name that each field of a file had first in its series."""
+    firsts = entries.groupBy("series").agg(F.min("seq").alias("first_seq"))
+    return scripts.groupBy("series").applyInPandas(_compose, ORIGIN_SCHEMA).join(firsts, "series").select(
         "series", F.when(F.col("seq") == -1, F.col("first_seq")).otherwise(F.col("seq")).alias("seq"), "fields"
     )
-    records = drops.select(
-        "series", F.col("file_seq").cast("long").alias("seq"), "file_name", "line_no",
-        F.from_json("record_text", "map<string,string>").alias("rec"),
-    ).join(maps, ["series", "seq"], "left")
-    family = F.create_map(*[F.lit(x) for kv in FAMILY.items() for x in kv])
+
+
+def unify(records: DataFrame, maps: DataFrame) -> DataFrame:
+    """Records (series, seq, file_name, line_no, rec) under one set of names; fields outside its columns stay in ``more``.
+
+    A field takes the name it had first in its series, and that name the one by
+    which the series of typed tables knows it.
+    """
     slug = lambda c: F.regexp_replace(F.lower(c), "[^a-z0-9]+", "_")
+    # One row, also if there is no script between the typed tables.
+    family = maps.where((F.col("series") == TYPED) & (F.col("seq") > 1)).agg(F.first("fields").alias("family"))
+    known = records.join(maps, ["series", "seq"], "left").crossJoin(F.broadcast(family))
+    first = lambda k: slug(F.coalesce(F.element_at("fields", k), k))
     named = F.map_from_entries(F.array_distinct(F.transform(
-        F.map_entries("rec"),
-        lambda e: F.struct(
-            F.coalesce(F.element_at(family, slug(F.coalesce(F.element_at("fields", e["key"]), e["key"]))), slug(F.coalesce(F.element_at("fields", e["key"]), e["key"]))).alias("key"),
-            e["value"].alias("value"),
-        ),
+        F.map_entries("rec"), lambda e: F.struct(F.coalesce(F.element_at("family", first(e["key"])), first(e["key"])).alias("key"), e["value"].alias("value")),
     )))
-    records = records.withColumn("_named", named)
-    return records.select(
-        "series", "file_name", F.col("line_no").cast("long").alias("line_no"),
-        *[F.element_at("_named", F.lit(c)).alias(c) for c in COLUMNS],
+    return known.withColumn("_named", named).select(
+        "series", "file_name", "line_no", *[F.element_at("_named", F.lit(c)).alias(c) for c in COLUMNS],
         F.to_json(F.map_filter("_named", lambda k, v: ~k.isin(*COLUMNS))).alias("more"),
     )
 
 
-QUERIES = {"p6_found": p6_found, "p6_unified": p6_unified}
+def _drop_records(spark: SparkSession, base: str) -> DataFrame:
+    return table(spark, base, "roster_drops").where("series IS NOT NULL AND file_seq IS NOT NULL").select(
+        "series", F.col("file_seq").cast("long").alias("seq"), "file_name", F.col("line_no").cast("long").alias("line_no"),
+        F.from_json("record_text", "map<string,string>").alias("rec"),
+    )
+
+
+def typed_records(df: DataFrame, series: str, seq: int, file_name: str, key: str) -> DataFrame:
+    """Records of a typed table; its row key is the line number."""
+    fields = F.create_map(*[x for c in df.columns if c != key for x in (F.lit(c), F.col(f"`{c}`").cast("string"))])
+    return df.select(
+        F.lit(series).alias("series"), F.lit(seq).cast("long").alias("seq"), F.lit(file_name).alias("file_name"),
+        F.col(f"`{key}`").cast("long").alias("line_no"), fields.alias("rec"),
+    )
+
+
+def _maps(spark: SparkSession, base: str) -> DataFrame:
+    entries = _all_entries(spark, base)
+    return cut(first_names(edit_scripts(entries), entries))
+
+
+def p6_unified(spark: SparkSession, base: str) -> DataFrame:
+    """All records of roster_drops in one table; p6_roster has those of the typed tables too."""
+    return unify(_drop_records(spark, base), _maps(spark, base))
+
+
+def p6_roster(spark: SparkSession, base: str) -> DataFrame:
+    """All roster records, of the files and of both typed tables, in one table."""
+    records = _drop_records(spark, base)
+    for seq, (name, key) in enumerate(TYPED_TABLES, 1):
+        records = records.unionByName(typed_records(table(spark, base, name), TYPED, seq, name, key))
+    return unify(records, _maps(spark, base))
+
+
+QUERIES = {"p6_found": p6_found, "p6_unified": p6_unified, "p6_roster": p6_roster}
 SQL: dict[str, str] = {}
