@@ -32,6 +32,13 @@ def test_radius_pairs_are_all_pairs(spark, cell, radius):
     assert radius_pairs(spark.createDataFrame([], "k string, x string"), "k", "x", 2).count() == 0
 
 
+def test_large_block_of_few_strings_keeps_its_pairs(spark):
+    rows = [("b", "jones" if i % 2 else "johns", i) for i in range(300)] + [("c", "only", i) for i in range(300)]
+    got = radius_pairs(spark.createDataFrame(rows, "k string, x string, id int"), "k", "x", 2, keep=("id",), apart="id")
+    # Rows of one string pair too, as they differ in id.
+    assert {r.block: r["count"] for r in got.groupBy("block").count().collect()} == {"b": 300 * 299 // 2, "c": 300 * 299 // 2}
+
+
 def test_name_tokens(spark):
     cases = {"Dr Maddy O'Lark": ["madeleine", "olark"], "LARK, José": ["jose", "lark"], "Ann van der Lark": ["ann", "lark"],
              "Ann vanderWenquist": ["ann", "wenquist"], "O1umide Skels0n": ["olumide", "skelson"], "Ma McLark": ["ma", "mclark"], "": [], "?": []}
@@ -70,3 +77,13 @@ def test_links_and_people(spark):
     assert list(by.values()) == [{"K1", "K2", "K3"}]
     empty = df.limit(0)
     assert people_of(variant_links(empty), empty).count() == 0
+
+
+def test_crowded_evidence_links_as_a_small_one(spark):
+    # The block of a compared token has more rows than a cell, but two strings.
+    rows = [(f"K{i}", ["an", "jones" if i % 2 else "johns"], "19900102", []) for i in range(2)]
+    many = rows + [(f"M{i}", ["a" + "bcdefghijklmnopqrst"[i % 19] + "bcdefghijklmnopqrst"[i // 19] + "xyzuvw", "jones" if i % 2 else "johns"], "19900102", []) for i in range(300)]
+    schema = "key string, tokens array<string>, dob string, mails array<string>"
+    ids = {r.h: r.key for r in spark.createDataFrame(rows, schema).select("key", F.xxhash64("key").alias("h")).collect()}
+    got = [{frozenset((ids.get(r.a), ids.get(r.b))) for r in variant_links(spark.createDataFrame(x, schema)).collect()} for x in (rows, many)]
+    assert frozenset(("K0", "K1")) in got[0] and frozenset(("K0", "K1")) in got[1]

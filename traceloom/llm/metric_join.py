@@ -61,12 +61,17 @@ def radius_pairs(
     large = cut(large)
     small = items.join(large, "block", "left_anti")
     within = compared(side(small, "a", "block").join(side(small, "b", "block"), "block"))
-    # Pivots are the strings of least hash: a bounded number for each large block.
-    few = F.least(F.lit(pivots), F.ceil(F.col("n") / cell)).cast("int")
-    part = F.pmod(F.xxhash64("x"), F.lit(1 << 30)) / float(1 << 30)
+    # Pivots are distinct strings of least hash: a bounded number for each large block,
+    # one at least, however few strings its rows hold.
     crowded = items.join(large, "block")
-    near = crowded.where(part < F.greatest(F.lit(4.0) * few, F.lit(64.0)) / F.col("n"))
-    chosen = near.groupBy("block", few.alias("k")).agg(F.sort_array(F.collect_set(F.struct(F.xxhash64("x").alias("h"), "x"))).alias("p"))
+    part = F.pmod(F.xxhash64("x"), F.lit(1 << 30)) / float(1 << 30)
+    strings = crowded.select("block", "n", "x", part.alias("part")).distinct()
+    few = F.least(F.lit(pivots), F.ceil(F.col("n") / cell)).cast("int")
+    counts = strings.groupBy("block", "n").agg(F.count("*").alias("strings"), F.min("part").alias("first")).select(
+        "block", "first", few.alias("k"), (F.greatest(F.lit(4.0) * few, F.lit(64.0)) / F.col("strings")).alias("upto")
+    )
+    near = strings.join(counts, "block").where((F.col("part") < F.col("upto")) | (F.col("part") == F.col("first")))
+    chosen = near.groupBy("block", "k").agg(F.sort_array(F.collect_set(F.struct("part", "x"))).alias("p"))
     chosen = chosen.select("block", F.transform(F.slice("p", 1, F.greatest("k", F.lit(1))), lambda s: s["x"]).alias("p"))
     far = crowded.join(chosen, "block").withColumn("d", F.transform("p", lambda p: F.levenshtein(F.col("x"), p)))
     far = far.withColumn("least", F.array_min("d")).withColumn("own", F.array_position("d", F.col("least")).cast("int") - 1)
