@@ -22,8 +22,8 @@ from traceloom.operators.profiling import column_profile, value_type
 from traceloom.operators.rules import RULES, Rule, load_rules, resolve_header, rules_for
 from traceloom.operators.scan import FINDING, cap_findings, lines, match_text, scan_table, scan_text
 from traceloom.operators.summary import entity_summary, regex_summary
-from traceloom.sources.files import excluded, file_index, hidden, list_files
-from traceloom.sources.records import record_units
+from traceloom.sources.files import decode, excluded, file_index, hidden, list_files
+from traceloom.sources.records import record_units, rest_text, texts
 from traceloom.sources.sinks import write_evidence, write_manifest, write_table
 
 STAGES = ("scanning", "clustering", "reidentification", "reporting")
@@ -59,6 +59,12 @@ def scan_units(units: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return found.select("unit_key", "row_number", "f.*").drop("source_column").distinct()
 
 
+def numbered(contents: DataFrame, label: str = "") -> DataFrame:
+    """(unit_key, row_number, text): the lines of (key, text)."""
+    rows = contents.select(F.col("key").alias("unit_key"), F.posexplode(lines(F.col("text"))).alias("_p", "text"))
+    return rows.select("unit_key", F.concat(F.lit(label), (F.col("_p") + 1).cast("string")).alias("row_number"), "text")
+
+
 class Engine:
     """Runs the stages of a configuration on a session."""
 
@@ -94,9 +100,15 @@ class Engine:
         c = self.config
         wanted = index.where("NOT binary" if c.duplicate_files == "scan" else "NOT binary AND duplicate_index = 1")
         files = list_files(self.spark, c.root).select("path", "content").join(wanted.select("path", "detected_extension"), "path")
-        units = record_units(files.where(F.col("detected_extension").isin(*STRUCTURED)), "path", "content", F.col("detected_extension"))
-        prose = files.where(F.col("detected_extension").isin(*TEXT)).select(F.col("path").alias("unit_key"), F.posexplode(lines(F.decode("content", "UTF-8"))).alias("_p", "text"))
-        prose = prose.select("unit_key", (F.col("_p") + 1).cast("string").alias("row_number"), "text")
+        kind = F.col("detected_extension")
+        structured, plain = files.where(kind.isin(*STRUCTURED)), files.where(kind.isin(*TEXT))
+        # Places of tables in a text, and of text beside records, are named apart from its lines.
+        units = record_units(structured, "path", "content", kind)
+        tables = record_units(plain.where(~kind.isin(*STRUCTURED)), "path", "content", kind)
+        units = units.unionByName(tables.withColumn("row_number", F.concat(F.lit("table:"), "row_number")))
+        prose = numbered(texts(plain, "path", "content", kind, lambda c, _: decode(c)))
+        rest = numbered(texts(structured.where(~kind.isin(*TEXT)), "path", "content", kind, rest_text), "text:")
+        prose = prose.unionByName(rest)
         found = scan_units(units, self.rules).unionByName(scan_text(prose, self.rules))
         if c.email_suffixes:
             found = found.withColumn("evidence_type", F.when(F.col("evidence_type") == "Email", email_type(F.col("normalized_value"), c.email_suffixes)).otherwise(F.col("evidence_type")))

@@ -185,6 +185,8 @@ class _Tables(HTMLParser):
         self.tables, self.cell, self.text, self.quiet = [], None, [], 0
 
     def handle_starttag(self, tag, attrs):
+        if tag in ("table", "tr", "td", "th"):
+            self.end_cell()  # its end tag may be left out
         if tag == "table":
             self.tables.append([])
         elif tag == "tr" and self.tables:
@@ -197,12 +199,20 @@ class _Tables(HTMLParser):
             self.text.append("\n")
 
     def handle_endtag(self, tag):
-        if tag in ("td", "th") and self.cell is not None:
-            self.tables[-1][-1].append(clean("".join(self.cell)))
-            self.cell = None
+        if tag in ("td", "th", "tr", "table"):
+            self.end_cell()
         elif tag in ("script", "style"):
             self.quiet = max(0, self.quiet - 1)
 
+    def end_cell(self):
+        if self.cell is not None:
+            self.tables[-1][-1].append(clean("".join(self.cell)))
+            self.cell = None
+
+    def close(self):
+        super().close()
+        self.end_cell()
+
     def handle_data(self, data):
         if self.quiet:
             return
@@ -215,6 +225,7 @@ class _Tables(HTMLParser):
 def html_records(text: str) -> list[list[tuple[str, str]]]:
     page = _Tables()
     page.feed(text)
+    page.close()
     out = []
     for t in page.tables:
         if len(t) > 1:
@@ -223,9 +234,12 @@ def html_records(text: str) -> list[list[tuple[str, str]]]:
 
 
 def html_text(text: str) -> str:
+    """Text of a page outside its tables, and of tables of one row, which give no records."""
     page = _Tables()
     page.feed(text)
-    return re.sub(r"[ \t]*\n\s*", "\n", "".join(page.text)).strip()
+    page.close()
+    rows = ["\n" + "\t".join(r) for t in page.tables if len(t) == 1 for r in t]
+    return re.sub(r"[ \t]*\n\s*", "\n", "".join([*page.text, *rows])).strip()
 
 
 def eml_records(raw: bytes | str) -> list[list[tuple[str, str]]]:
@@ -313,6 +327,31 @@ def records_of(content: bytes | str, extension: str) -> tuple[str, list[list[tup
     return "TABLE_ROW", embedded_tables(text)
 
 
+def rest_text(content: bytes | str, extension: str) -> str:
+    """What of a structured content no record holds: all of it if it gives no records.
+
+    Of a page its text, of JSON lines those that are none, in their places.
+    """
+    text = decode(content) if isinstance(content, bytes) else content
+    if extension in (".html", ".htm"):
+        return html_text(text)
+    if extension == ".jsonl":
+        return "\n".join("" if jsonl_records(line) else line for line in text.splitlines())
+    return "" if records_of(content, extension)[1] else text
+
+
+def texts(df: DataFrame, key: str, content: str, extension, read) -> DataFrame:
+    """(key, text) of contents by ``read`` of content and extension."""
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(k, read(c, e or "")) for k, c, e in zip(b["key"], b["content"], b["ext"]) if c is not None]
+            yield pd.DataFrame([r for r in rows if r[1]], columns=["key", "text"])
+
+    cols = df.select(F.col(key).cast("string").alias("key"), F.col(content).alias("content"), extension.alias("ext"))
+    return cols.mapInPandas(walk, "key string, text string")
+
+
 def record_units(df: DataFrame, key: str, content: str, extension) -> DataFrame:
     """(key, row_number, kind, fields) of every record in the contents."""
 
