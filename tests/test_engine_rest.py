@@ -1,5 +1,8 @@
 """Contents that record readers do not hold are scanned as text."""
 
+import os
+import zipfile
+
 from traceloom.cli import parse_args
 from traceloom.engine import Engine
 
@@ -28,3 +31,16 @@ def test_contents_without_records_are_text(spark, tmp_path):
                    ("wide.txt", "wide@x.org"), ("table.txt", "tab@x.org"), ("table.txt", "tabs@x.org")}
     found = spark.read.parquet(str(tmp_path / "out" / "findings"))
     assert found.where("row_number LIKE 'table:%' AND unit_key LIKE '%table.txt'").count() > 0
+
+
+def test_word_files_are_read_whatever_their_size(spark, tmp_path):
+    root = tmp_path / "in"
+    root.mkdir()
+    w = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
+    body = "<w:p><w:r><w:t>write to {0}.par@x.org</w:t></w:r></w:p><w:tbl><w:tr><w:tc><w:p><w:r><w:t>{0}.cell@x.org</w:t></w:r></w:p></w:tc></w:tr></w:tbl>"
+    for name, more in (("small", 0), ("large", 2 << 20)):
+        with zipfile.ZipFile(root / f"{name}.docx", "w") as z:
+            z.writestr("word/media/image.bin", os.urandom(more))
+            z.writestr("word/document.xml", f'<w:document xmlns:w="{w}"><w:body>{body.format(name)}</w:body></w:document>')
+    (root / "broken.docx").write_bytes(b"PK\x03\x04" + bytes(100))
+    assert emails(spark, root, tmp_path / "out") == {(f"{n}.docx", f"{n}.{x}@x.org") for n in ("small", "large") for x in ("par", "cell")}

@@ -29,6 +29,8 @@ from traceloom.sources.sinks import write_evidence, write_manifest, write_table
 STAGES = ("scanning", "clustering", "reidentification", "reporting")
 STRUCTURED = (".csv", ".tsv", ".json", ".jsonl", ".xml", ".html", ".htm", ".eml", ".yaml", ".yml")
 TEXT = (".txt", ".log", ".ini", ".sh", ".dat", ".inx", ".md", ".conf", ".eml")
+#: Packed files with a reader of their own; as bytes they look binary.
+PACKED = (".docx",)
 
 
 def scan_units(units: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -98,7 +100,9 @@ class Engine:
     def scan(self, index: DataFrame) -> DataFrame:
         """Findings of all canonical files, repeated for duplicates where asked."""
         c = self.config
-        wanted = index.where("NOT binary" if c.duplicate_files == "scan" else "NOT binary AND duplicate_index = 1")
+        wanted = index.where(~F.col("binary") | F.col("detected_extension").isin(*PACKED))
+        if c.duplicate_files != "scan":
+            wanted = wanted.where("duplicate_index = 1")
         files = list_files(self.spark, c.root).select("path", "content").join(wanted.select("path", "detected_extension"), "path")
         kind = F.col("detected_extension")
         structured, plain = files.where(kind.isin(*STRUCTURED)), files.where(kind.isin(*TEXT))
@@ -108,7 +112,8 @@ class Engine:
         units = units.unionByName(tables.withColumn("row_number", F.concat(F.lit("table:"), "row_number")))
         prose = numbered(texts(plain, "path", "content", kind, lambda c, _: decode(c)))
         rest = numbered(texts(structured.where(~kind.isin(*TEXT)), "path", "content", kind, rest_text), "text:")
-        prose = prose.unionByName(rest)
+        packed = numbered(texts(files.where(kind.isin(*PACKED)), "path", "content", kind, rest_text))
+        prose = prose.unionByName(rest).unionByName(packed)
         found = scan_units(units, self.rules).unionByName(scan_text(prose, self.rules))
         if c.email_suffixes:
             found = found.withColumn("evidence_type", F.when(F.col("evidence_type") == "Email", email_type(F.col("normalized_value"), c.email_suffixes)).otherwise(F.col("evidence_type")))

@@ -156,7 +156,10 @@ def file_index(files: DataFrame) -> DataFrame:
             b["binary"] = [binary_like(c) for c in b["content"]]
             yield b[["path", "size_bytes", "extension", "detected_extension", "binary", "sha256", "md5"]]
 
-    cols = files.select("path", "size_bytes", "extension", F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5"), F.substring("content", 1, 1 << 20).alias("content"))
+    # The directory of a zip is at its end; of others the beginning tells.
+    zipped = F.substring("content", 1, 4) == F.lit(b"PK\x03\x04")
+    seen = F.when(zipped, F.col("content")).otherwise(F.substring("content", 1, 1 << 20)).alias("content")
+    cols = files.select("path", "size_bytes", "extension", F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5"), seen)
     return cols.mapInPandas(look, INDEX)
 
 

@@ -330,8 +330,14 @@ def records_of(content: bytes | str, extension: str) -> tuple[str, list[list[tup
 def rest_text(content: bytes | str, extension: str) -> str:
     """What of a structured content no record holds: all of it if it gives no records.
 
-    Of a page its text, of JSON lines those that are none, in their places.
+    Of a page its text, of JSON lines those that are none, in their places; of a
+    Word file, which has no records, its text, none if it is damaged.
     """
+    if extension == ".docx":
+        try:
+            return docx_text(content)
+        except (zipfile.BadZipFile, KeyError, ElementTree.ParseError, AttributeError, RuntimeError, NotImplementedError, OSError):
+            return ""
     text = decode(content) if isinstance(content, bytes) else content
     if extension in (".html", ".htm"):
         return html_text(text)
