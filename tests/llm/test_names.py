@@ -1,12 +1,15 @@
 """Names, metric partitioning and variant links."""
 
+import functools
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from traceloom.llm.metric_join import radius_pairs
-from traceloom.llm.name_variants import names_agree, people_of, variant_links
+from traceloom.llm import name_variants
+from traceloom.llm.name_variants import keyed_rows, names_agree, people_of, variant_links
 from traceloom.llm.people import birth_date, birth_parts, mailbox, name_tokens, phone
 
 
@@ -87,3 +90,11 @@ def test_crowded_evidence_links_as_a_small_one(spark):
     ids = {r.h: r.key for r in spark.createDataFrame(rows, schema).select("key", F.xxhash64("key").alias("h")).collect()}
     got = [{frozenset((ids.get(r.a), ids.get(r.b))) for r in variant_links(spark.createDataFrame(x, schema)).collect()} for x in (rows, many)]
     assert frozenset(("K0", "K1")) in got[0] and frozenset(("K0", "K1")) in got[1]
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="needs the test tables")
+def test_small_cells_give_the_same_links(spark, monkeypatch):
+    rows = keyed_rows(spark, "/root/testdata/sf0.001")
+    whole = {tuple(r) for r in variant_links(rows).collect()}
+    monkeypatch.setattr(name_variants, "radius_pairs", functools.partial(radius_pairs, cell=3, pivots=4))
+    assert {tuple(r) for r in variant_links(rows).collect()} == whole != set()
