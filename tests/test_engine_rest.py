@@ -5,6 +5,7 @@ import zipfile
 
 from traceloom.cli import parse_args
 from traceloom.engine import Engine
+from traceloom.sources.records import eml_records, rest_text, tree_records, xml_scopes
 
 
 def emails(spark, root, out):
@@ -44,3 +45,21 @@ def test_word_files_are_read_whatever_their_size(spark, tmp_path):
             z.writestr("word/document.xml", f'<w:document xmlns:w="{w}"><w:body>{body.format(name)}</w:body></w:document>')
     (root / "broken.docx").write_bytes(b"PK\x03\x04" + bytes(100))
     assert emails(spark, root, tmp_path / "out") == {(f"{n}.docx", f"{n}.{x}@x.org") for n in ("small", "large") for x in ("par", "cell")}
+
+
+def test_records_have_no_hidden_caps():
+    deep = {"email": "a@b.org", "l1": {"l2": {"l3": {"l4": {"l5": {"l6": "deepest"}}}}}}
+    for _ in range(300):
+        deep = {"x": deep}
+    assert any(v == "deepest" for r in tree_records(deep) for _, v in r)
+    wide = {f"field {i}": f"v{i}" for i in range(1000)} | {"email": "a@b.org"}
+    assert max(len(r) for r in tree_records(wide)) == 1001
+    xml = "<r>" + "".join(f"<f{i}>v{i}</f{i}>" for i in range(1000)) + "<email>a@b.org</email><name>Ada</name></r>"
+    assert max(len(r) for r in xml_scopes(xml)) == 1002
+    assert max(len(r) for r in tree_records(wide, max_fields=10)) == 10
+
+
+def test_mails_are_read_once():
+    raw = b"From: Ada <ada@x.org>\nTo: b@y.org\nSubject: hello\nContent-Type: text/plain; charset=nonsense\n\nDear all,\nPhone: 07700 900571\n"
+    records = eml_records(raw)
+    assert dict(records[1])["Phone"] == "07700 900571" and "Dear all," in rest_text(raw, ".eml") and "07700" not in rest_text(raw, ".eml")

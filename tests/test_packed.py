@@ -1,6 +1,8 @@
 """Packed cells: quoting, delimiters, positions, dirty input."""
 
-from traceloom.operators.packed import EVIDENCE_TYPES, FILE_PATHS, MAILBOXES, PackedField, split_packed
+from pyspark.sql import functions as F
+
+from traceloom.operators.packed import EVIDENCE_TYPES, FILE_PATHS, MAILBOXES, PackedField, packed_values, split_packed
 
 
 def values(spark, cells, field):
@@ -38,3 +40,17 @@ def test_long_and_empty_table(spark):
     long = "|".join(f"v{i}" for i in range(20000))
     assert len(values(spark, [long], PackedField())[0]) == 20000
     assert split_packed(spark.createDataFrame([], "k long, cell string"), "k", "cell", PackedField()).count() == 0
+
+
+def test_cells_of_a_megabyte(spark):
+    n = 1_000_000
+    cells = [
+        '["' + '","'.join(["a@b.org"] * (n // 10)) + '"]', ";" * n, "a" + " " * n + "b", "\n" * n + "x", '"' * n, "a;" * (n // 2), "[" * n, '["' + "a" * n + '"]',
+    ]
+    df = spark.createDataFrame(list(enumerate(cells)), "k long, v string")
+    counts = {}
+    for field in (EVIDENCE_TYPES, FILE_PATHS, MAILBOXES):
+        rows = df.select("k", F.size(packed_values(F.col("v"), field)).alias("n")).collect()
+        counts[field] = {r.k: r.n for r in rows}
+    assert counts[EVIDENCE_TYPES][0] == counts[MAILBOXES][0] == n // 10
+    assert counts[EVIDENCE_TYPES][1] == 0 and counts[EVIDENCE_TYPES][2] == counts[EVIDENCE_TYPES][3] == 1 and counts[EVIDENCE_TYPES][5] == n // 2

@@ -24,8 +24,9 @@ class EngineConfig:
     duplicate_files: str = "collapse"
     duplicate_evidence: str = "collapse"
     max_findings_per_file: int = 0
-    xml_max_fields: int = 200
-    structured_max_depth: int = 12
+    #: Fields of a record and levels of an object that are read at most; 0: all.
+    xml_max_fields: int = 0
+    structured_max_depth: int = 0
     hub_limit: int = 200
     profile: bool = False
     resume: str = ""

@@ -7,8 +7,10 @@ can be resumed at any stage and a lost executor costs no more than its tasks.
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ from traceloom.operators.dedupe import collapse_evidence
 from traceloom.operators.ordering import group_places
 from traceloom.operators.profiling import column_profile, value_type
 from traceloom.operators.rules import RULES, Rule, load_rules, resolve_header, rules_for
-from traceloom.operators.scan import FINDING, cap_findings, lines, match_text, scan_table, scan_text
+from traceloom.operators.scan import FINDING, assemble_names, cap_findings, lines, match_text, scan_table, scan_text
 from traceloom.operators.summary import entity_summary, regex_summary
 from traceloom.sources.files import decode, excluded, file_index, hidden, list_files
 from traceloom.sources.records import record_units, rest_text, texts
@@ -28,36 +30,43 @@ from traceloom.sources.sinks import write_evidence, write_manifest, write_table
 
 STAGES = ("scanning", "clustering", "reidentification", "reporting")
 STRUCTURED = (".csv", ".tsv", ".json", ".jsonl", ".xml", ".html", ".htm", ".eml", ".yaml", ".yml")
-TEXT = (".txt", ".log", ".ini", ".sh", ".dat", ".inx", ".md", ".conf", ".eml")
+TEXT = (".txt", ".log", ".ini", ".sh", ".dat", ".inx", ".md", ".conf")
 #: Packed files with a reader of their own; as bytes they look binary.
 PACKED = (".docx",)
 
 
+RESOLVED = "header string, rules array<string>, full_name boolean"
+
+
+def resolved_headers(headers: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(header, rules, full_name): the rules each distinct header leads to, resolved where the headers are."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = [resolve_header(h) for h in b["header"]]
+            yield pd.DataFrame({
+                "header": b["header"], "rules": [[r.pattern_name for r in rules_for(h, rules)] for h in b["header"]],
+                "full_name": [r is not None and r.canonical == "full name" for r in found],
+            })
+
+    return headers.select("header").where("header IS NOT NULL").distinct().mapInPandas(run, RESOLVED)
+
+
 def scan_units(units: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Findings in labelled records whose headers are known only at run time.
 
-    Distinct headers are resolved once; each rule then runs on the cells of the
-    headers that lead to it.
+    Distinct headers are resolved once, in Arrow batches, and joined to the cells; the
+    planner sends that table to all tasks if it is small when it is there, and else
+    shuffles. Each rule runs on the cells whose header leads to it.
     """
-    headers = [r[0] for r in units.select(F.explode("fields").alias("f")).select("f.header").distinct().collect()]
-    by_rule: dict[str, list[str]] = {}
-    for h in headers:
-        for r in rules_for(h, rules):
-            by_rule.setdefault(r.pattern_name, []).append(h)
-    names = [h for h in headers if resolve_header(h) and resolve_header(h).canonical == "full name"]
     cell = units.select("key", "row_number", F.explode("fields").alias("f")).select("key", "row_number", "f.*")
-    # Which headers a rule reads is a broadcast of as many rows as there are distinct labels.
+    known = cell.join(resolved_headers(cell.select("header"), rules), "header")
+    none = F.array().cast(FINDING)
     arrays = [
-        F.when(F.col("header").isin(*by_rule[r.pattern_name]), match_text(F.concat_ws(": ", "header", "value"), r, "cell")).otherwise(F.array().cast(FINDING))
-        for r in rules if r.pattern_name in by_rule
+        F.when(F.array_contains("rules", r.pattern_name), match_text(F.concat_ws(": ", "header", "value"), r, "cell")).otherwise(none) for r in rules
     ]
-    from traceloom.operators.scan import assemble_names
-
-    if names:
-        arrays.append(F.when(F.col("header").isin(*names), assemble_names({"name": F.col("value")})[0]).otherwise(F.array().cast(FINDING)))
-    if not arrays:
-        arrays = [F.array().cast(FINDING)]
-    found = cell.select(F.col("key").alias("unit_key"), "row_number", F.explode(F.concat(*arrays)).alias("f"))
+    arrays.append(F.when(F.col("full_name"), assemble_names({"name": F.col("value")})[0]).otherwise(none))
+    found = known.select(F.col("key").alias("unit_key"), "row_number", F.explode(F.concat(*arrays)).alias("f"))
     return found.select("unit_key", "row_number", "f.*").drop("source_column").distinct()
 
 
@@ -107,7 +116,7 @@ class Engine:
         kind = F.col("detected_extension")
         structured, plain = files.where(kind.isin(*STRUCTURED)), files.where(kind.isin(*TEXT))
         # Places of tables in a text, and of text beside records, are named apart from its lines.
-        units = record_units(structured, "path", "content", kind)
+        units = record_units(structured, "path", "content", kind, c.structured_max_depth, c.xml_max_fields)
         tables = record_units(plain.where(~kind.isin(*STRUCTURED)), "path", "content", kind)
         units = units.unionByName(tables.withColumn("row_number", F.concat(F.lit("table:"), "row_number")))
         prose = numbered(texts(plain, "path", "content", kind, lambda c, _: decode(c)))

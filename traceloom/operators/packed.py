@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 SLOT, LIT, QUOTE, BACK, HELD = "\ue000", "\ue001", "\ue002", "\ue003", "\ue004"
 #: Delimiters that a backslash or a known literal takes out of splitting.
 HOLDABLE = "|;,"
+#: Blanks at either end. Runs are possessive and begin where the run does, so that no pattern
+#: here takes more than linear time or a deep stack, however long the cell.
+EDGES = r"^[\s\u00a0]++|(?<![\s\u00a0])[\s\u00a0]++$"
 CAP_MARK = r"^(\.{3}|\u2026)?\s*\(\+\d+ more\)$"
 
 
@@ -33,12 +36,12 @@ class PackedField:
     starts: regex that a value begins with; a delimiter only counts where such
       a start (or a quote, a cap mark or the end) follows. None: it always counts.
     literals: values that hold a delimiter although they are often not quoted.
-    delimiters: regex of one delimiter.
+    delimiters: regex of one delimiter; None: any of | ; , and line ends and tabs, or a run of them.
     pick: regex of the part of a value that is wanted (group 1), for values that
       carry names or schemes around them.
     """
 
-    delimiters: str = r"[|;,\n\r\t]"
+    delimiters: str | None = None
     starts: str | None = None
     literals: tuple[str, ...] = ()
     pick: str | None = None
@@ -49,24 +52,32 @@ def _held(delimiter: str) -> str:
 
 
 def _is_list(cell: Column) -> Column:
-    return cell.rlike(r'^\s*\[\s*("(.|\n)*")?\s*\]\s*$')
+    """Whether a cell is a list in brackets whose outermost values are quoted; told from its ends alone."""
+    bare = F.trim(F.regexp_replace(cell, EDGES, ""))
+    inner = F.regexp_replace(F.substring(bare, F.lit(2), F.length(bare) - 2), EDGES, "")
+    return bare.startswith("[") & bare.endswith("]") & (F.length(bare) >= 2) & ((inner == "") | (inner.startswith('"') & inner.endswith('"') & (F.length(inner) >= 2)))
 
 
 def _normal_quotes(cell: Column) -> Column:
     """Brackets off, escapes of both quoting styles turned into marks."""
-    listed = F.regexp_replace(F.regexp_replace(cell, r"^\s*\[", ""), r"\]\s*$", "")
+    listed = F.regexp_replace(F.regexp_replace(cell, r"^\s*+\[", ""), r"\](?:\s++$|$)", "")
     listed = F.replace(F.replace(listed, F.lit("\\\\"), F.lit(BACK)), F.lit('\\"'), F.lit(QUOTE))
-    plain = F.regexp_replace(cell, r'(^|[|;,\n\r\t])(\s*)""(?=\s*($|[|;,\n\r\t]))', "$1$2")
+    plain = F.regexp_replace(cell, r'(^|[|;,\n\r\t])([ \u00a0]*+)""(?=[ \u00a0]*+($|[|;,\n\r\t]))', "$1$2")
     plain = F.replace(plain, F.lit('""'), F.lit(QUOTE))
     for d in HOLDABLE:
         plain = F.replace(plain, F.lit("\\" + d), F.lit(_held(d)))
     return F.when(_is_list(cell), listed).otherwise(plain)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, not once per element of the arrays it is used in."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def packed_values(cell: Column, field: PackedField) -> Column:
     """Array of the values of a cell, in order."""
     ahead = "" if field.starts is None else rf"(?={field.starts}|(?:\.{{3}}|\u2026)?\(\+\d+ more\)|$)"
-    separator = rf"\s*{field.delimiters}(?:\s*{field.delimiters})*\s*{ahead}"
+    separator = field.delimiters or rf"(?<![\s|;,])[ \u00a0]*+[|;,\n\r\t][\s|;,]*+{ahead}"
 
     def even(piece: Column) -> Column:
         for value in field.literals:
@@ -76,10 +87,7 @@ def packed_values(cell: Column, field: PackedField) -> Column:
             piece = F.replace(piece, F.lit(value), F.lit(held))
         return F.regexp_replace(piece, separator, SLOT)
 
-    pieces = F.split(_normal_quotes(cell), '"')
-    last = F.size(pieces) - 1
-
-    def mark(piece: Column, i: Column) -> Column:
+    def mark(piece: Column, i: Column, last: Column) -> Column:
         odd = i % 2 == 1
         return (
             F.when(odd & (i < last), F.concat(F.lit(LIT), piece, F.lit(LIT)))
@@ -87,11 +95,15 @@ def packed_values(cell: Column, field: PackedField) -> Column:
             .otherwise(even(piece))
         )
 
-    folded = F.aggregate(F.transform(pieces, mark), F.lit(""), lambda acc, x: F.concat(acc, x))
-    slots = F.split(folded, SLOT)
+    def fold(pieces: Column) -> Column:
+        """The marked pieces put together again, and split at the slots."""
+        last = F.size(pieces) - 1
+        return _let(last, lambda n: F.split(F.array_join(F.transform(pieces, lambda p, i: mark(p, i, n)), ""), SLOT))
+
+    slots = _let(F.split(_normal_quotes(cell), '"'), fold)
 
     def restore(value: Column) -> Column:
-        value = F.trim(F.regexp_replace(value, r"^[\s\u00a0]+|[\s\u00a0]+$", ""))
+        value = F.trim(F.regexp_replace(value, EDGES, ""))
         if field.pick:
             value = F.replace(value, F.lit(LIT), F.lit(" "))
             value = F.regexp_extract(value, field.pick, 1)
@@ -125,5 +137,5 @@ EVIDENCE_TYPES = PackedField(
 FILE_PATHS = PackedField(starts=r"/|[A-Za-z]:\\")
 MAILBOXES = PackedField(
     delimiters=r"(?:[|;,\n\r\t]|\s/\s|\s(?i:and|or|und|et)\s|(?<=[\w>])\s(?=<?[\w.+\-]+@))",
-    pick=r"([^\s<>()\[\]\"'|;,:]+@[^\s<>()\[\]\"'|;,:]+)",
+    pick=r"(?<![^\s<>()\[\]\"'|;,:])([^\s<>()\[\]\"'|;,:]+@[^\s<>()\[\]\"'|;,:]+)",
 )

@@ -9,6 +9,7 @@ from traceloom.functions import text as T
 from traceloom.functions import validators as V
 from traceloom.operators.ordering import capped_values
 from traceloom.operators.rules import resolve_header
+from traceloom.plans.sql_text import NAME_SQL
 from traceloom.session import table
 
 
@@ -133,8 +134,7 @@ WITH x AS (SELECT record_no, trim(coalesce(dob, '')) AS d, regexp_replace(regexp
 SELECT x.record_no, coalesce({_DAY} BETWEEN DATE '1926-12-31' AND DATE '2026-12-31', false) AS dob_ok,
   length(p) IN (10, 11) AND {_VARIED('p')} AND p LIKE '0%' AS phone_ok,
   length(s) BETWEEN 6 AND 12 AND s NOT IN ('APPROVED', 'PENDING', 'UPLOADED', 'REJECTED', 'EXPIRED', 'REQUIRED') AND regexp_matches(s, '\\d') AS passport_ok,
-  lower(c) NOT IN ('', 'n/a', 'na', 'none', 'null', 'not known', 'unknown') AND length(c) <= 120 AND regexp_full_match(c, '[\\p{{L}} .''-]+')
-    AND NOT regexp_matches(lower(c), '\\b(?:school|course|programme|program|module|faculty|country|nationality|citizenship|domicile|nation|department|university|college|institution|institute|centre|center|campus|services?|team|unit|division|directorate|office|committee|panel|project|research|study|degree|qualification|certificate|diploma|pathway|route|award|role|job|position|group|address|postcode|postal|street|road|avenue|lane|drive|flat|house)\\b')
+  {NAME_SQL}
     AND len(list_filter(string_split(c, ' '), lambda w: regexp_matches(w, '\\p{{L}}'))) >= 2 AS name_ok
 FROM x JOIN ({_CLEANED}) n ON x.record_no = n.record_no""",
     "v_contact_fields": f"""

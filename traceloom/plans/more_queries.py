@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from traceloom.functions.text import alias_rules, email_aliases, name_key
-from traceloom.functions.validators import FILE_WORDS, identity_document_file
+from traceloom.functions.validators import DOCUMENT_CUE, DOCUMENT_WORDS, RELATIVES, identity_document_file
 from traceloom.operators import linking as L
 from traceloom.operators import overlap as O
 from traceloom.operators import people as P
@@ -41,7 +41,7 @@ def p_countries(spark: SparkSession, base: str) -> DataFrame:
 
 def v_file_names(spark: SparkSession, base: str) -> DataFrame:
     """Which file names look like somebody's identity document."""
-    return table(spark, base, "address_assembled_table_address").select("finding_no", identity_document_file(F.concat(F.lit("passport "), "file_name")).alias("names_owner"))
+    return table(spark, base, "address_assembled_table_address").select("finding_no", identity_document_file(F.col("file_name")).alias("names_owner"))
 
 
 def s_file_signals(spark: SparkSession, base: str) -> DataFrame:
@@ -101,7 +101,7 @@ def o_person_tokens(spark: SparkSession, base: str) -> DataFrame:
 
 _MAILS = R._MAILS
 _COUNTRY = ", ".join(f"('{a}', '{c}')" for c, names in COUNTRIES.items() for a in names)
-_OWNER = r"""len(list_filter(regexp_extract_all(regexp_replace(regexp_replace(f, '\.[A-Za-z0-9]{1,5}$', ''), '([a-z])([A-Z])', '\1 \2', 'g'), '[A-Za-z][A-Za-z''-]{1,}'), lambda w: lower(w) NOT IN (""" + ", ".join(f"'{w}'" for w in FILE_WORDS) + "))) >= 2"
+_OWNER = r"""len(list_filter(regexp_extract_all(regexp_replace(regexp_replace(f, '\.[A-Za-z0-9]{1,5}$', ''), '([a-z])([A-Z])', '\1 \2', 'g'), '[A-Za-z][A-Za-z''-]{1,}'), lambda w: lower(w) NOT IN (""" + ", ".join(f"'{w}'" for w in DOCUMENT_WORDS + RELATIVES) + "))) >= 2"
 SQL = {
     "p_email_aliases": r"""WITH x AS (SELECT record_no, lower(trim(email)) AS v FROM exposed_records_008 WHERE email LIKE '%@%'), y AS (SELECT record_no, v, split_part(v, '@', 1) AS l, split_part(v, '@', -1) AS d FROM x)
 SELECT record_no, v AS address FROM y
@@ -110,7 +110,7 @@ UNION SELECT record_no, l || '@' || d[6:] FROM y WHERE d = 'mail.northmere.examp
 UNION SELECT record_no, l || '@example.net' || d[12:] FROM y WHERE d = 'example.org' OR d LIKE 'example.org.%'
 UNION SELECT record_no, l || '@example.org' || d[12:] FROM y WHERE d = 'example.net' OR d LIKE 'example.net.%'""",
     "p_countries": f"WITH a AS (SELECT * FROM (VALUES {_COUNTRY}) t(alias, canonical)), n AS (SELECT upper(trim(n_name)) AS value FROM nation UNION ALL SELECT alias FROM a) SELECT value, coalesce(canonical, value) AS country FROM n LEFT JOIN a ON value = alias",
-    "v_file_names": f"SELECT finding_no, coalesce({_OWNER} AND NOT contains(f, '@'), false) AS names_owner FROM (SELECT finding_no, 'passport ' || trim(regexp_replace(file_name, '\\s+', ' ', 'g')) AS f FROM address_assembled_table_address)",
+    "v_file_names": f"SELECT finding_no, coalesce({_OWNER} AND regexp_matches(f, '{DOCUMENT_CUE}') AND NOT contains(f, '@'), false) AS names_owner FROM (SELECT finding_no, trim(regexp_replace(file_name, '\\s+', ' ', 'g')) AS f FROM address_assembled_table_address)",
     "s_file_signals": f"""WITH x AS (SELECT trim(regexp_replace(file_name, '\\s+', ' ', 'g')) AS f, lower(file_extension) AS e FROM address_assembled_table_address)
 SELECT 'Document Info' AS evidence_type, 'low' AS confidence, count(*) AS n FROM x WHERE e IN ('pdf', 'doc', 'docx', 'rtf') HAVING count(*) > 0
 UNION ALL SELECT 'Pictures', 'high', count(*) FROM x WHERE e IN ('png', 'jpg', 'jpeg', 'gif', 'tiff', 'tif', 'bmp', 'webp', 'heic') HAVING count(*) > 0

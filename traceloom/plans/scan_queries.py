@@ -11,6 +11,7 @@ from traceloom.operators.dedupe import collapse_evidence, content_groups
 from traceloom.operators.rules import RULES
 from traceloom.operators.scan import cap_findings, scan_table, scan_text, text_units
 from traceloom.operators.summary import entity_summary, file_summary, regex_summary
+from traceloom.plans.sql_text import NAME_SQL
 from traceloom.session import cut, table
 
 #: Rules that SQL engines without look-around and Unicode word boundaries can express.
@@ -200,10 +201,6 @@ def _rule_sql(r) -> str:
 
 
 _TEXT = f"WITH {_LINES}, findings AS ({' UNION ALL '.join(_rule_sql(r) for r in PLAIN)}) "
-_NAME = r"""(lower(c) NOT IN ('', 'n/a', 'na', 'none', 'null', 'not known', 'unknown') AND length(c) <= 120 AND regexp_full_match(c, '[\p{L} .''-]+')
-  AND NOT regexp_matches(lower(c), '\b(?:school|course|programme|program|module|faculty|country|nationality|citizenship|domicile|nation|department|university|college|institution|institute|centre|center|campus|services?|team|unit|division|directorate|office|committee|panel|project|research|study|degree|qualification|certificate|diploma|pathway|route|award|role|job|position|group|address|postcode|postal|street|road|avenue|lane|drive|flat|house)\b'))"""
-
-
 def _clean_sql(source: str, expr: str, key: str) -> str:
     return rf"""SELECT {key}, trim(regexp_replace(CASE WHEN length(v) - length(replace(v, ',', '')) = 1 AND trim(split_part(v, ',', 1)) <> '' AND trim(split_part(v, ',', 2)) <> ''
   THEN trim(split_part(v, ',', 2)) || ' ' || trim(split_part(v, ',', 1)) ELSE v END, '\s+', ' ', 'g')) AS c
@@ -246,12 +243,12 @@ def _name_row(key: str, inner: str, where: str) -> str:
             f"'tier_3_supporting_evidence' AS evidence_tier FROM ({inner}) WHERE {where}")
 
 
-_RECORDS = _table_sql("record_no", "exposed_records_008", ("email",), _name_row("record_no", _clean_sql("exposed_records_008", "full_name", "record_no"), f"{_NAME} AND {_WORDS} >= 2"))
+_RECORDS = _table_sql("record_no", "exposed_records_008", ("email",), _name_row("record_no", _clean_sql("exposed_records_008", "full_name", "record_no"), f"{NAME_SQL} AND {_WORDS} >= 2"))
 _ROSTER_NAME = (
-    f"SELECT f.roster_no, trim(f.c || ' ' || s.c) AS c FROM (SELECT * FROM ({_clean_sql('exposed_roster_003', 'first_name', 'roster_no')}) WHERE {_NAME} AND {_WORDS} >= 1) f "
-    f"JOIN (SELECT * FROM ({_clean_sql('exposed_roster_003', 'last_name', 'roster_no')}) WHERE {_NAME} AND {_WORDS} >= 1) s ON f.roster_no = s.roster_no"
+    f"SELECT f.roster_no, trim(f.c || ' ' || s.c) AS c FROM (SELECT * FROM ({_clean_sql('exposed_roster_003', 'first_name', 'roster_no')}) WHERE {NAME_SQL} AND {_WORDS} >= 1) f "
+    f"JOIN (SELECT * FROM ({_clean_sql('exposed_roster_003', 'last_name', 'roster_no')}) WHERE {NAME_SQL} AND {_WORDS} >= 1) s ON f.roster_no = s.roster_no"
 )
-_ROSTER = _table_sql("roster_no", "exposed_roster_003", ("uon_email", "other_email"), _name_row("roster_no", _ROSTER_NAME, "true"))
+_ROSTER = _table_sql("roster_no", "exposed_roster_003", ("uon_email", "other_email"), _name_row("roster_no", _ROSTER_NAME, NAME_SQL))
 _CELL_FALLBACK = " UNION ALL ".join(
     _cell_sql("roster_no", "exposed_roster_003", "case_note", (r.evidence_type, r.pattern_name, r.confidence, r.tier), "true", _NORMAL[r.normal], r.pattern, 0)
     for r in RULES if r.evidence_type in ("Email", "IP Address"))
@@ -269,8 +266,8 @@ _CONTACT_ANCHORS = rf"""contacts AS (SELECT * FROM synthetic_slim_contacts WHERE
 anchors AS (SELECT DISTINCT 'Email' AS evidence_type, lower(v) AS value, id AS person FROM (
     SELECT id, unnest(regexp_extract_all(uon_email, '{_EMAIL_RE}', 0)) AS v FROM contacts UNION ALL SELECT id, unnest(regexp_extract_all('other_email: ' || other_emails, '{_EMAIL_RE}', 0)) FROM contacts)
   UNION SELECT DISTINCT 'Name', lower(translate(trim(f.c || ' ' || s.c), '’‘', '''''')), f.id FROM
-    (SELECT * FROM ({_clean_sql('contacts', 'first_name', 'contact_no, id')}) WHERE {_NAME} AND {_WORDS} >= 1) f JOIN
-    (SELECT * FROM ({_clean_sql('contacts', 'last_name', 'contact_no, id')}) WHERE {_NAME} AND {_WORDS} >= 1) s ON f.contact_no = s.contact_no)"""
+    (SELECT * FROM ({_clean_sql('contacts', 'first_name', 'contact_no, id')}) WHERE {NAME_SQL} AND {_WORDS} >= 1) f JOIN
+    (SELECT * FROM ({_clean_sql('contacts', 'last_name', 'contact_no, id')}) WHERE {NAME_SQL} AND {_WORDS} >= 1) s ON f.contact_no = s.contact_no)"""
 _LINKS = f"WITH findings AS ({_RECORDS}), {_CONTACT_ANCHORS}, links AS (SELECT DISTINCT unit_key, a.evidence_type, a.value, person FROM findings f JOIN anchors a ON f.evidence_type = a.evidence_type AND f.normalized_value = a.value)"
 _EXPOSED = f"""{_LINKS}, exposed AS (SELECT person, list_sort(list(DISTINCT evidence_type)) AS types, count(DISTINCT unit_key) AS matched_units, count(DISTINCT evidence_type || '=' || value) AS matched_values FROM links GROUP BY 1)"""
 

@@ -27,7 +27,8 @@ from traceloom.operators.rules import resolve_header
 from traceloom.sources.files import decode, sniff_delimiter
 
 UNITS = "key string, row_number string, kind string, fields array<struct<header:string,value:string>>"
-DEPTH, FIELDS = 12, 200
+#: Most levels and most fields of a record that are read; 0: all of them.
+DEPTH, FIELDS = 0, 0
 STRONG_LABEL = re.compile(r"(?i)\b(?:name|e-?mail|student|person|passport|dob|birth|nhs|nino|phone)\b|id$")
 VALUE_EVIDENCE = re.compile(r"(?i)^[\w.+%-]+@[\w.-]+\.\w{2,}$|^\d{4}-\d{2}-\d{2}$|^[A-Z]{1,2}\d[A-Z\d]? ?\d[A-Z]{2}$")
 
@@ -76,21 +77,28 @@ def tree_records(node, max_depth: int = DEPTH, max_fields: int = FIELDS) -> list
 
     An object is a record if its scalars score as evidence or it is an item of a
     list; nested objects with own records are records of their own, others fold in.
+    With ``max_depth`` or ``max_fields`` above 0 a record ends there.
     """
+    deep = max_depth or 1 << 30
     out: list[list[tuple[str, str]]] = []
 
     def scalars(x, path, depth) -> list[tuple[str, str]]:
-        if depth > max_depth:
-            return []
-        if isinstance(x, dict):
-            return [f for k, v in x.items() for f in scalars(v, f"{path}.{k}" if path else str(k), depth + 1)]
-        if isinstance(x, list):
-            return [f for v in x for f in scalars(v, path, depth + 1)]
-        return [(path, clean(x))] if x is not None and clean(x) else []
+        found, todo = [], [(x, path, depth)]
+        while todo:
+            x, path, depth = todo.pop()
+            if depth > deep:
+                continue
+            if isinstance(x, dict):
+                todo += [(v, f"{path}.{k}" if path else str(k), depth + 1) for k, v in reversed(x.items())]
+            elif isinstance(x, list):
+                todo += [(v, path, depth + 1) for v in reversed(x)]
+            elif x is not None and clean(x):
+                found.append((path, clean(x)))
+        return found
 
     def walk(x, depth) -> bool:
         """Emit the records below; True if there were any."""
-        if depth > max_depth:
+        if depth > deep:
             return False
         if isinstance(x, list):
             return any([walk(v, depth + 1) for v in x])
@@ -101,14 +109,14 @@ def tree_records(node, max_depth: int = DEPTH, max_fields: int = FIELDS) -> list
         inner = {k: walk(v, depth + 1) for k, v in nested.items()}
         fields = own + [f for k, v in nested.items() if not inner[k] for f in scalars(v, str(k), depth + 1)]
         if own and _score(fields) >= 2:
-            out.append(list(dict.fromkeys(fields))[:max_fields])
+            out.append(list(dict.fromkeys(fields))[:max_fields or None])
             return True
         return any(inner.values())
 
     if not walk(node, 0):
         rest = scalars(node, "", 0)
         if rest:
-            out.append(list(dict.fromkeys(rest))[:max_fields])
+            out.append(list(dict.fromkeys(rest))[:max_fields or None])
     return out
 
 
@@ -140,7 +148,7 @@ def xml_scopes(text: str, max_fields: int = FIELDS) -> list[list[tuple[str, str]
     with two or more leaves and none of its children was one.
     """
     out, stack, last = [], [], 0
-    add = lambda h, v: [f["fields"].append((h, v)) for f in stack if len(f["fields"]) < max_fields]
+    add = lambda h, v: [f["fields"].append((h, v)) for f in stack if not max_fields or len(f["fields"]) < max_fields]
     for m in _TAG.finditer(text):
         between = clean(html.unescape(text[last:m.start()]))
         last = m.end()
@@ -242,14 +250,29 @@ def html_text(text: str) -> str:
     return re.sub(r"[ \t]*\n\s*", "\n", "".join([*page.text, *rows])).strip()
 
 
+def _message(raw: bytes | str) -> email.message.EmailMessage:
+    parse = email.message_from_bytes if isinstance(raw, bytes) else email.message_from_string
+    return parse(raw, policy=email.policy.default)
+
+
+def eml_body(raw: bytes | str) -> str:
+    """The plain text of a mail; of a mail in markup only, its text."""
+    message = _message(raw)
+    part = message.get_body(preferencelist=("plain", "html"))
+    if part is None:
+        return ""
+    try:
+        body = part.get_content()
+    except (LookupError, UnicodeError):  # a character set that does not exist or does not fit
+        body = decode(part.get_payload(decode=True) or b"")
+    return html_text(body) if part.get_content_type() == "text/html" else body
+
+
 def eml_records(raw: bytes | str) -> list[list[tuple[str, str]]]:
     """One record of the headers, then labelled lines of the plain body as another."""
-    parse = email.message_from_bytes if isinstance(raw, bytes) else email.message_from_string
-    message = parse(raw, policy=email.policy.default)
+    message = _message(raw)
     head = [(h, clean(message[h])) for h in ("Subject", "From", "To", "Cc") if message[h]]
-    part = message.get_body(preferencelist=("plain",)) if message.is_multipart() else message
-    body = part.get_content() if part is not None else ""
-    return [r for r in (head, label_lines(body)) if r]
+    return [r for r in (head, label_lines(eml_body(raw))) if r]
 
 
 def label_lines(text: str) -> list[tuple[str, str]]:
@@ -272,7 +295,7 @@ def docx_text(raw: bytes) -> str:
     return "\n".join(r for r in rows if r.strip())
 
 
-def jsonl_records(text: str) -> list[list[tuple[str, str]]]:
+def jsonl_records(text: str, max_depth: int = DEPTH, max_fields: int = FIELDS) -> list[list[tuple[str, str]]]:
     """Records of the lines that are JSON; others are skipped."""
     out = []
     for line in text.splitlines():
@@ -280,7 +303,7 @@ def jsonl_records(text: str) -> list[list[tuple[str, str]]]:
             node = json.loads(line)
         except ValueError:
             continue
-        out += tree_records(node)
+        out += tree_records(node, max_depth, max_fields)
     return out
 
 
@@ -302,16 +325,16 @@ def embedded_tables(text: str) -> list[list[tuple[str, str]]]:
 DELIMITED = "|\t;~#"
 
 
-def records_of(content: bytes | str, extension: str) -> tuple[str, list[list[tuple[str, str]]]]:
+def records_of(content: bytes | str, extension: str, max_depth: int = DEPTH, max_fields: int = FIELDS) -> tuple[str, list[list[tuple[str, str]]]]:
     """(kind, records) of a content by its extension; what fails gives none."""
     text = decode(content) if isinstance(content, bytes) else content
     try:
         if extension == ".json":
-            return "JSON_RECORD", tree_records(json.loads(text))
+            return "JSON_RECORD", tree_records(json.loads(text), max_depth, max_fields)
         if extension == ".jsonl":
-            return "JSONL_RECORD", jsonl_records(text)
+            return "JSONL_RECORD", jsonl_records(text, max_depth, max_fields)
         if extension == ".xml":
-            return "XML_SCOPE", xml_scopes(text)
+            return "XML_SCOPE", xml_scopes(text, max_fields)
         if extension in (".html", ".htm"):
             return "TABLE_ROW", html_records(text)
         if extension == ".eml":
@@ -321,7 +344,7 @@ def records_of(content: bytes | str, extension: str) -> tuple[str, list[list[tup
         if extension in (".yaml", ".yml"):
             import yaml
 
-            return "YAML_RECORD", tree_records(yaml.safe_load(text))
+            return "YAML_RECORD", tree_records(yaml.safe_load(text), max_depth, max_fields)
     except Exception:
         return "", []
     return "TABLE_ROW", embedded_tables(text)
@@ -330,7 +353,8 @@ def records_of(content: bytes | str, extension: str) -> tuple[str, list[list[tup
 def rest_text(content: bytes | str, extension: str) -> str:
     """What of a structured content no record holds: all of it if it gives no records.
 
-    Of a page its text, of JSON lines those that are none, in their places; of a
+    Of a page its text, of JSON lines those that are none and of a mail the lines
+    without label, in their places; of a
     Word file, which has no records, its text, none if it is damaged.
     """
     if extension == ".docx":
@@ -341,6 +365,9 @@ def rest_text(content: bytes | str, extension: str) -> str:
     text = decode(content) if isinstance(content, bytes) else content
     if extension in (".html", ".htm"):
         return html_text(text)
+    if extension == ".eml":
+        body = eml_body(content)
+        return "\n".join("" if label_lines(line) else line for line in body.splitlines())
     if extension == ".jsonl":
         return "\n".join("" if jsonl_records(line) else line for line in text.splitlines())
     return "" if records_of(content, extension)[1] else text
@@ -358,7 +385,7 @@ def texts(df: DataFrame, key: str, content: str, extension, read) -> DataFrame:
     return cols.mapInPandas(walk, "key string, text string")
 
 
-def record_units(df: DataFrame, key: str, content: str, extension) -> DataFrame:
+def record_units(df: DataFrame, key: str, content: str, extension, max_depth: int = DEPTH, max_fields: int = FIELDS) -> DataFrame:
     """(key, row_number, kind, fields) of every record in the contents."""
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -367,7 +394,7 @@ def record_units(df: DataFrame, key: str, content: str, extension) -> DataFrame:
             for k, c, e in zip(b["key"], b["content"], b["ext"]):
                 if c is None:
                     continue
-                kind, records = records_of(c, e or "")
+                kind, records = records_of(c, e or "", max_depth, max_fields)
                 label = "xml_scope:" if kind == "XML_SCOPE" else ""
                 rows += [(k, f"{label}{i + 1}", kind, [{"header": h, "value": v} for h, v in r]) for i, r in enumerate(records)]
             yield pd.DataFrame(rows, columns=["key", "row_number", "kind", "fields"])
