@@ -1,9 +1,10 @@
 """Components against union-find; salted stars; dirty cluster rows."""
 
+import math
 import random
 
 from traceloom.llm.cluster_links import cluster_tokens
-from traceloom.llm.components import groups, star_edges
+from traceloom.llm.components import components, groups, star_edges
 
 
 def brute(pairs):
@@ -29,6 +30,27 @@ def test_random_graphs_and_paths(spark):
     assert got == brute(pairs)
 
 
+def test_long_chain_and_cut_edges(spark):
+    """Growth is not cut short: few edges lie between clusters, and steps are bounded by the largest shift."""
+    n, report = 3000, []
+    chain = spark.range(n).selectExpr("id AS a", "id + 1 AS b")
+    assert components(chain, report=report).select("root").distinct().count() == 1
+    first = report[0]
+    assert first["edges"] == n and first["cut_edges"] / n <= 0.2 + 0.03
+    assert all(r["steps"] <= 2 + math.log(2 * n) / 0.2 * 1.5 for r in report)
+
+
+def test_vertices_of_any_degree(spark):
+    """A star and a graph of stars, with hardly any and with many vertices counted as hot."""
+    rng = random.Random(3)
+    pairs = [(0, i) for i in range(1, 600)] + [(1000 + rng.randrange(5), 2000 + rng.randrange(400)) for _ in range(700)]
+    want = brute(pairs)
+    df = spark.createDataFrame(pairs, "a long, b long")
+    for least in (1, 50, 10**6):
+        roots = {r.vertex: r.root for r in components(df, hot_least=least).collect()}
+        assert set(roots) == set(want) and len({(roots[v], want[v]) for v in want}) == len(set(want.values())) == len(set(roots.values()))
+
+
 def test_empty(spark):
     assert groups(spark.createDataFrame([], "a long, b long")).count() == 0
 

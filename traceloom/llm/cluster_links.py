@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traceloom.llm.components import groups, star_edges
+from traceloom.llm.components import components, groups, star_edges
 from traceloom.session import table
 
 #: Types whose values are kept apart from each other nowhere: all are mailboxes.
@@ -80,7 +80,14 @@ def p5_group_sizes(spark: SparkSession, base: str) -> DataFrame:
     return sizes.groupBy("group_size").agg(F.count("*").alias("n_groups"))
 
 
-QUERIES = {"p5_found": p5_found, "p5_group_sizes": p5_group_sizes}
+def p5_rounds(spark: SparkSession, base: str) -> DataFrame:
+    """(round_no, edges, cut_edges, steps): what each round of the decomposition left between clusters."""
+    report: list[dict] = []
+    components(star_edges(cluster_tokens(table(spark, base, "clusters_not_in_list")), "token", "cluster_no"), report=report)
+    return spark.createDataFrame([tuple(r.values()) for r in report], "round_no int, edges long, cut_edges long, steps int")
+
+
+QUERIES = {"p5_rounds": p5_rounds, "p5_found": p5_found, "p5_group_sizes": p5_group_sizes}
 #: The same by a transitive closure; fit for groups of some hundred rows, not for hubs.
 _GROUPS_SQL = r"""
 WITH RECURSIVE keys AS (SELECT cluster_no, unnest(string_split_regex(coalesce(cluster_merge_keys, ''), '\s*[|;,]\s*')) AS k FROM clusters_not_in_list),

@@ -1,11 +1,17 @@
 """Consolidating pairwise matches into groups: low-diameter decomposition.
 
-Each round draws an exponential shift per vertex. A vertex joins the cluster
-whose start time plus distance is least, so clusters grow as balls of low
-diameter and cut a constant share of the edges at most. Clusters contract to
-super-vertices, the edges between clusters make the next, smaller graph, and the
-assignments of all rounds compose. Every step is an equi-join or an aggregate
-over edges; nothing is sent to the driver but the number of remaining edges.
+Each round draws an exponential shift per vertex. A vertex joins the cluster whose
+start (the negative shift of its centre) plus distance is least. Starts travel along
+edges until none changes: in each step only vertices whose start has just changed tell
+their neighbours, so what moves is the rim of the growing clusters. A path from a
+centre is no longer than the largest shift, about ln(n) / BETA steps, and an edge is
+cut with a chance of BETA at most. Clusters contract to super-vertices, the edges
+between clusters make the next, smaller graph, and the assignments of all rounds
+compose. Every step is an equi-join or an aggregate over edges; nothing is sent to the
+driver but counts.
+
+Contracted vertices may have any number of edges. Those above a limit, no more than
+``HOT_MOST`` by its choice, have their edges spread over salted copies in every join.
 
 Defined results: self loops and repeated edges count once; null ends are no
 edges; an empty edge table gives an empty result; vertices without an edge to
@@ -20,11 +26,14 @@ from pyspark.sql import functions as F
 
 from traceloom.session import cut
 
-#: Rate of the exponential shifts (an edge is cut with about this chance), the
-#: radius at which the growth of a round ends, and the most rounds.
-BETA, STEPS, ROUNDS = 0.05, 3, 60
+#: Rate of the exponential shifts: an edge is cut with this chance at most.
+BETA = 0.2
+#: Rounds after which something must be wrong.
+ROUNDS = 60
 #: Members of a key that one star holds.
 STAR = 512
+#: Edges of a vertex from which its edges are spread, unless more than HOT_MOST vertices had so many.
+HOT_LEAST, HOT_MOST = 20_000, 10_000
 
 
 def star_edges(members: DataFrame, key: str, vertex: str, star: int = STAR) -> DataFrame:
@@ -57,42 +66,83 @@ def star_edges(members: DataFrame, key: str, vertex: str, star: int = STAR) -> D
         fan *= star
 
 
-def _shift(vertex: Column, round_no: int) -> Column:
+def _shift(vertex: Column, round_no: int, beta: float) -> Column:
     """Exponential variate of a vertex, the same whenever it is computed again."""
     u = (F.pmod(F.xxhash64(vertex, F.lit(round_no)), F.lit(1 << 52)) + 1) / float((1 << 52) + 1)
-    return -F.log(u) / F.lit(BETA)
+    return -F.log(u) / F.lit(beta)
 
 
-def _grow(edges: DataFrame, round_no: int) -> DataFrame:
-    """(v, c): the cluster each vertex of the symmetric ``edges`` joins."""
-    vertices = edges.select(F.col("a").alias("v")).distinct()
-    state = vertices.select("v", (-_shift(F.col("v"), round_no)).alias("t"), F.col("v").alias("c"))
-    for _ in range(STEPS):
-        told = edges.join(state, edges.a == state.v).select(F.col("b").alias("v"), (F.col("t") + 1.0).alias("t"), "c")
-        # Two numbers aggregate by hash, a struct of them would be sorted. Times of
-        # different clusters do not tie: they hold 52 random bits each.
-        state = state.unionByName(told).groupBy("v").agg(F.min_by("c", "t").alias("c"), F.min("t").alias("t"))
-    return state.select("v", "c")
+def _hot_vertices(edges: DataFrame, n_edges: int, least: int) -> DataFrame | None:
+    """(v, n): vertices with so many of the directed ``edges`` that they are spread over n copies, none if there are none."""
+    limit = max(least, -(-n_edges // HOT_MOST))
+    degrees = edges.groupBy(F.col("a").alias("v")).agg(F.count("*").alias("d")).where(F.col("d") > limit)
+    hot = cut(degrees.select("v", F.ceil(F.col("d") / limit).cast("int").alias("n")))
+    return None if hot.isEmpty() else hot
+
+
+def _spread(edges: DataFrame, end: str, other: str, hot: DataFrame | None) -> DataFrame:
+    """Adds to each edge the copy ``s`` of its ``end`` that it belongs to."""
+    if hot is None:
+        return edges.withColumn("s", F.lit(0))
+    # HOT_MOST rows at most, since there are no more than n_edges / limit such vertices.
+    known = F.broadcast(hot.select(F.col("v").alias(end), "n"))
+    return edges.join(known, end, "left").withColumn("s", F.coalesce(F.pmod(F.xxhash64(other), F.col("n")).cast("int"), F.lit(0))).drop("n")
+
 
+def _copies(rows: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """Rows of vertices (v, ...), one for every copy ``s``."""
+    if hot is None:
+        return rows.withColumn("s", F.lit(0))
+    return rows.join(F.broadcast(hot), "v", "left").withColumn("s", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("n"), F.lit(1)) - 1))).drop("n")
 
-def components(edges: DataFrame) -> DataFrame:
+
+def _grow(edges: DataFrame, hot: DataFrame | None, round_no: int, beta: float) -> tuple[DataFrame, int]:
+    """((v, c): the cluster each vertex of the symmetric ``edges`` joins, steps until none changed)."""
+    vertices = edges.select(F.col("a").alias("v")).distinct()
+    state = vertices.select("v", (-_shift(F.col("v"), round_no, beta)).alias("t"), F.col("v").alias("c"), F.lit(True).alias("fresh"))
+    ends = _spread(edges, "a", "b", hot)
+    steps = 0
+    while True:
+        # Two steps at a time, so that half as many jobs ask whether anything changed.
+        for _ in range(2):
+            rim = _copies(state.where("fresh").select("v", "t", "c"), hot)
+            told = ends.join(rim, (ends.a == rim.v) & (ends.s == rim.s)).select(F.col("b").alias("v"), (F.col("t") + 1.0).alias("t"), "c", F.lit(None).cast("double").alias("was"))
+            held = state.select("v", "t", "c", F.col("t").alias("was"))
+            # Numbers aggregate by hash, a struct of them would be sorted. Times of
+            # different clusters do not tie: they hold 52 random bits each.
+            state = held.unionByName(told).groupBy("v").agg(F.min("t").alias("t"), F.min_by("c", "t").alias("c"), F.max("was").alias("was"))
+            state = state.select("v", "t", "c", (F.col("t") < F.col("was")).alias("fresh"))
+            steps += 1
+        state = cut(state)
+        if state.where("fresh").isEmpty():
+            return state.select("v", "c"), steps
+
+
+def components(edges: DataFrame, beta: float = BETA, hot_least: int = HOT_LEAST, report: list[dict] | None = None) -> DataFrame:
     """(vertex, root): connected components of the edge table (a, b).
 
-    ``root`` is some vertex of the component, the same for all its vertices.
+    ``root`` is some vertex of the component, the same for all its vertices. ``report``
+    receives, per round, its edges, the edges between its clusters, and its steps.
     """
     rest = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b")
     rest = cut(rest.unionByName(rest.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     rounds: list[DataFrame] = []
-    while not rest.isEmpty():
+    left = rest.count()
+    while left:
         if len(rounds) == ROUNDS:
             raise RuntimeError("components did not settle")
-        grown = cut(_grow(rest, len(rounds)))
+        hot = _hot_vertices(rest, left, hot_least)
+        grown, steps = _grow(rest, hot, len(rounds), beta)
         rounds.append(grown)
-        ends = grown.select(F.col("v").alias("a"), F.col("c").alias("ca"))
-        rest = cut(
-            rest.join(ends, "a").join(ends.select(F.col("a").alias("b"), F.col("ca").alias("cb")), "b")
-            .where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
-        )
+        for end, other in (("a", "b"), ("b", "a")):
+            ends, homes = _spread(rest, end, other, hot), _copies(grown, hot).select(F.col("v").alias(end), "s", F.col("c").alias(f"c{end}"))
+            rest = ends.join(homes, [end, "s"]).drop("s")
+        between = cut(rest.where("ca <> cb").select("ca", "cb"))
+        cuts = between.count()
+        rest = cut(between.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+        if report is not None:
+            report.append({"round_no": len(rounds), "edges": left // 2, "cut_edges": cuts // 2, "steps": steps})
+        left = rest.count()
     if not rounds:
         return rest.select(F.col("a").alias("vertex"), F.col("b").alias("root"))
     # Later rounds are smaller, so their assignments are composed first.
