@@ -4,7 +4,7 @@ import math
 import random
 
 from traceloom.llm.cluster_links import cluster_tokens
-from traceloom.llm.components import components, groups, star_edges
+from traceloom.llm.components import BETA, STEPS_AT_ONCE, components, groups, star_edges
 
 
 def brute(pairs):
@@ -36,8 +36,8 @@ def test_long_chain_and_cut_edges(spark):
     chain = spark.range(n).selectExpr("id AS a", "id + 1 AS b")
     assert components(chain, report=report).select("root").distinct().count() == 1
     first = report[0]
-    assert first["edges"] == n and first["cut_edges"] / n <= 0.2 + 0.03
-    assert all(r["steps"] <= 2 + math.log(2 * n) / 0.2 * 1.5 for r in report)
+    assert first["edges"] == n and first["cut_edges"] / n <= BETA + 0.03
+    assert all(r["steps"] <= STEPS_AT_ONCE + math.log(2 * n) / BETA * 1.5 for r in report)
 
 
 def test_vertices_of_any_degree(spark):

@@ -21,13 +21,15 @@ salted stars of bounded degree, so no task holds a whole hot group.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from traceloom.session import cut
 
 #: Rate of the exponential shifts: an edge is cut with this chance at most.
-BETA = 0.2
+BETA = 0.1
+#: Steps of growth in one job.
+STEPS_AT_ONCE = 4
 #: Rounds after which something must be wrong.
 ROUNDS = 60
 #: Members of a key that one star holds.
@@ -43,9 +45,10 @@ def star_edges(members: DataFrame, key: str, vertex: str, star: int = STAR) -> D
     its centre, the centres of a key are linked through further levels until one
     is left. No vertex gets more than ``star`` or so edges by one key.
     """
-    level = members.where(F.col(key).isNotNull() & F.col(vertex).isNotNull()).select(
+    # Written once: what the members are read from may be costly, and they are read three times.
+    level = cut(members.where(F.col(key).isNotNull() & F.col(vertex).isNotNull()).select(
         F.col(key).alias("_k"), F.col(vertex).cast("long").alias("_v")
-    ).distinct()
+    ).distinct())
     sizes = level.groupBy("_k").agg(F.count("*").alias("_n")).where("_n > 1")
     most = sizes.agg(F.max("_n")).first()[0] or 0
     if most <= star:
@@ -75,9 +78,10 @@ def _shift(vertex: Column, round_no: int, beta: float) -> Column:
 def _hot_vertices(edges: DataFrame, n_edges: int, least: int) -> DataFrame | None:
     """(v, n): vertices with so many of the directed ``edges`` that they are spread over n copies, none if there are none."""
     limit = max(least, -(-n_edges // HOT_MOST))
-    degrees = edges.groupBy(F.col("a").alias("v")).agg(F.count("*").alias("d")).where(F.col("d") > limit)
-    hot = cut(degrees.select("v", F.ceil(F.col("d") / limit).cast("int").alias("n")))
-    return None if hot.isEmpty() else hot
+    degrees = edges.groupBy(F.col("a").alias("v")).agg(F.count("*").alias("d"))
+    if degrees.agg(F.max("d")).first()[0] <= limit:
+        return None
+    return cut(degrees.where(F.col("d") > limit).select("v", F.ceil(F.col("d") / limit).cast("int").alias("n")))
 
 
 def _spread(edges: DataFrame, end: str, other: str, hot: DataFrame | None) -> DataFrame:
@@ -103,8 +107,8 @@ def _grow(edges: DataFrame, hot: DataFrame | None, round_no: int, beta: float) -
     ends = _spread(edges, "a", "b", hot)
     steps = 0
     while True:
-        # Two steps at a time, so that half as many jobs ask whether anything changed.
-        for _ in range(2):
+        # Some steps at a time, so that fewer jobs ask whether anything changed.
+        for _ in range(STEPS_AT_ONCE):
             rim = _copies(state.where("fresh").select("v", "t", "c"), hot)
             told = ends.join(rim, (ends.a == rim.v) & (ends.s == rim.s)).select(F.col("b").alias("v"), (F.col("t") + 1.0).alias("t"), "c", F.lit(None).cast("double").alias("was"))
             held = state.select("v", "t", "c", F.col("t").alias("was"))
@@ -113,11 +117,18 @@ def _grow(edges: DataFrame, hot: DataFrame | None, round_no: int, beta: float) -
             state = held.unionByName(told).groupBy("v").agg(F.min("t").alias("t"), F.min_by("c", "t").alias("c"), F.max("was").alias("was"))
             state = state.select("v", "t", "c", (F.col("t") < F.col("was")).alias("fresh"))
             steps += 1
-        state = cut(state)
-        if state.where("fresh").isEmpty():
+        state, changed = _cut_counting(state, F.count_if("fresh"))
+        if not changed:
             return state.select("v", "c"), steps
 
 
+def _cut_counting(df: DataFrame, what: Column) -> tuple[DataFrame, int]:
+    """``df`` materialised, and an aggregate over it taken in the same job."""
+    seen = Observation()
+    done = cut(df.observe(seen, what.alias("n")))
+    return done, seen.get["n"]
+
+
 def components(edges: DataFrame, beta: float = BETA, hot_least: int = HOT_LEAST, report: list[dict] | None = None) -> DataFrame:
     """(vertex, root): connected components of the edge table (a, b).
 
@@ -125,9 +136,8 @@ def components(edges: DataFrame, beta: float = BETA, hot_least: int = HOT_LEAST,
     receives, per round, its edges, the edges between its clusters, and its steps.
     """
     rest = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b")
-    rest = cut(rest.unionByName(rest.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    rest, left = _cut_counting(rest.unionByName(rest.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), F.count("*"))
     rounds: list[DataFrame] = []
-    left = rest.count()
     while left:
         if len(rounds) == ROUNDS:
             raise RuntimeError("components did not settle")
@@ -137,12 +147,12 @@ def components(edges: DataFrame, beta: float = BETA, hot_least: int = HOT_LEAST,
         for end, other in (("a", "b"), ("b", "a")):
             ends, homes = _spread(rest, end, other, hot), _copies(grown, hot).select(F.col("v").alias(end), "s", F.col("c").alias(f"c{end}"))
             rest = ends.join(homes, [end, "s"]).drop("s")
-        between = cut(rest.where("ca <> cb").select("ca", "cb"))
-        cuts = between.count()
-        rest = cut(between.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+        between = rest.where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        cuts = 0
         if report is not None:
+            between, cuts = _cut_counting(between, F.count("*"))
             report.append({"round_no": len(rounds), "edges": left // 2, "cut_edges": cuts // 2, "steps": steps})
-        left = rest.count()
+        rest, left = _cut_counting(between.distinct(), F.count("*"))
     if not rounds:
         return rest.select(F.col("a").alias("vertex"), F.col("b").alias("root"))
     # Later rounds are smaller, so their assignments are composed first.
