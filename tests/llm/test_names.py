@@ -28,7 +28,7 @@ def test_radius_pairs_are_all_pairs(spark, cell, radius):
     rng = random.Random(9)
     words = {"".join(rng.choice("abc") for _ in range(rng.randrange(3, 8))) for _ in range(260)}
     rows = [("b", w) for w in words] + [("c", "abcabc"), ("c", "abcabd"), ("c", "abcabd"), ("c", None), (None, "abcabc")]
-    got = {(r.a, r.b, r.d) for r in radius_pairs(spark.createDataFrame(rows, "k string, x string"), "k", "x", radius, cell=cell, pivots=8).collect() if r.block == "b"}
+    got = {(r.a, r.b, r.d) for r in radius_pairs(spark.createDataFrame(rows, "k string, x string"), "k", "x", radius, cell=cell, fan=4).collect() if r.block == "b"}
     ws = sorted(words)
     want = {(a, b, lev(a, b)) for i, a in enumerate(ws) for b in ws[i + 1:] if lev(a, b) <= radius}
     assert got == want
@@ -96,5 +96,16 @@ def test_crowded_evidence_links_as_a_small_one(spark):
 def test_small_cells_give_the_same_links(spark, monkeypatch):
     rows = keyed_rows(spark, "/root/testdata/sf0.001")
     whole = {tuple(r) for r in variant_links(rows).collect()}
-    monkeypatch.setattr(name_variants, "radius_pairs", functools.partial(radius_pairs, cell=3, pivots=4))
+    monkeypatch.setattr(name_variants, "radius_pairs", functools.partial(radius_pairs, cell=3, fan=2))
     assert {tuple(r) for r in variant_links(rows).collect()} == whole != set()
+
+
+def test_every_mailbox_is_a_proof_and_cells_are_reported(spark):
+    rows = [("K1", ["ada", "jones"], None, ["aaaa", "bbbb", "shared"]), ("K2", ["ada", "jonse"], None, ["cccc", "dddd", "eeee", "shared"])]
+    rows += [(f"M{i}", ["a" + "bcdefghijklmnopqrst"[i % 19] + "xyzuvw", "jones"], "19900102", []) for i in range(60)]
+    report = []
+    df = spark.createDataFrame(rows, "key string, tokens array<string>, dob string, mails array<string>")
+    ids = {r.h: r.key for r in df.select("key", F.xxhash64("key").alias("h")).collect()}
+    got = {frozenset((ids[r.a], ids[r.b])) for r in variant_links(df, report=report).collect()}
+    assert frozenset(("K1", "K2")) in got
+    assert [r["level"] for r in report] == list(range(len(report))) and len(report) > 1 and report[1]["cells"] > 1

@@ -29,7 +29,9 @@ import zlib
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,6 +41,8 @@ from traceloom.session import cut, table
 
 #: Aligned people needed before a share counts, and values two records must have in common.
 PEOPLE, VOTES = 2, 2
+#: Steps up to which their table goes to all tasks.
+FILES = 200_000
 #: Characters from which a value may tell people apart.
 TELLING = 4
 TRUE_WORDS, FALSE_WORDS = ("true", "yes", "y", "active", "on"), ("false", "no", "n", "inactive", "off")
@@ -96,27 +100,34 @@ def leaves(text: str | None) -> list[tuple[str, str | None, str | None]]:
     return out
 
 
-FIELDS = "f array<string>, kind array<string>, raw array<string>"
-RECORDS = f"series string, seq long, file_name string, line_no long, rec long, {FIELDS}"
+RECORDS = "series string, seq long, file_name string, line_no long, rec long, f array<string>, kind array<string>, raw array<string>"
+DIGESTS = "series string, seq long, file_name string, rec long, f array<string>, kind array<string>, val array<int>, tell array<long>"
 
 
-def json_records(drops: DataFrame) -> DataFrame:
-    """(series, seq, file_name, line_no, rec, f, kind, raw): records held as JSON text, one row each.
+def _lists(rows: list[list], kind: pa.DataType) -> pa.ListArray:
+    """A column of lists, built flat: far cheaper than one object per list."""
+    ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array([x for r in rows for x in r], kind))
 
-    ``rec`` is the same for repeated lines of a file.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            parsed = [leaves(t) for t in b.pop("record_text")]
-            for i, c in enumerate(("f", "kind", "raw")):
-                b[c] = [[x[i] for x in p] for p in parsed]
-            yield b
 
+def line_texts(drops: DataFrame) -> DataFrame:
+    """(series, seq, file_name, line_no, rec, record_text): ``rec`` is the same for repeated lines of a file."""
     return drops.select(
         "series", F.col("file_seq").cast("long").alias("seq"), "file_name", F.col("line_no").cast("long").alias("line_no"),
         F.xxhash64("series", "file_seq", "record_text").alias("rec"), "record_text",
-    ).mapInPandas(run, RECORDS)
+    )
+
+
+def json_records(drops: DataFrame) -> DataFrame:
+    """(series, seq, file_name, line_no, rec, f, kind, raw): records held as JSON text, one row each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            parsed = [leaves(t) for t in b.column("record_text").to_pylist()]
+            lists = [_lists([[x[i] for x in p] for p in parsed], pa.string()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], *lists], names=[c.split()[0] for c in RECORDS.split(", ")])
+
+    return line_texts(drops).mapInArrow(run, RECORDS)
 
 
 def typed_records(df: DataFrame, series: str, seq: int, file_name: str, key: str) -> DataFrame:
@@ -132,20 +143,30 @@ def typed_records(df: DataFrame, series: str, seq: int, file_name: str, key: str
 
 
 def digested(records: DataFrame) -> DataFrame:
-    """(series, seq, file_name, rec, f, kind, val, tell): values as 32-bit digests, those that tell people apart as 64-bit ones."""
+    """(series, seq, file_name, rec, f, kind, val, tell) of records or of their texts.
+
+    Values are 32-bit digests, compared for one person only; those that tell people apart
+    are 64-bit ones beside them.
+    """
+    held = ["record_text"] if "record_text" in records.columns else ["f", "kind", "raw"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            if len(held) == 1:
+                parsed = [leaves(t) for t in b.column(4).to_pylist()]
+                names, kinds, raws = ([[x[i] for x in p] for p in parsed] for i in range(3))
+            else:
+                names, kinds, raws = (b.column(4 + i).to_pylist() for i in range(3))
             vals, tells = [], []
-            for raw in b.pop("raw"):
-                known = [canonical(x) for x in raw]
-                vals.append([None if x is None else zlib.crc32(x.encode("utf-8", "replace")) - (1 << 31) for x in known])
-                tells.append([xxhash.xxh64_intdigest(x.encode("utf-8", "replace")) - (1 << 63) for x in set(known) if x is not None and len(x) >= TELLING])
-            b["val"], b["tell"] = vals, tells
-            yield b
+            for raw in raws:
+                known = [(x.encode("utf-8", "replace"), len(x)) if x else None for x in map(canonical, raw)]
+                vals.append([None if x is None else zlib.crc32(x[0]) - (1 << 31) for x in known])
+                tells.append([xxhash.xxh64_intdigest(x) - (1 << 63) for x in {x[0] for x in known if x is not None and x[1] >= TELLING}])
+            lists = [_lists(names, pa.string()), _lists(kinds, pa.string()), _lists(vals, pa.int32()), _lists(tells, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], *lists], names=[c.split()[0] for c in DIGESTS.split(", ")])
 
-    rows = records.where("series IS NOT NULL AND seq IS NOT NULL").select("series", "seq", "file_name", "rec", "f", "kind", "raw")
-    return rows.mapInPandas(run, "series string, seq long, file_name string, rec long, f array<string>, kind array<string>, val array<int>, tell array<long>")
+    rows = records.where("series IS NOT NULL AND seq IS NOT NULL").select("series", "seq", "file_name", "rec", *held)
+    return rows.mapInArrow(run, DIGESTS)
 
 
 def _steps(records: DataFrame) -> DataFrame:
@@ -155,7 +176,12 @@ def _steps(records: DataFrame) -> DataFrame:
     return files.select("series", F.lag("seq").over(w).alias("seq"), F.col("seq").alias("seq2"), "file_name").where("seq IS NOT NULL")
 
 
-def aligned_people(records: DataFrame, steps: DataFrame) -> DataFrame:
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, sent to all tasks if it is known to have no more than FILES rows, else joined by shuffle."""
+    return F.broadcast(df) if rows <= FILES else df
+
+
+def aligned_people(records: DataFrame, steps: DataFrame, n_steps: int) -> DataFrame:
     """(step, rec, rec2): records of one person before and after a step.
 
     Every telling value is one row for the step after its file and one for the step
@@ -166,7 +192,7 @@ def aligned_people(records: DataFrame, steps: DataFrame) -> DataFrame:
     sides = steps.select("series", F.col("seq").alias("at"), step, F.lit(False).alias("later")).unionByName(
         steps.select("series", F.col("seq2").alias("at"), step, F.lit(True).alias("later")))
     sides = sides.groupBy("series", F.col("at").alias("seq")).agg(F.collect_list(F.struct("step", "later")).alias("sides"))
-    seen = records.select("series", "seq", "rec", "tell").join(sides, ["series", "seq"]).select("rec", "tell", F.explode("sides").alias("s"))
+    seen = records.select("series", "seq", "rec", "tell").join(_small(sides, n_steps), ["series", "seq"]).select("rec", "tell", F.explode("sides").alias("s"))
     seen = seen.select("s.step", "s.later", "rec", F.explode("tell").alias("v")).select("step", F.xxhash64("step", "v").alias("k"), "later", "rec")
     before, after = F.when(~F.col("later"), F.col("rec")), F.when(F.col("later"), F.col("rec"))
     votes = seen.groupBy("k", "step").agg(
@@ -174,9 +200,9 @@ def aligned_people(records: DataFrame, steps: DataFrame) -> DataFrame:
     return votes.groupBy("step", "rec", "rec2").agg(F.count("*").alias("votes")).where(F.col("votes") >= VOTES).select("step", "rec", "rec2")
 
 
-def field_shares(records: DataFrame, steps: DataFrame) -> DataFrame:
+def field_shares(records: DataFrame, steps: DataFrame, n_steps: int) -> DataFrame:
     """(step, f, g, share): people whose value of f stands under g next."""
-    people = aligned_people(records, steps)
+    people = aligned_people(records, steps, n_steps)
     # Copies of a line are one record; each side of a person meets its record once.
     distinct = records.select("rec", "f", "val").groupBy("rec").agg(F.first(F.struct("f", "val")).alias("r"))
     left = people.join(distinct.select("rec", F.col("r").alias("a")), "rec")
@@ -233,18 +259,19 @@ def field_kinds(records: DataFrame) -> DataFrame:
 
 
 def edit_scripts(records: DataFrame) -> DataFrame:
-    """The script from each file to the next, kept fields included, of records of any kind."""
-    records = cut(digested(records))
-    fields = field_kinds(records)
+    """The script from each file to the next, kept fields included, of records, their texts, or digests."""
+    records = cut(records if "tell" in records.columns else digested(records))
+    fields = cut(field_kinds(records))
     steps = cut(_steps(records))
+    n_steps = steps.count()
     none = F.lit(None).cast("string")
-    share = field_shares(records, steps).join(steps.select(F.xxhash64("series", "seq2").alias("step"), "series", "seq", "seq2", "file_name"), "step")
+    share = field_shares(records, steps, n_steps).join(steps.select(F.xxhash64("series", "seq2").alias("step"), "series", "seq", "seq2", "file_name"), "step")
     tall = (
         steps.join(fields, ["series", "seq"]).select("series", "seq", "seq2", "file_name", F.lit("before").alias("side"), F.col("field").alias("f"), "kind", none.alias("g"), F.lit(0.0).alias("share"))
         .unionByName(steps.join(fields.withColumnRenamed("seq", "seq2"), ["series", "seq2"]).select("series", "seq", "seq2", "file_name", F.lit("after").alias("side"), F.col("field").alias("f"), "kind", none.alias("g"), F.lit(0.0).alias("share")))
         .unionByName(share.select("series", "seq", "seq2", "file_name", F.lit("share").alias("side"), "f", none.alias("kind"), "g", "share"))
     )
-    buckets = max(1, -(-steps.count() // STEPS_AT_ONCE))
+    buckets = max(1, -(-n_steps // STEPS_AT_ONCE))
     return tall.groupBy(F.pmod(F.xxhash64("series", "seq2"), F.lit(buckets)).alias("bucket")).applyInPandas(_scripts_of, SCRIPT_SCHEMA)
 
 
@@ -264,14 +291,17 @@ def changes(scripts: DataFrame) -> DataFrame:
 TYPED, TYPED_TABLES = "roster_contacts", (("roster_contacts_a", "roster_a_no"), ("roster_contacts_b", "roster_b_no"))
 
 
-def _all_records(spark: SparkSession, base: str) -> DataFrame:
-    typed = [typed_records(table(spark, base, name), TYPED, seq, name, key) for seq, (name, key) in enumerate(TYPED_TABLES, 1)]
-    return reduce(DataFrame.unionByName, typed, json_records(table(spark, base, "roster_drops")))
+def _typed(spark: SparkSession, base: str) -> DataFrame:
+    return reduce(DataFrame.unionByName, [typed_records(table(spark, base, name), TYPED, seq, name, key) for seq, (name, key) in enumerate(TYPED_TABLES, 1)])
+
+
+def _scripts(spark: SparkSession, base: str) -> DataFrame:
+    return edit_scripts(digested(line_texts(table(spark, base, "roster_drops"))).unionByName(digested(_typed(spark, base))))
 
 
 def p6_found(spark: SparkSession, base: str) -> DataFrame:
     """Every change from a file of a series to the next."""
-    return changes(edit_scripts(_all_records(spark, base)))
+    return changes(_scripts(spark, base))
 
 
 ORIGIN_SCHEMA = "series string, seq long, field string, origin string"
@@ -374,12 +404,12 @@ def unify(records: DataFrame, origins: DataFrame, family: dict[str, str], column
 
 def p6_unified(spark: SparkSession, base: str) -> DataFrame:
     """All roster records, of the files and of both typed tables, in one table."""
-    scripts = cut(edit_scripts(_all_records(spark, base)))
+    scripts = cut(_scripts(spark, base))
     origins = cut(first_names(scripts))
     first, second = ([slug(c) for c in table(spark, base, n).columns if c != key] for n, key in TYPED_TABLES)
     family = families(scripts, origins, first)
     columns = list(dict.fromkeys(family.get(c, c) for c in first + second))
-    return unify(_all_records(spark, base), origins, family, columns)
+    return unify(json_records(table(spark, base, "roster_drops")).unionByName(_typed(spark, base)), origins, family, columns)
 
 
 QUERIES = {"p6_found": p6_found, "p6_unified": p6_unified}

@@ -1,30 +1,52 @@
 """Exact radius joins of strings under the edit distance, by metric partitioning.
 
-Within a block, strings are assigned to the nearest of a few pivots. By the
-triangle inequality, a string within ``radius`` of one whose home is pivot q is
-at most ``2 * radius`` farther from q than from its own pivot, so replicating
-just those strings to q loses no pair. Inside a cell, home strings are compared
-with all strings of the cell. Blocks up to ``cell`` strings are one cell.
+A block is a cell. A cell of more than a few strings gets pivots, in proportion to its
+strings, and each string goes home to the nearest. By the triangle inequality, a
+string within ``radius`` of one whose home is pivot q is at most ``2 * radius`` farther
+from q than from its own pivot, so replicating just those strings to q loses no pair.
+The cells of the pivots are parted in the same way, as long as that makes them smaller.
+Inside a cell, home strings are compared with all strings of the cell.
 
 Defined results: nulls take no part; equal strings of a block are one string and
 pair with nothing, unless what is kept beside them differs; each pair comes once,
-the lesser side first.
+the lesser side first. The result does not depend on the size of cells.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from traceloom.session import cut
 
-#: Strings of a block up to which it is one cell; most pivots of a block.
-CELL, PIVOTS = 256, 96
+#: Strings up to which a cell is not parted; pivots of a cell at most; levels at most; share
+#: of its parent's strings above which a cell is left as it is.
+CELL, FAN, LEVELS, SMALLER = 8, 32, 4, 0.75
+
+
+def _parted(cells: DataFrame, radius: int, cell: int, fan: int, keep: tuple[str, ...]) -> DataFrame:
+    """Cells (block, cell, n, x, *keep) parted by pivots: the same columns, ``n`` that of the parent, and ``home``."""
+    # Pivots are distinct strings of least hash: a bounded number for each cell, one at
+    # least, however few strings its rows hold.
+    part = F.pmod(F.xxhash64("x"), F.lit(1 << 30)) / float(1 << 30)
+    strings = cells.select("cell", "x", part.alias("part")).distinct()
+    counts = strings.groupBy("cell").agg(F.count("*").alias("strings"), F.min("part").alias("first"))
+    few = F.least(F.lit(fan), F.ceil(F.col("strings") / cell)).cast("int")
+    counts = counts.select("cell", "first", few.alias("k"), (F.greatest(F.lit(4.0) * few, F.lit(64.0)) / F.col("strings")).alias("upto"))
+    near = strings.join(counts, "cell").where((F.col("part") < F.col("upto")) | (F.col("part") == F.col("first")))
+    chosen = near.groupBy("cell", "k").agg(F.sort_array(F.collect_set(F.struct("part", "x"))).alias("p"))
+    chosen = chosen.select("cell", F.transform(F.slice("p", 1, F.greatest("k", F.lit(1))), lambda s: s["x"]).alias("p"))
+    far = cells.join(chosen, "cell").withColumn("d", F.transform("p", lambda p: F.levenshtein(F.col("x"), p)))
+    far = far.withColumn("least", F.array_min("d")).withColumn("own", F.array_position("d", F.col("least")).cast("int") - 1)
+    spread = far.select("block", "cell", "n", "x", *keep, "least", "own", F.posexplode("d").alias("q", "dq")).where(F.col("dq") <= F.col("least") + 2 * radius)
+    return spread.select("block", F.xxhash64("cell", "q").alias("cell"), "n", "x", *keep, (F.col("q") == F.col("own")).alias("home"))
 
 
 def radius_pairs(
     objects: DataFrame, block: str, text: Column | str, radius: int, keep: tuple[str, ...] = (), apart: str | None = None,
-    check: Column | None = None, cell: int = CELL, pivots: int = PIVOTS,
+    check: Column | None = None, cell: int = CELL, fan: int = FAN, report: list[dict] | None = None,
 ) -> DataFrame:
     """(block, a, b, d, *keep_a, *keep_b): strings of one block within ``radius``.
 
@@ -35,6 +57,7 @@ def radius_pairs(
     that travel, so that a long string need not be shuffled beside what it is
     derived from. Everything before the pivots reads one exchange by block. Repeated
     rows give repeated pairs where ``apart`` is given, and one pair otherwise.
+    ``report`` receives cells, strings and places of strings at each level.
     """
     x = F.col(text) if isinstance(text, str) else text
     source = [F.col(c) for c in objects.columns if c not in (block, *keep)]
@@ -56,28 +79,31 @@ def radius_pairs(
         held = [f"{c}_{s}" for c in keep for s in "ab"]
         return pairs.where(F.when(first, close).otherwise(False)).select("block", "a", "b", *held, F.levenshtein("a", "b", radius).alias("d"))
 
-    if large.isEmpty():
-        return compared(side(items, "a", "block").join(side(items, "b", "block"), "block"))
+    def note(level: int, cells: DataFrame) -> None:
+        if report is not None:
+            seen = cells.groupBy("cell").agg(F.count("*").alias("m")).agg(F.count("*").alias("cells"), F.sum("m").alias("places"), F.max("m").alias("largest")).first()
+            report.append({"level": level, "cells": seen.cells, "places": seen.places or 0, "largest": seen.largest or 0})
+
     large = cut(large)
+    # Blocks of a few strings are cells without a second pivot: all are at home.
     small = items.join(large, "block", "left_anti")
+    note(0, small.withColumnRenamed("block", "cell"))
     within = compared(side(small, "a", "block").join(side(small, "b", "block"), "block"))
-    # Pivots are distinct strings of least hash: a bounded number for each large block,
-    # one at least, however few strings its rows hold.
-    crowded = items.join(large, "block")
-    part = F.pmod(F.xxhash64("x"), F.lit(1 << 30)) / float(1 << 30)
-    strings = crowded.select("block", "n", "x", part.alias("part")).distinct()
-    few = F.least(F.lit(pivots), F.ceil(F.col("n") / cell)).cast("int")
-    counts = strings.groupBy("block", "n").agg(F.count("*").alias("strings"), F.min("part").alias("first")).select(
-        "block", "first", few.alias("k"), (F.greatest(F.lit(4.0) * few, F.lit(64.0)) / F.col("strings")).alias("upto")
-    )
-    near = strings.join(counts, "block").where((F.col("part") < F.col("upto")) | (F.col("part") == F.col("first")))
-    chosen = near.groupBy("block", "k").agg(F.sort_array(F.collect_set(F.struct("part", "x"))).alias("p"))
-    chosen = chosen.select("block", F.transform(F.slice("p", 1, F.greatest("k", F.lit(1))), lambda s: s["x"]).alias("p"))
-    far = crowded.join(chosen, "block").withColumn("d", F.transform("p", lambda p: F.levenshtein(F.col("x"), p)))
-    far = far.withColumn("least", F.array_min("d")).withColumn("own", F.array_position("d", F.col("least")).cast("int") - 1)
-    cells = far.select("block", "x", *keep, "least", "own", F.posexplode("d").alias("q", "dq")).where(F.col("dq") <= F.col("least") + 2 * radius)
-    cells = cut(cells.select("block", "q", "x", *keep, (F.col("q") == F.col("own")).alias("home")))
-    # One side is at home in the cell, whichever it is; a pair whose homes differ meets twice.
-    home = cells.where("home")
-    met = [side(p, "a", "block", "q").join(side(g, "b", "block", "q"), ["block", "q"]).drop("q") for p, g in ((home, cells), (cells, home))]
-    return within.unionByName(compared(met[0]).unionByName(compared(met[1])).distinct())
+    across: list[DataFrame] = []
+    cells = items.join(large, "block").withColumn("cell", F.col("block"))
+    for level in range(1, LEVELS + 1):
+        parted = cut(_parted(cells, radius, cell, fan, keep))
+        if parted.isEmpty():
+            break
+        note(level, parted)
+        sizes = parted.groupBy("cell").agg(F.count("*").alias("m"), F.first("n").alias("_n"))
+        again = cut(sizes.where((F.col("m") > cell) & (F.col("m") <= SMALLER * F.col("_n"))).select("cell", F.col("m").alias("n"))) if level < LEVELS else None
+        done = parted if again is None else parted.join(again.select("cell"), "cell", "left_anti")
+        # One side is at home in the cell, whichever it is; a pair whose homes differ meets twice.
+        home = done.where("home")
+        met = [side(p, "a", "block", "cell").join(side(g, "b", "cell"), "cell").drop("cell") for p, g in ((home, done), (done, home))]
+        across += [compared(m) for m in met]
+        if again is None:
+            break
+        cells = parted.drop("n", "home").join(again, "cell")
+    return within.unionByName(reduce(DataFrame.unionByName, across).distinct()) if across else within

@@ -24,8 +24,6 @@ from traceloom.llm.people import initials_of, people_rows, same_name_pairs
 from traceloom.session import cut, table
 
 RADIUS = 2
-#: Mailbox columns a row of people has at most.
-MAILS = 2
 
 
 def tokens_agree(a: Column, b: Column) -> Column:
@@ -61,20 +59,20 @@ def evidence(rows: DataFrame) -> DataFrame:
     Names travel as one text, evidence and keys as 64 bits: all are shuffled more
     than once, and numbers aggregate by hash where texts would be sorted.
     """
-    mail = lambda i: F.when(F.length(F.get("mails", F.lit(i))) >= 4, F.concat(F.lit("m"), F.get("mails", F.lit(i))))
-    proofs = F.array(F.concat(F.lit("d"), F.col("dob")), *[mail(i) for i in range(MAILS)])
+    mails = F.transform(F.filter("mails", lambda m: F.length(m) >= 4), lambda m: F.concat(F.lit("m"), m))
+    proofs = F.concat(F.array(F.concat(F.lit("d"), F.col("dob"))), F.coalesce(mails, F.array().cast("array<string>")))
     named = rows.where(F.size("tokens") >= 2).select(F.xxhash64("key").alias("key"), F.array_join("tokens", " ").alias("name"), F.explode(proofs).alias("proof"))
     return named.where("proof IS NOT NULL").select(F.xxhash64("proof").alias("proof"), "name", "key").distinct()
 
 
-def variant_links(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
+def variant_links(rows: DataFrame, radius: int = RADIUS, report: list[dict] | None = None) -> DataFrame:
     """(a, b): hashed keys with variant spellings of one name and a common proof.
 
     Keys of equal name and proof are a star around the least of them; only that
     one stands for the name when spellings are compared.
     """
     known = cut(evidence(rows))
-    holders = known.groupBy("proof", "name").agg(F.min("key").alias("holder"))
+    holders = cut(known.groupBy("proof", "name").agg(F.min("key").alias("holder")))
     stars = known.join(holders, ["proof", "name"]).where("key <> holder").select(F.col("key").alias("a"), F.col("holder").alias("b"))
     tokens = F.split("name", " ")
     # Two generators are compiled code, nested functions over arrays would be interpreted.
@@ -85,7 +83,8 @@ def variant_links(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
     )
     # The token that is compared is read from the name on the far side of the exchange.
     agree = names_agree(F.split("name_a", " "), F.split("name_b", " "))
-    near = radius_pairs(objects, "block", F.get(F.split("name", " "), F.col("n")), radius, keep=("name", "holder"), apart="holder", check=agree)
+    # Written once: blocks of one cell and parted blocks are read in different jobs.
+    near = radius_pairs(cut(objects), "block", F.get(F.split("name", " "), F.col("n")), radius, keep=("name", "holder"), apart="holder", check=agree, report=report)
     return near.select(F.col("holder_a").alias("a"), F.col("holder_b").alias("b")).unionByName(stars).distinct()
 
 
@@ -128,5 +127,24 @@ def p4_people(spark: SparkSession, base: str) -> DataFrame:
     return sizes.groupBy("keys").agg(F.count("*").alias("people"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_people": p4_people}
+def p4_cells(spark: SparkSession, base: str) -> DataFrame:
+    """(level, cells, places, largest): cells of the metric partitioning, how many strings stand in them, and in the largest.
+
+    Level 0 has the blocks that are one cell, each further level the cells of pivots.
+    """
+    report: list[dict] = []
+    variant_links(keyed_rows(spark, base), report=report)
+    return spark.createDataFrame([tuple(r.values()) for r in report], "level int, cells long, places long, largest long")
+
+
+def p4_representatives(spark: SparkSession, base: str) -> DataFrame:
+    """(key, representative): every linked key with the least key of its person.
+
+    The form of ``p4_found`` that grows with the keys and not with their pairs.
+    """
+    people = cut(_people(spark, base))
+    return people.join(people.groupBy("person").agg(F.min("key").alias("representative")), "person").select("key", "representative")
+
+
+QUERIES = {"p4_found": p4_found, "p4_people": p4_people, "p4_cells": p4_cells, "p4_representatives": p4_representatives}
 SQL: dict[str, str] = {}
