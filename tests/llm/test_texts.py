@@ -93,8 +93,7 @@ def test_classifier_and_rates(spark):
     members = mixing.memberships(df, sources, weights, TOKENIZER).toPandas().set_index("doc_id")
     hits = [sources[int(np.argmax(members.posterior[1000 + i]))] == ["log", "mail", "code"][i % 3] for i in range(60)]
     assert np.mean(hits) >= 0.95
-    base = mixing.memberships(df, sources, weights, TOKENIZER).selectExpr(
-        "*", "cast(CASE WHEN array_max(posterior) > 0 THEN array_position(posterior, array_max(posterior)) - 1 ELSE -1 END as int) AS home")
+    base = mixing.homes(mixing.memberships(df, sources, weights, TOKENIZER), sources)
     shares, caps = [{"log": 0.2, "mail": 0.5, "code": 0.3}[s] for s in sources], [{"log": 1, "mail": 2, "code": 4}[s] for s in sources]
     rated, expected = mixing.fit_rates(base, shares, caps)
     assert np.allclose(np.array(expected) / sum(expected), shares, atol=0.01)
@@ -102,3 +101,18 @@ def test_classifier_and_rates(spark):
     assert (chosen.repeats <= chosen.home.map(dict(enumerate(caps)))).all()
     got = (chosen.n_tokens * chosen.repeats).groupby(chosen.home).sum() / (chosen.n_tokens * chosen.repeats).sum()
     assert np.allclose(got.reindex(range(3)), shares, atol=0.04)
+    # A label is evidence: a document that reads like another source keeps its home, but belongs to both.
+    odd = spark.createDataFrame([(1, kinds["mail"] * 8, "log"), (2, kinds["log"] * 8, "log"), (3, "x", "unheard of")], "doc_id long, text string, source string")
+    got = mixing.homes(mixing.memberships(odd, sources, weights, TOKENIZER), sources).toPandas().set_index("doc_id")
+    log, mail = sources.index("log"), sources.index("mail")
+    assert got.home.tolist() == [log, log, -1] and got.posterior[2][log] > 0.999
+    assert abs(sum(got.posterior[1]) - 1) < 1e-6 and got.posterior[1][mail] > got.posterior[2][mail] * 10
+
+
+def test_a_mix_that_cannot_settle_is_an_error(spark):
+    # Both sources share all their documents' posteriors, so no rates give one of them four fifths.
+    rows = [(i, 100, [0.5, 0.5], i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, n_tokens long, posterior array<double>, home int")
+    with pytest.raises(RuntimeError):
+        mixing.fit_rates(df, [0.8, 0.2], [1, 1])
+    assert mixing.fit_rates(df.limit(0), [0.8, 0.2], [1, 1])[1] == [0.0, 0.0]

@@ -178,7 +178,8 @@ def cut_documents(docs: DataFrame, key: str, text: str, jobs: list[tuple[str, in
                 for doc, t in zip(batch["key"].iloc[lo:lo + 200], batch["text"].iloc[lo:lo + 200]):
                     if not isinstance(t, str) or not t:
                         continue
-                    if 4 * len(t) <= smallest:  # a character has four bytes at most, a token one at least
+                    # A token has one byte at least, so a text of so few bytes is within the limit.
+                    if 4 * len(t) <= smallest or len(t) <= smallest and len(t.encode("utf-8", "replace")) <= smallest:
                         continue
                     for (job, _, _), pieces in zip(jobs, cut_text_for(t, [(m, o) for _, m, o in jobs], path)):
                         rows += [(job, doc, i + 1, a, o, e, size, kind, t[a:e]) for i, (a, o, e, size, kind) in enumerate(pieces)]

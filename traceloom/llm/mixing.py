@@ -1,18 +1,21 @@
 """Mixing sources to target weights with soft membership.
 
-A classifier trained on labelled rows gives documents without a known source a
-posterior over the sources. Rates (expected repeats) are fitted by projected
-gradient descent on the squared distance between the expected tokens of each
-source and its target: each step aggregates tokens per source over all documents
-and clips every rate to [0, most repeats]. Only one number per source reaches
-the driver per step. Rates become whole repeats by a threshold on a hash, set per
-source from a histogram of tokens over the hash, so the shares hold to a fraction
-of a percent.
+A classifier trained on labelled rows gives every document a posterior over the
+sources. A document's own label is evidence, not the answer: it multiplies the
+posterior as a prior in which a label is wrong with a small chance, so a document that
+reads like another source counts partly for that one. Rates (expected repeats) are
+fitted by projected gradient descent on the squared distance between the expected
+tokens of each source and its target: each step aggregates tokens per source over all
+documents and clips every rate to [0, most repeats]. Only one number per source reaches
+the driver per step. If a total turns out not to be within reach, a slightly smaller one
+is fitted; what does not settle at all is an error. Rates become whole repeats by a
+threshold on a hash, set per source from a histogram of tokens over the hash, so the
+shares hold to a fraction of a percent.
 
 Defined results: sources without a target get rate 0; a document of null source
-belongs to the source its posterior favours (with its cap of repeats); null and
-empty texts have no tokens and are left out; the same document in two rows is two
-documents; the total is the largest that lets every source reach its share.
+belongs to the source its posterior favours (with its cap of repeats), any other to its
+own; null and empty texts have no tokens and are left out; the same document in two rows
+is two documents; the total is the largest that lets every source reach its share.
 """
 
 from __future__ import annotations
@@ -24,17 +27,21 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from traceloom.llm.tokens import TOKENIZER, encoder
+from traceloom.llm.tokens import TOKENIZER, encode
 from traceloom.session import cut, table
 
 #: The classifier is fitted on at most this many labelled rows per source, over hashed token counts.
 SAMPLE_PER_SOURCE, FEATURES = 200, 2048
-#: Gradient steps, least change of a residual to go on, bins of the rounding histogram.
-STEPS, SETTLED, BINS = 40, 1e-4, 4096
+#: Chance that a label is wrong.
+MISLABELLED = 0.005
+#: Gradient steps for one total, distance of every source's share at which they have settled, factor
+#: and number of smaller totals to try, bins of the rounding histogram.
+STEPS, SETTLED, LESS, TRIES, BINS = 20, 2e-4, 0.99, 10, 4096
 
 
-def _features(text: str, path: str) -> np.ndarray:
-    ids = np.array(encoder(path)[0].encode_ordinary(text), dtype=np.int64)
+def _features(ids: list[int]) -> np.ndarray:
+    """Log counts of hashed tokens, of length 1."""
+    ids = np.array(ids, dtype=np.int64)
     x = np.log1p(np.bincount((ids * 2654435761 % (1 << 32)) % FEATURES, minlength=FEATURES)).astype(np.float32)
     return x / max(1e-9, float(np.sqrt((x * x).sum())))
 
@@ -59,7 +66,7 @@ def train(docs: DataFrame, path: str = TOKENIZER) -> tuple[list[str], np.ndarray
     """(sources, weights) fitted on a sample of labelled rows, at most SAMPLE_PER_SOURCE of each."""
     labelled = docs.where("source IS NOT NULL AND length(text) > 0")
     counts = labelled.groupBy("source").agg(F.count("*").alias("n"))
-    near = labelled.join(F.broadcast(counts), "source").withColumn("u", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 40)) / float(1 << 40))
+    near = labelled.join(counts, "source").withColumn("u", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 40)) / float(1 << 40))
     # Twice the expected share first, so that no source is ranked as a whole.
     near = near.where(F.col("u") < F.lit(2.0 * SAMPLE_PER_SOURCE) / F.col("n"))
     rank = F.row_number().over(Window.partitionBy("source").orderBy("u", "doc_id"))
@@ -67,7 +74,7 @@ def train(docs: DataFrame, path: str = TOKENIZER) -> tuple[list[str], np.ndarray
 
     def featurize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"source": b["source"], "x": [_features(t, path) for t in b["text"]]})
+            yield pd.DataFrame({"source": b["source"], "x": [_features(encode(t, path)) for t in b["text"]]})
 
     got = sample.mapInPandas(featurize, "source string, x array<float>").toPandas()
     sources = sorted(got["source"].unique())
@@ -78,24 +85,26 @@ def train(docs: DataFrame, path: str = TOKENIZER) -> tuple[list[str], np.ndarray
 
 
 def memberships(docs: DataFrame, sources: list[str], weights: np.ndarray, path: str = TOKENIZER) -> DataFrame:
-    """(doc_id, source, n_tokens, posterior): one-hot where the source is known, else predicted."""
+    """(doc_id, source, n_tokens, posterior) of every document; each text is tokenized once."""
     place = {s: i for i, s in enumerate(sources)}
+    k = len(sources)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoder(path)[0]
-        hot = np.eye(max(1, len(sources)))[:, :len(sources)]
         for b in batches:
             sizes, rows = [], []
             for source, text in zip(b["source"], b["text"]):
-                text = text if isinstance(text, str) else ""
-                sizes.append(len(enc.encode_ordinary(text)))
-                if source in place:
-                    rows.append(hot[place[source]])
-                elif source is None and sources and text:
-                    x = np.append(_features(text, path), 1.0)[None]
-                    rows.append(softmax(x @ weights)[0].astype(float))
-                else:
-                    rows.append(np.zeros(len(sources)))
+                ids = encode(text, path) if isinstance(text, str) else []
+                sizes.append(len(ids))
+                at = place.get(source)
+                if not ids or (at is None and source is not None):
+                    rows.append(np.zeros(k))
+                    continue
+                p = softmax((np.append(_features(ids), np.float32(1.0)) @ weights)[None])[0].astype(float) if k else np.zeros(0)
+                if at is not None:
+                    prior = np.full(k, MISLABELLED / max(1, k - 1))
+                    prior[at] = 1.0 - MISLABELLED
+                    p = p * prior / (p * prior).sum()
+                rows.append(p)
             yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"], "n_tokens": sizes, "posterior": rows})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text").mapInPandas(
@@ -103,6 +112,14 @@ def memberships(docs: DataFrame, sources: list[str], weights: np.ndarray, path:
     )
 
 
+def homes(members: DataFrame, sources: list[str]) -> DataFrame:
+    """Adds ``home``, the number of a document's own source, of the likeliest where it has none, or -1."""
+    best = F.array_max("posterior")
+    likeliest = F.when(best > 0, F.array_position("posterior", best) - 1).otherwise(-1)
+    own = F.array_position(F.array(*[F.lit(s) for s in sources]), F.col("source")) - 1
+    return members.withColumn("home", F.when(F.col("source").isNull(), likeliest).otherwise(own).cast("int"))
+
+
 def fit_rates(members: DataFrame, targets: list[float], caps: list[int]) -> tuple[DataFrame, list[float]]:
     """(members with rate, expected tokens per source) by projected gradient steps.
 
@@ -118,31 +135,32 @@ def fit_rates(members: DataFrame, targets: list[float], caps: list[int]) -> tupl
     mass = base.agg(*[F.sum(soft(i) * F.col("cap")).alias(f"m{i}") for i in range(k)]).first()
     most = [float(m or 0.0) for m in mass]
     total = min((m / t for m, t in zip(most, targets) if t > 0), default=0.0)
-    goal = [total * t for t in targets]
-    history: list[list[float]] = []
+    if total <= 0:
+        return base.withColumn("rate", F.lit(0.0)), [0.0] * k
 
-    def rate_column():
+    def rates(history: list[list[float]]):
         """Rates after all steps so far, from the residuals of each."""
-        r = F.lit(0.0)
-        steps = F.array(*[F.array(*[F.lit(x) for x in h]) for h in history]) if history else None
-        if steps is None:
-            return r
+        if not history:
+            return F.lit(0.0)
+        steps = F.array(*[F.array(*[F.lit(x) for x in h]) for h in history])
         return F.aggregate(
             steps, F.lit(0.0),
             lambda acc, h: F.least(F.col("cap"), F.greatest(F.lit(0.0), acc + F.col("cap") * F.aggregate(
                 F.zip_with(h, F.col("posterior"), lambda a, b: a * b), F.lit(0.0), lambda x, y: x + y))),
         )
 
-    expected = [0.0] * k
-    for _ in range(STEPS):
-        residual = [(g - e) / max(m, 1e-9) for g, e, m in zip(goal, expected, most)]
-        if max((abs(g - e) / max(total, 1e-9) for g, e in zip(goal, expected)), default=0.0) < SETTLED:
-            break
-        history.append(residual)
-        rated = base.withColumn("rate", rate_column())
-        row = rated.agg(*[F.sum(soft(i) * F.col("rate")).alias(f"e{i}") for i in range(k)]).first()
-        expected = [float(e or 0.0) for e in row]
-    return base.withColumn("rate", rate_column()), expected
+    for _ in range(TRIES):
+        goal = [total * t for t in targets]
+        history: list[list[float]] = []
+        expected = [0.0] * k
+        for _ in range(STEPS):
+            history.append([(g - e) / max(m, 1e-9) for g, e, m in zip(goal, expected, most)])
+            row = base.withColumn("rate", rates(history)).agg(*[F.sum(soft(i) * F.col("rate")).alias(f"e{i}") for i in range(k)]).first()
+            expected = [float(e or 0.0) for e in row]
+            if max(abs(g - e) / total for g, e in zip(goal, expected)) < SETTLED:
+                return base.withColumn("rate", rates(history)), expected
+        total *= LESS
+    raise RuntimeError("the shares did not settle: some source is too small for its target")
 
 
 def whole_repeats(rated: DataFrame) -> DataFrame:
@@ -169,9 +187,7 @@ def _mix(spark: SparkSession, base: str):
     sources, weights = train(docs)
     sources = sources or sorted(targets)
     members = memberships(docs, sources, weights)
-    best = F.array_max("posterior")
-    home = F.when(best > 0, F.array_position("posterior", best) - 1).otherwise(-1)
-    members = cut(members.withColumn("home", home.cast("int")))
+    members = cut(homes(members, sources))
     shares = [float(targets[s][0]) if s in targets else 0.0 for s in sources]
     caps = [int(targets[s][1]) if s in targets else 0 for s in sources]
     rated, _ = fit_rates(members, shares, caps)
@@ -186,16 +202,22 @@ def p8_mix(spark: SparkSession, base: str) -> DataFrame:
 
 
 def p8_shares(spark: SparkSession, base: str) -> DataFrame:
-    """Target and actual share of every source of mix_targets."""
-    chosen, sources, *_ = _mix(spark, base)
+    """Target and actual share of every source of mix_targets, by the documents' sources and by their posteriors."""
+    chosen, sources, _, _, members = _mix(spark, base)
+    chosen = cut(chosen)
     names = F.array(*[F.lit(s) for s in sources])
+    soft = chosen.where("repeats > 0").join(members.select("doc_id", "posterior", "n_tokens", "home"), ["doc_id", "n_tokens", "home"])
+    soft = soft.select((F.col("n_tokens") * F.col("repeats")).alias("t"), F.posexplode("posterior").alias("i", "p")).groupBy("i").agg(F.sum(F.col("t") * F.col("p")).alias("soft"))
+    soft = soft.select(F.get(names, F.col("i")).alias("source"), "soft")
     got = chosen.where("repeats > 0").groupBy(F.get(names, F.col("home")).alias("source")).agg(
         F.count("*").alias("documents"), F.sum("repeats").alias("copies"), F.max("repeats").alias("most_repeats"),
         F.sum(F.col("repeats") * F.col("n_tokens")).alias("tokens"),
     )
     total = F.sum("tokens").over(Window.partitionBy())
-    return table(spark, base, "mix_targets").join(got, "source", "left").select(
-        "source", "target_share", (F.coalesce("tokens", F.lit(0)) / total).alias("actual_share"), "max_repeats",
+    all_soft = F.sum("soft").over(Window.partitionBy())
+    return table(spark, base, "mix_targets").join(got, "source", "left").join(soft, "source", "left").select(
+        "source", "target_share", (F.coalesce("tokens", F.lit(0)) / total).alias("actual_share"),
+        (F.coalesce("soft", F.lit(0.0)) / all_soft).alias("posterior_share"), "max_repeats",
         F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"), F.coalesce("documents", F.lit(0)).alias("documents"),
         F.coalesce("copies", F.lit(0)).alias("copies"), F.coalesce("tokens", F.lit(0)).alias("tokens"),
     )

@@ -106,7 +106,8 @@ def pack(sizes: DataFrame, jobs: list[tuple[str, int]], shard_items: int = SHARD
     """Place items (key, n_tokens) into containers of each job (name, capacity).
 
     Two rounds: the first packs shards of ``shard_items`` items, the second opens
-    containers below FULL and packs their items again in shards of the same size.
+    containers below FULL and packs their items again in shards of the same size. Every
+    input goes through both, whatever its size.
     """
     n = F.greatest(F.coalesce("n_tokens", F.lit(0)), F.lit(0)).cast("long")
     job_rows = F.explode(F.array(*[F.struct(F.lit(j).alias("job"), F.lit(c).cast("long").alias("capacity")) for j, c in jobs]))
@@ -121,8 +122,6 @@ def pack(sizes: DataFrame, jobs: list[tuple[str, int]], shard_items: int = SHARD
     spread = F.pmod(F.xxhash64("doc_id", "piece_no"), F.lit(shards))
     # The one or two jobs and shards of a small input still make separate tasks.
     first = cut(_pack(items.withColumn("shard", spread), "a"))
-    if shards == 1:
-        return first.drop("shard")
     fill = first.groupBy("job", "container_id").agg((F.sum("n_tokens") / F.first("capacity")).alias("fill"))
     marked = first.join(fill, ["job", "container_id"])
     keep = marked.where(F.col("fill") >= FULL).drop("fill")

@@ -47,10 +47,9 @@ def with_token_counts(df: DataFrame, key: str, text: str, path: str = TOKENIZER)
     """(key, n_tokens) of every row, over the whole text."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoder(path)[0]
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
-            yield pd.DataFrame({"key": batch["key"], "n_tokens": [len(enc.encode_ordinary(t)) for t in texts]})
+            yield pd.DataFrame({"key": batch["key"], "n_tokens": [len(encode(t, path)) for t in texts]})
 
     rows = df.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").alias("text"))
     return rows.mapInPandas(count, "key long, n_tokens long")
