@@ -136,13 +136,16 @@ def cluster_rows(linked: DataFrame, row: str, most: int = HUB) -> DataFrame:
     The cluster is its least row; a row without usable keys is its own cluster.
     """
     eligible = linked.where("cluster_eligible = 'yes'").select(row, merge_keys(F.col("evidence")).alias("_keys"))
-    keys = eligible.select(row, F.explode("_keys").alias("merge_key"))
-    hubs = hub_keys(keys, most)
-    usable = keys.join(hubs, "merge_key", "left_anti")
-    centres = usable.groupBy("merge_key").agg(F.min(row).alias("c"))
-    edges = usable.join(centres, "merge_key").select(F.col(row).alias("a"), F.col("c").alias("b"))
+    # Keys are costly to make and read several times: written once. They are joined on by
+    # 16 bytes each; equal digests mean equal keys.
+    eligible = cut(eligible)
+    keys = cut(eligible.select(row, F.explode("_keys").alias("merge_key")).select(row, F.unhex(F.md5("merge_key")).alias("k")))
+    sizes = cut(keys.groupBy("k").agg(F.count("*").alias("n"), F.min(row).alias("c")).where("n > 1"))
+    edges = keys.join(sizes.where(F.col("n") <= most), "k").select(F.col(row).alias("a"), F.col("c").alias("b"))
     found = connected_components(edges)
-    suppressed = keys.join(hubs, "merge_key", "left_semi").groupBy(row).agg(F.array_sort(F.collect_set("merge_key")).alias("suppressed"))
+    hubs = sizes.where(F.col("n") > most).select("k")
+    over = eligible.select(row, F.explode("_keys").alias("merge_key")).join(hubs, F.unhex(F.md5("merge_key")) == F.col("k"), "left_semi")
+    suppressed = over.groupBy(row).agg(F.array_sort(F.collect_set("merge_key")).alias("suppressed"))
     return (
         eligible.join(found, eligible[row] == found["vertex"], "left").select(eligible[row], F.coalesce("component", eligible[row]).alias("cluster"), F.col("_keys").alias("merge_keys"))
         .join(suppressed, row, "left")

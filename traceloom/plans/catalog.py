@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("packed_queries", "function_queries", "scan_queries", "report_queries", "schema_queries", "more_queries")
+MODULES = ("packed_queries", "function_queries", "scan_queries", "report_queries", "schema_queries", "more_queries", "derived_queries")
 
 
 def collect() -> tuple[dict, dict]:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from traceloom.functions import text as T
 from traceloom.functions import validators as V
 from traceloom.operators.ordering import capped_values
-from traceloom.operators.rules import resolve_header
 from traceloom.plans.sql_text import NAME_SQL
 from traceloom.session import table
 
@@ -89,18 +88,6 @@ def p_capped_join(spark: SparkSession, base: str) -> DataFrame:
     return rows.select("student_id").distinct().join(capped_values(rows, "student_id", "email", 2, "emails"), "student_id", "left").select("student_id", F.coalesce("emails", F.lit("")).alias("emails"))
 
 
-HEADERS = (
-    "student_id", "full_name", "email", "dob", "phone", "passport_number", "case_status", "uon_email", "first_name", "last_name", "DateOfBirth", "Home Address",
-    "sort code", "account number", "postcode", "user_contact", "course name", "user email type", "Root.Person.EMAIL_ADDR", "column_3", "Nationality", "country of birth", "id",
-)
-
-
-def h_headers(spark: SparkSession, base: str) -> DataFrame:
-    """(header, canonical): what headers resolve to."""
-    rows = [(h, resolve_header(h).canonical if resolve_header(h) else "") for h in HEADERS]
-    return spark.createDataFrame(rows, "header string, canonical string")
-
-
 _CELL = lambda c: f"trim(regexp_replace(coalesce({c}, ''), '\\s+', ' ', 'g'))"
 _VARIED = lambda d: f"NOT regexp_full_match({d}, '0+|1+|2+|3+|4+|5+|6+|7+|8+|9+')"
 _CLEAN = r"""
@@ -160,14 +147,10 @@ SELECT doc_id, CAST(len(parts) AS INT) AS line_count, CAST(list_max(list_transfo
     "p_capped_join": """
 WITH x AS (SELECT student_id, list_sort(list(DISTINCT email) FILTER (email <> '')) AS v FROM exposed_records_008 WHERE student_id IS NOT NULL GROUP BY 1)
 SELECT student_id, CASE WHEN len(v) > 2 THEN array_to_string(v[1:2], '|') || '|...(+' || (len(v) - 2) || ' more)' ELSE coalesce(array_to_string(v, '|'), '') END AS emails FROM x""",
-    "h_headers": """SELECT * FROM (VALUES ('student_id', 'student id'), ('full_name', 'full name'), ('email', 'email'), ('dob', 'DOB'), ('phone', 'phone'), ('passport_number', 'passport'),
-  ('case_status', ''), ('uon_email', 'email'), ('first_name', 'first name'), ('last_name', 'last name'), ('DateOfBirth', 'DOB'), ('Home Address', 'address'), ('sort code', 'sort code'),
-  ('account number', 'account number'), ('postcode', 'postcode'), ('user_contact', 'phone'), ('course name', ''), ('user email type', ''), ('Root.Person.EMAIL_ADDR', 'email'),
-  ('column_3', ''), ('Nationality', 'citizenship country'), ('country of birth', ''), ('id', 'person id')) t(header, canonical)""",
     "v_words": r"""
 WITH x AS (SELECT n_name AS value FROM nation UNION ALL SELECT r_name FROM region UNION ALL SELECT DISTINCT c_mktsegment FROM customer),
 y AS (SELECT value, lower(trim(value)) AS low, regexp_matches(lower(value), 'address|appointment|assessment|bank|building|campus|cas|city|comment|course|department|email|evidence|faculty|fee|finance|module|note|passport|payment|phone|postcode|programme|program|record|reference|school|staff|student|support plan|telephone|visa') AS topic FROM x)
 SELECT value, NOT topic AND low NOT IN ('europe', 'european', 'england', 'wales', 'scotland') AND regexp_full_match(value, '[A-Za-z][A-Za-z .,''()-]{1,59}') AS citizenship,
   NOT topic AND regexp_full_match(value, '[A-Za-z][A-Za-z ''&,/()-]{1,79}') AS ethnicity, false AS religion, false AS disability, false AS marital FROM y""",
 }
-QUERIES = {f.__name__: f for f in (v_numbers, v_record_fields, v_contact_fields, v_words, p_normal_forms, p_names, p_email_types, p_lines, p_capped_join, h_headers)}
+QUERIES = {f.__name__: f for f in (v_numbers, v_record_fields, v_contact_fields, v_words, p_normal_forms, p_names, p_email_types, p_lines, p_capped_join)}

@@ -13,7 +13,7 @@ from traceloom.session import table
 from traceloom.sources.records import record_units
 
 A_COLUMNS = ("full_name", "mailbox", "birth_when", "status_flag", "external_ref", "postcode")
-PART_COLUMNS = ("p_name", "p_brand", "p_type", "p_size")
+PART_COLUMNS = ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
 
 
 def f_profile(spark: SparkSession, base: str) -> DataFrame:
@@ -37,10 +37,14 @@ def f_samples(spark: SparkSession, base: str) -> DataFrame:
 
 
 def f_signature(spark: SparkSession, base: str) -> DataFrame:
-    """Schema signatures of the two roster tables."""
-    a = schema_signature(column_profile(table(spark, base, "roster_contacts_a"), A_COLUMNS)).withColumn("table_name", F.lit("roster_contacts_a"))
-    b = schema_signature(column_profile(table(spark, base, "roster_contacts_b").drop("roster_b_no"))).withColumn("table_name", F.lit("roster_contacts_b"))
-    return a.unionByName(b).select("table_name", "columns", F.length("signature").alias("signature_length"))
+    """Schema signatures of the two roster tables, of copies of them, and of one of them without a column."""
+    a, b = table(spark, base, "roster_contacts_a"), table(spark, base, "roster_contacts_b").drop("roster_b_no")
+    kinds = (("a", a, A_COLUMNS), ("copy of a", a.unionByName(a), A_COLUMNS), ("a without postcode", a, A_COLUMNS[:-1]), ("b", b, b.columns))
+    signs = [schema_signature(column_profile(df, columns)).withColumn("table_name", F.lit(n)) for n, df, columns in kinds]
+    every = reduce(DataFrame.unionByName, signs)
+    # A copy has the signature of its original, any other table its own.
+    same = every.groupBy("signature").agg(F.array_join(F.array_sort(F.collect_list("table_name")), "|").alias("tables"), F.min("columns").alias("columns"))
+    return same.select("tables", "columns")
 
 
 def _mail_tokens(spark: SparkSession, base: str) -> DataFrame:
@@ -70,8 +74,9 @@ EXTENSIONS = {"record_xml": ".xml", "page_markup": ".html", "visa_case_mail": ".
 
 def _units(spark: SparkSession, base: str) -> DataFrame:
     names = F.create_map(*[F.lit(x) for p in EXTENSIONS.items() for x in p])
-    docs = table(spark, base, "documents").where(F.col("source").isin(*EXTENSIONS))
-    return record_units(docs, "doc_id", "text", names[F.col("source")])
+    # All other sources, and documents of none, are texts that may hold tables.
+    kind = F.coalesce(F.try_element_at(names, F.col("source")), F.lit(".txt"))
+    return record_units(table(spark, base, "documents"), "doc_id", "text", kind)
 
 
 def s_units(spark: SparkSession, base: str) -> DataFrame:
@@ -131,7 +136,9 @@ SQL = {
     "f_samples": f"""WITH v AS (SELECT column_name, trim(regexp_replace(value, '\\s+', ' ', 'g')) AS value FROM ({_cells('roster_contacts_a', A_COLUMNS)}) WHERE value IS NOT NULL),
 g AS (SELECT column_name, value, count(*) AS n FROM v WHERE value <> '' GROUP BY 1, 2)
 SELECT * FROM (SELECT column_name, CAST(row_number() OVER (PARTITION BY column_name ORDER BY md5(value), value) AS INT) AS rank, value, n FROM g) WHERE rank <= 5""",
-    "f_signature": "SELECT * FROM (VALUES ('roster_contacts_a', 6, 64), ('roster_contacts_b', 6, 64)) t(table_name, columns, signature_length)",
+    "f_signature": """SELECT 'a|copy of a' AS tables, count(*) FILTER (table_name = 'roster_contacts_a') - 1 AS columns FROM information_schema.columns WHERE table_name LIKE 'roster_contacts__'
+UNION ALL SELECT 'a without postcode', count(*) FILTER (table_name = 'roster_contacts_a' AND column_name <> 'postcode') - 1 FROM information_schema.columns WHERE table_name LIKE 'roster_contacts__'
+UNION ALL SELECT 'b', count(*) FILTER (table_name = 'roster_contacts_b') - 1 FROM information_schema.columns WHERE table_name LIKE 'roster_contacts__'""",
     "o_membership": f"""WITH f AS (SELECT v, bool_or(source = 'exposed_records_008') AS l, bool_or(source = 'exposed_roster_003') AS r FROM ({_MAILS}) GROUP BY v),
 c AS (SELECT count(*) FILTER (l AND r) AS "both", count(*) FILTER (l AND NOT r) AS left_only, count(*) FILTER (NOT l AND r) AS right_only FROM f)
 SELECT *, round("both" / greatest(1, "both" + left_only + right_only), 6) AS jaccard FROM c""",

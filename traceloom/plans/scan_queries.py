@@ -11,7 +11,7 @@ from traceloom.operators.dedupe import collapse_evidence, content_groups
 from traceloom.operators.rules import RULES
 from traceloom.operators.scan import cap_findings, scan_table, scan_text, text_units
 from traceloom.operators.summary import entity_summary, file_summary, regex_summary
-from traceloom.plans.sql_text import NAME_SQL
+from traceloom.plans.sql_text import NAME_SQL, exposure_sql
 from traceloom.session import cut, table
 
 #: Rules that SQL engines without look-around and Unicode word boundaries can express.
@@ -89,6 +89,11 @@ def c_clusters(spark: SparkSession, base: str) -> DataFrame:
     return L.cluster_rows(linked, "unit_key").select("unit_key", "cluster")
 
 
+def c_cluster_sizes(spark: SparkSession, base: str) -> DataFrame:
+    """(members, clusters): how many clusters have how many records."""
+    return c_clusters(spark, base).groupBy("cluster").agg(F.count("*").alias("members")).groupBy("members").agg(F.count("*").alias("clusters"))
+
+
 def c_cluster_summary(spark: SparkSession, base: str) -> DataFrame:
     """Clusters in order of risk and size."""
     linked = cut(L.linked_evidence(_records(spark, base), ["unit_key"]))
@@ -185,7 +190,8 @@ _VALID = {
     "cas_number": r"(regexp_matches(v, '[A-Z]') AND regexp_matches(v, '\d'))",
     "husid": "(CAST(v[1:2] AS INT) + 1900 BETWEEN 1926 AND 2026 OR CAST(v[1:2] AS INT) + 2000 BETWEEN 1926 AND 2026)",
     "ucas_id": "true",
-    "driving_licence": "true",
+    "driving_licence": r"""(CAST(v[7:8] AS INT) % 50 BETWEEN 1 AND 12 AND CAST(v[7:8] AS INT) < 63 AND len(list_filter(['19', '20'], lambda c:
+      coalesce(try_cast(c || v[6] || v[11] || '-' || lpad(CAST(CAST(v[7:8] AS INT) % 50 AS VARCHAR), 2, '0') || '-' || v[9:10] AS DATE) BETWEEN DATE '1926-12-31' AND DATE '2026-12-31', false))) > 0)""",
 }
 _NORMAL = {"lower": "lower(trim(v))", "compact_upper": r"upper(regexp_replace(v, '[\s-]+', '', 'g'))", "none": "trim(v)"}
 
@@ -262,6 +268,17 @@ flags AS (SELECT *, list_contains(types, 'Email') AS e, list_contains(types, 'Na
 reasons AS (SELECT *, list_filter([CASE WHEN pp THEN 'validated_or_contextual_strong_identifier' END, CASE WHEN (nm OR e) AND d THEN 'name_or_email_plus_dob' END,
   CASE WHEN d AND (e OR nm OR p OR pp) THEN 'sensitive_attribute_plus_identifiable_person' END, CASE WHEN p AND e THEN 'supporting_contact_details_linked' END], lambda x: x IS NOT NULL) AS r FROM flags)
 """
+def _merge_keys_sql(linked: str, name: str = "keys") -> str:
+    """Merge keys (unit_key, k) of the evidence ``ev`` of kept units: those of the types these tables hold."""
+    parts = ["SELECT unit_key, 'strong:Email:' || v AS k FROM ev WHERE t = 'Email'"]
+    for combo in (c for c in L.COMPOUND if set(c) <= {"Email", "Name", "Phone", "DOB", "Passport"}):
+        values = " || ':' || ".join(f"e{i}.v" for i in range(len(combo)))
+        tables = " JOIN ".join(f"ev e{i}" + ("" if i == 0 else f" ON e0.unit_key = e{i}.unit_key") for i in range(len(combo)))
+        kinds = " AND ".join(f"e{i}.t = '{t}'" for i, t in enumerate(combo))
+        parts.append(f"SELECT e0.unit_key, 'compound:{'+'.join(combo)}:' || {values} FROM {tables} WHERE {kinds}")
+    return f"{linked}, {name} AS (SELECT * FROM ({' UNION '.join(parts)}) WHERE unit_key IN (SELECT unit_key FROM kept))"
+
+
 _CONTACT_ANCHORS = rf"""contacts AS (SELECT * FROM synthetic_slim_contacts WHERE id IS NOT NULL),
 anchors AS (SELECT DISTINCT 'Email' AS evidence_type, lower(v) AS value, id AS person FROM (
     SELECT id, unnest(regexp_extract_all(uon_email, '{_EMAIL_RE}', 0)) AS v FROM contacts UNION ALL SELECT id, unnest(regexp_extract_all('other_email: ' || other_emails, '{_EMAIL_RE}', 0)) FROM contacts)
@@ -271,7 +288,15 @@ anchors AS (SELECT DISTINCT 'Email' AS evidence_type, lower(v) AS value, id AS p
 _LINKS = f"WITH findings AS ({_RECORDS}), {_CONTACT_ANCHORS}, links AS (SELECT DISTINCT unit_key, a.evidence_type, a.value, person FROM findings f JOIN anchors a ON f.evidence_type = a.evidence_type AND f.normalized_value = a.value)"
 _EXPOSED = f"""{_LINKS}, exposed AS (SELECT person, list_sort(list(DISTINCT evidence_type)) AS types, count(DISTINCT unit_key) AS matched_units, count(DISTINCT evidence_type || '=' || value) AS matched_values FROM links GROUP BY 1)"""
 
+_KEYS = _merge_keys_sql(_LINKED)
+_CLUSTERS = _KEYS.replace("WITH ", "WITH RECURSIVE ", 1) + f""", usable AS (SELECT unit_key, k, min(unit_key) OVER (PARTITION BY k) AS c, count(*) OVER (PARTITION BY k) AS n FROM keys),
+edges AS (SELECT unit_key AS x, c AS y FROM usable WHERE n <= {L.HUB} AND unit_key <> c UNION SELECT c, unit_key FROM usable WHERE n <= {L.HUB} AND unit_key <> c),
+reach AS (SELECT x, y FROM edges UNION SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x),
+clusters AS (SELECT k.unit_key, least(k.unit_key, coalesce(min(y), k.unit_key)) AS cluster FROM kept k LEFT JOIN reach r ON k.unit_key = r.x GROUP BY k.unit_key)"""
 SQL = {
+    "c_hub_keys": _KEYS + f" SELECT k AS merge_key, count(*) AS n FROM keys GROUP BY 1 HAVING count(*) > {L.HUB}",
+    "c_clusters": _CLUSTERS + " SELECT * FROM clusters",
+    "c_cluster_sizes": _CLUSTERS + " SELECT members, count(*) AS clusters FROM (SELECT cluster, count(*) AS members FROM clusters GROUP BY 1) GROUP BY 1",
     "m_text_findings": _TEXT + "SELECT * FROM findings",
     "m_table_findings": _RECORDS,
     "m_roster_findings": _ROSTER,
@@ -302,8 +327,9 @@ SELECT unit_key, n_chars, finding_count, """ + ", ".join(f"c{i} AS count_{''.joi
     OR (list_has_any(types, {list(L.SENSITIVE)}) AND list_has_any(types, {list(L.IDENTIFIABLE)})) THEN 'high'
     WHEN list_has_any(types, {list(L.TIER_ONE)}) OR len(list_filter(types, lambda t: NOT list_contains({list(L.TIER_ONE) + list(L.SENSITIVE)}, t))) >= 3 THEN 'medium' ELSE 'low' END AS risk_level FROM j""",
     "i_links": _LINKS + " SELECT * FROM links",
-    "i_exposure": _EXPOSED + """ SELECT person, array_to_string(types, '|') AS evidence_types, matched_units, matched_values, 'medium' AS risk_level, 60 AS risk_score FROM exposed""",
-    "i_risk_matrix": _EXPOSED + """ SELECT p.person, CASE WHEN e.person IS NULL THEN 'none' ELSE 'medium' END AS risk_level, CASE WHEN list_contains(types, 'Email') THEN 'yes' ELSE 'no' END AS has_email,
+    "i_exposure": _EXPOSED + """ SELECT person, array_to_string(types, '|') AS evidence_types, matched_units, matched_values, risk AS risk_level, CASE risk WHEN 'high' THEN 90 WHEN 'medium' THEN 60 WHEN 'low' THEN 25 ELSE 0 END AS risk_score
+  FROM (SELECT *, """ + exposure_sql() + """ AS risk FROM exposed)""",
+    "i_risk_matrix": _EXPOSED + """ SELECT p.person, CASE WHEN e.person IS NULL THEN 'none' ELSE """ + exposure_sql() + """ END AS risk_level, CASE WHEN list_contains(types, 'Email') THEN 'yes' ELSE 'no' END AS has_email,
   CASE WHEN list_contains(types, 'Name') THEN 'yes' ELSE 'no' END AS has_name FROM (SELECT DISTINCT id AS person FROM contacts) p LEFT JOIN exposed e ON p.person = e.person""",
     "i_unknown": _LINKED + f""", {_CONTACT_ANCHORS}, links AS (SELECT DISTINCT unit_key FROM findings f JOIN anchors a ON f.evidence_type = a.evidence_type AND f.normalized_value = a.value)
 SELECT unit_key, anchor_type, (SELECT min(v) FROM ev WHERE ev.unit_key = reasons.unit_key AND ev.t = reasons.anchor_type) AS anchor_value FROM reasons WHERE unit_key NOT IN (SELECT unit_key FROM links)""",
@@ -314,5 +340,5 @@ SELECT count(*) AS duplicate_count, min(unit_key) AS first_row, arg_min(e, unit_
     "i_not_found": _LINKS + " SELECT DISTINCT id AS person FROM contacts WHERE id NOT IN (SELECT person FROM links)",
 }
 QUERIES = {f.__name__: f for f in (
-    m_text_findings, m_text_findings_around, m_table_findings, m_roster_findings, m_unresolved_cells, a_assembled, m_capped, c_linked, c_clusters, c_cluster_summary, c_hub_keys,
+    m_text_findings, m_text_findings_around, m_table_findings, m_roster_findings, m_unresolved_cells, a_assembled, m_capped, c_linked, c_clusters, c_cluster_sizes, c_cluster_summary, c_hub_keys,
     d_contents, d_evidence, g_entities, g_rules, g_all_rules, g_files, i_links, i_exposure, i_risk_matrix, i_not_found, i_unknown)}
