@@ -174,11 +174,20 @@ def whole_repeats(rated: DataFrame) -> DataFrame:
     )
     order = Window.partitionBy("home").orderBy("bin")
     bins = bins.withColumn("upto", F.sum("t").over(order)).withColumn("goal", F.sum("want").over(Window.partitionBy("home")))
-    edges = bins.where(F.col("upto") - F.col("t") / 2 <= F.col("goal")).groupBy("home").agg(F.max("bin").alias("edge"))
+    # Whole bins up to the goal, then the one document that comes nearest to what is missing.
+    edges = cut(bins.groupBy("home").agg(
+        F.coalesce(F.max(F.when(F.col("upto") <= F.col("goal"), F.col("bin"))), F.lit(-1)).alias("edge"),
+        (F.first("goal") - F.coalesce(F.max(F.when(F.col("upto") <= F.col("goal"), F.col("upto"))), F.lit(0))).alias("gap"),
+    ))
     # One row per source: as many as there are rows in mix_targets.
     joined = parts.join(F.broadcast(edges), "home", "left")
-    up = F.col("v").isNotNull() & (F.floor(F.col("v") * BINS) <= F.col("edge"))
-    return joined.select("doc_id", "home", "n_tokens", (F.col("whole") + F.when(F.coalesce(up, F.lit(False)), 1).otherwise(0)).cast("int").alias("repeats"))
+    up = F.col("v").isNotNull() & (F.least(F.lit(4 * BINS), F.floor(F.col("v") * BINS)) <= F.col("edge"))
+    joined = joined.withColumn("up", F.coalesce(up, F.lit(False)))
+    off = F.abs(F.col("n_tokens") - F.col("gap"))
+    extra = joined.where(F.col("v").isNotNull() & ~F.col("up") & (off < F.col("gap"))).groupBy("home").agg(F.min_by("doc_id", off).alias("extra"))
+    joined = joined.join(F.broadcast(extra), "home", "left")
+    more = F.col("up") | (F.col("v").isNotNull() & F.coalesce(F.col("doc_id") == F.col("extra"), F.lit(False)))
+    return joined.select("doc_id", "home", "n_tokens", (F.col("whole") + F.when(more, 1).otherwise(0)).cast("int").alias("repeats"))
 
 
 def _mix(spark: SparkSession, base: str):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("cluster_links", "drift", "packing", "chunking", "mixing", "pii_queries", "name_variants", "bit_match")
+MODULES = ("cluster_links", "drift", "packing", "chunking", "mixing", "pii_queries", "name_variants", "bit_match", "invariants")
 
 QUERIES: dict = {}
 SQL: dict = {}
