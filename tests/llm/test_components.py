@@ -34,7 +34,7 @@ def test_long_chain_and_cut_edges(spark):
     """Growth is not cut short: few edges lie between clusters, and steps are bounded by the largest shift."""
     n, report = 3000, []
     chain = spark.range(n).selectExpr("id AS a", "id + 1 AS b")
-    assert components(chain, report=report).select("root").distinct().count() == 1
+    assert components(chain, report=report, last=0).select("root").distinct().count() == 1
     first = report[0]
     assert first["edges"] == n and first["cut_edges"] / n <= BETA + 0.03
     assert all(r["steps"] <= STEPS_AT_ONCE + math.log(2 * n) / BETA * 1.5 for r in report)
@@ -46,8 +46,8 @@ def test_vertices_of_any_degree(spark):
     pairs = [(0, i) for i in range(1, 600)] + [(1000 + rng.randrange(5), 2000 + rng.randrange(400)) for _ in range(700)]
     want = brute(pairs)
     df = spark.createDataFrame(pairs, "a long, b long")
-    for least in (1, 50, 10**6):
-        roots = {r.vertex: r.root for r in components(df, hot_least=least).collect()}
+    for least, last in ((1, 0), (50, 20_000), (10**6, 0)):
+        roots = {r.vertex: r.root for r in components(df, hot_least=least, last=last).collect()}
         assert set(roots) == set(want) and len({(roots[v], want[v]) for v in want}) == len(set(want.values())) == len(set(roots.values()))
 
 

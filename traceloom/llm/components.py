@@ -7,7 +7,8 @@ their neighbours, so what moves is the rim of the growing clusters. A path from
 centre is no longer than the largest shift, about ln(n) / BETA steps, and an edge is
 cut with a chance of BETA at most. Clusters contract to super-vertices, the edges
 between clusters make the next, smaller graph, and the assignments of all rounds
-compose. Every step is an equi-join or an aggregate over edges; nothing is sent to the
+compose. The recursion ends where a round left no more than ``LAST`` edges, a bounded
+number, which one task joins. Every step is an equi-join or an aggregate over edges; nothing is sent to the
 driver but counts.
 
 Contracted vertices may have any number of edges. Those above a limit, no more than
@@ -21,13 +22,16 @@ salted stars of bounded degree, so no task holds a whole hot group.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from traceloom.session import cut
 
 #: Rate of the exponential shifts: an edge is cut with this chance at most.
-BETA = 0.1
+BETA = 0.25
+#: Edges between clusters from which the recursion ends: so few are joined in one task.
+LAST = 20_000
 #: Steps of growth in one job.
 STEPS_AT_ONCE = 4
 #: Rounds after which something must be wrong.
@@ -129,7 +133,27 @@ def _cut_counting(df: DataFrame, what: Column) -> tuple[DataFrame, int]:
     return done, seen.get["n"]
 
 
-def components(edges: DataFrame, beta: float = BETA, hot_least: int = HOT_LEAST, report: list[dict] | None = None) -> DataFrame:
+def _joined(pdf: pd.DataFrame) -> pd.DataFrame:
+    """(v, c): each end of a few edges with the least end it is connected to."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in zip(pdf["a"].tolist(), pdf["b"].tolist()):
+        a, b = find(a), find(b)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+    return pd.DataFrame([(x, find(x)) for x in list(parent)], columns=["v", "c"])
+
+
+def components(
+    edges: DataFrame, beta: float = BETA, hot_least: int = HOT_LEAST, report: list[dict] | None = None, last: int = LAST,
+) -> DataFrame:
     """(vertex, root): connected components of the edge table (a, b).
 
     ``root`` is some vertex of the component, the same for all its vertices. ``report``
@@ -141,6 +165,9 @@ def components(edges: DataFrame, beta: float = BETA, hot_least: int = HOT_LEAST,
     while left:
         if len(rounds) == ROUNDS:
             raise RuntimeError("components did not settle")
+        if rounds and left <= 2 * last:
+            rounds.append(cut(rest.groupBy(F.lit(0).alias("_one")).applyInPandas(_joined, "v long, c long")))
+            break
         hot = _hot_vertices(rest, left, hot_least)
         grown, steps = _grow(rest, hot, len(rounds), beta)
         rounds.append(grown)

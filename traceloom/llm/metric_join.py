@@ -21,9 +21,12 @@ from pyspark.sql import functions as F
 
 from traceloom.session import cut
 
-#: Strings up to which a cell is not parted; pivots of a cell at most; levels at most; share
-#: of its parent's strings above which a cell is left as it is.
-CELL, FAN, LEVELS, SMALLER = 8, 32, 4, 0.75
+#: Strings up to which a block is not parted, and times as many up to which a cell of pivots is
+#: not; pivots of a cell at most; levels at most; share of its parent's strings above which a
+#: cell is left as it is.
+CELL, AGAIN, FAN, LEVELS, SMALLER = 8, 4, 32, 4, 0.75
+#: Large blocks up to which their list goes to all tasks.
+SENT = 200_000
 
 
 def _parted(cells: DataFrame, radius: int, cell: int, fan: int, keep: tuple[str, ...]) -> DataFrame:
@@ -85,19 +88,24 @@ def radius_pairs(
             report.append({"level": level, "cells": seen.cells, "places": seen.places or 0, "largest": seen.largest or 0})
 
     large = cut(large)
+    # Sent to all tasks if there are few enough, else shuffled.
+    known = F.broadcast(large) if large.count() <= SENT else large
     # Blocks of a few strings are cells without a second pivot: all are at home.
-    small = items.join(large, "block", "left_anti")
+    small = items.join(known, "block", "left_anti")
     note(0, small.withColumnRenamed("block", "cell"))
     within = compared(side(small, "a", "block").join(side(small, "b", "block"), "block"))
     across: list[DataFrame] = []
-    cells = items.join(large, "block").withColumn("cell", F.col("block"))
+    crowded = raw.select("block", x.alias("x"), *keep).where("x IS NOT NULL").join(known, "block").select("block", "n", "x", *keep)
+    cells = cut((crowded if apart else crowded.distinct()).withColumn("cell", F.col("block")))
     for level in range(1, LEVELS + 1):
         parted = cut(_parted(cells, radius, cell, fan, keep))
         if parted.isEmpty():
             break
         note(level, parted)
         sizes = parted.groupBy("cell").agg(F.count("*").alias("m"), F.first("n").alias("_n"))
-        again = cut(sizes.where((F.col("m") > cell) & (F.col("m") <= SMALLER * F.col("_n"))).select("cell", F.col("m").alias("n"))) if level < LEVELS else None
+        # Cells of pivots are parted again once they are some times as large.
+        again = cut(sizes.where((F.col("m") > AGAIN * cell) & (F.col("m") <= SMALLER * F.col("_n"))).select("cell", F.col("m").alias("n"))) if level < LEVELS else None
+        again = None if again is None or again.isEmpty() else again
         done = parted if again is None else parted.join(again.select("cell"), "cell", "left_anti")
         # One side is at home in the cell, whichever it is; a pair whose homes differ meets twice.
         home = done.where("home")

@@ -72,8 +72,8 @@ def variant_links(rows: DataFrame, radius: int = RADIUS, report: list[dict] | No
     one stands for the name when spellings are compared.
     """
     known = cut(evidence(rows))
-    holders = cut(known.groupBy("proof", "name").agg(F.min("key").alias("holder")))
-    stars = known.join(holders, ["proof", "name"]).where("key <> holder").select(F.col("key").alias("a"), F.col("holder").alias("b"))
+    holders = cut(known.groupBy("proof", "name").agg(F.min("key").alias("holder"), F.count("*").alias("keys")))
+    stars = known.join(holders.where("keys > 1").drop("keys"), ["proof", "name"]).where("key <> holder").select(F.col("key").alias("a"), F.col("holder").alias("b"))
     tokens = F.split("name", " ")
     # Two generators are compiled code, nested functions over arrays would be interpreted.
     wholes = holders.select("proof", "name", "holder", F.posexplode(tokens).alias("n", "t")).where(F.length("t") >= 3)
@@ -83,8 +83,7 @@ def variant_links(rows: DataFrame, radius: int = RADIUS, report: list[dict] | No
     )
     # The token that is compared is read from the name on the far side of the exchange.
     agree = names_agree(F.split("name_a", " "), F.split("name_b", " "))
-    # Written once: blocks of one cell and parted blocks are read in different jobs.
-    near = radius_pairs(cut(objects), "block", F.get(F.split("name", " "), F.col("n")), radius, keep=("name", "holder"), apart="holder", check=agree, report=report)
+    near = radius_pairs(objects, "block", F.get(F.split("name", " "), F.col("n")), radius, keep=("name", "holder"), apart="holder", check=agree, report=report)
     return near.select(F.col("holder_a").alias("a"), F.col("holder_b").alias("b")).unionByName(stars).distinct()
 
 

@@ -67,7 +67,7 @@ def initials_of(token: Column) -> Column:
             by.setdefault(short, set()).add(full[0])
     other = F.create_map(*[x for s, i in sorted(by.items()) for x in (F.lit(s), F.array(*[F.lit(c) for c in sorted(i)]))])
     own = F.array(F.substring(token, 1, 1))
-    return F.coalesce(F.concat(own, F.element_at(other, token)), own)
+    return F.when(token.isin(*by), F.concat(own, F.element_at(other, token))).otherwise(own)
 
 
 def same_name_pairs() -> list[tuple[str, str]]:
@@ -92,10 +92,11 @@ def name_tokens(name: Column) -> Column:
     tokens = F.split(F.regexp_replace(F.lower(parted), "[^a-z]+", " "), " ")
     tokens = F.filter(tokens, lambda t: (t != "") & ~t.isin(*LEFT_OUT))
     full = given_map()
-    longest = max(len(s) for f in NICKNAMES.values() for s in f.split())
+    shorts = [s for s, _ in unambiguous()]
 
     def whole(t: Column) -> Column:
-        named = F.when(F.length(t) <= longest, F.coalesce(F.element_at(full, t), t)).otherwise(t)
+        # Membership is one look into a hash set; a map is searched entry by entry.
+        named = F.when(t.isin(*shorts), F.element_at(full, t)).otherwise(t)
         return F.when(t.startswith("vander") & (F.length(t) > 8), F.substring(t, 7, 99)).otherwise(named)
 
     return F.array_sort(F.array_distinct(F.transform(tokens, whole)))
