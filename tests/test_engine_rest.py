@@ -5,7 +5,7 @@ import zipfile
 
 from traceloom.cli import parse_args
 from traceloom.engine import Engine
-from traceloom.sources.records import eml_records, rest_text, tree_records, xml_scopes
+from traceloom.sources.records import eml_records, rest_text, rtf_text, tree_records, xlsx_sheets, xml_scopes
 
 
 def emails(spark, root, out):
@@ -63,3 +63,46 @@ def test_mails_are_read_once():
     raw = b"From: Ada <ada@x.org>\nTo: b@y.org\nSubject: hello\nContent-Type: text/plain; charset=nonsense\n\nDear all,\nPhone: 07700 900571\n"
     records = eml_records(raw)
     assert dict(records[1])["Phone"] == "07700 900571" and "Dear all," in rest_text(raw, ".eml") and "07700" not in rest_text(raw, ".eml")
+
+
+def workbook(path, rows, shared=()):
+    cell = lambda r, c, v: f'<c r="{"ABCDEF"[c]}{r}" t="s"><v>{shared.index(v)}</v></c>' if v in shared else f'<c r="{"ABCDEF"[c]}{r}" t="inlineStr"><is><t>{v}</t></is></c>'
+    body = "".join(f'<row r="{r}">' + "".join(cell(r, c, v) for c, v in enumerate(row) if v) + "</row>" for r, row in enumerate(rows, 1))
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("xl/sharedStrings.xml", f"<sst {ns}>" + "".join(f"<si><t>{s}</t></si>" for s in shared) + "</sst>")
+        z.writestr("xl/worksheets/sheet1.xml", f"<worksheet {ns}><sheetData>{body}</sheetData></worksheet>")
+
+
+def test_workbooks_and_rich_text(spark, tmp_path):
+    root = tmp_path / "in"
+    root.mkdir()
+    workbook(root / "people.xlsx", [["name", "", "Email"], ["Ada Lark", "", "ada@x.org"], ["", "1", "bob@x.org"]], ("name", "Email"))
+    workbook(root / "one.xlsx", [["write to one@x.org", "now"]])
+    (root / "note.rtf").write_bytes(rb"{\rtf1{\fonttbl{\f0 Arial hidden@x.org;}}\f0 write to rich@x.org\par caf\'e9 \u8364? end}")
+    (root / "broken.xlsx").write_bytes(b"PK\x03\x04" + bytes(50))
+    assert xlsx_sheets((root / "people.xlsx").read_bytes()) == [[["name", "", "Email"], ["Ada Lark", "", "ada@x.org"], ["", "1", "bob@x.org"]]]
+    assert rtf_text((root / "note.rtf").read_bytes()) == "write to rich@x.org\ncaf\u00e9 \u20ac end"
+    assert emails(spark, root, tmp_path / "out") == {("people.xlsx", "ada@x.org"), ("people.xlsx", "bob@x.org"), ("one.xlsx", "one@x.org"), ("note.rtf", "rich@x.org")}
+
+
+def test_findings_have_places_and_files_a_status(spark, tmp_path):
+    root, out = tmp_path / "in", tmp_path / "out"
+    root.mkdir()
+    (root / "a.txt").write_text("nothing\nfirst a@x.org, then b@x.org and a@x.org again\n")
+    (root / "b.csv").write_text("Email,Note\nc@x.org,hello\n")
+    (root / "c.txt").write_text((root / "a.txt").read_text())
+    (root / "bin.dat").write_bytes(bytes(range(256)) * 20)
+    (root / "odd.xyz").write_bytes(b"%PDF-1.4 something")
+    engine = Engine(spark, parse_args(["--root", str(root), "--output-dir", str(out)]))
+    engine.run()
+    found = spark.read.parquet(f"{out}/findings").where("evidence_type = 'Email'").collect()
+    line = "first a@x.org, then b@x.org and a@x.org again"
+    placed = sorted((r.start_offset, r.end_offset) for r in found if r.unit_key.endswith("a.txt"))
+    assert [line[a:b] for a, b in placed] == ["a@x.org", "b@x.org", "a@x.org"] and all(r.context == line for r in found if r.unit_key.endswith("a.txt"))
+    cell = [r for r in found if r.unit_key.endswith("b.csv")]
+    assert [(r.start_offset, r.end_offset, r.context) for r in cell] == [(0, 7, "Email: c@x.org")]
+    status = {r.path.rsplit("/", 1)[1]: r.status for r in spark.read.parquet(f"{out}/file_status").collect()}
+    assert status == {"a.txt": "scanned", "b.csv": "scanned", "c.txt": "duplicate", "bin.dat": "binary", "odd.xyz": "unsupported"}
+    summary = {r.unit_key.rsplit("/", 1)[1]: int(r.finding_count) for r in spark.read.option("header", "true").csv(f"{out}/file_summary").collect()}
+    assert summary["a.txt"] == 3 and summary["odd.xyz"] == 0 and len(summary) == 5

@@ -15,24 +15,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from traceloom.config import EngineConfig
-from traceloom.functions.text import email_type
+from traceloom.functions.text import context_window, email_type
 from traceloom.operators import linking as L
 from traceloom.operators import people as P
 from traceloom.operators.dedupe import collapse_evidence
 from traceloom.operators.ordering import group_places
 from traceloom.operators.profiling import column_profile, value_type
 from traceloom.operators.rules import RULES, Rule, load_rules, resolve_header, rules_for
-from traceloom.operators.scan import FINDING, assemble_names, cap_findings, lines, match_text, scan_table, scan_text
-from traceloom.operators.summary import entity_summary, regex_summary
-from traceloom.sources.files import decode, excluded, file_index, hidden, list_files
-from traceloom.sources.records import record_units, rest_text, texts
+from traceloom.operators.scan import AROUND, FINDING, assemble_names, cap_findings, lines, match_text, scan_table, scan_text
+from traceloom.operators.summary import entity_summary, file_summary, regex_summary
+from traceloom.sources.files import excluded, file_index, hidden, list_files
+from traceloom.sources.records import plain_text, record_units, rest_text, texts
 from traceloom.sources.sinks import write_evidence, write_manifest, write_table
 
 STAGES = ("scanning", "clustering", "reidentification", "reporting")
 STRUCTURED = (".csv", ".tsv", ".json", ".jsonl", ".xml", ".html", ".htm", ".eml", ".yaml", ".yml")
-TEXT = (".txt", ".log", ".ini", ".sh", ".dat", ".inx", ".md", ".conf")
+TEXT = (".txt", ".rtf", ".log", ".ini", ".sh", ".dat", ".inx", ".md", ".conf")
 #: Packed files with a reader of their own; as bytes they look binary.
-PACKED = (".docx",)
+PACKED = (".docx", ".xlsx")
 
 
 RESOLVED = "header string, rules array<string>, full_name boolean"
@@ -52,6 +52,12 @@ def resolved_headers(headers: DataFrame, rules: tuple[Rule, ...] = RULES) -> Dat
     return headers.select("header").where("header IS NOT NULL").distinct().mapInPandas(run, RESOLVED)
 
 
+#: Columns of a finding: where it is, what it is, and what stands around.
+FOUND = (
+    "unit_key", "row_number", "evidence_type", "pattern_name", "matched_text", "normalized_value", "confidence", "evidence_tier", "start_offset", "end_offset", "context",
+)
+
+
 def scan_units(units: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Findings in labelled records whose headers are known only at run time.
 
@@ -66,8 +72,15 @@ def scan_units(units: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         F.when(F.array_contains("rules", r.pattern_name), match_text(F.concat_ws(": ", "header", "value"), r, "cell")).otherwise(none) for r in rules
     ]
     arrays.append(F.when(F.col("full_name"), assemble_names({"name": F.col("value")})[0]).otherwise(none))
-    found = known.select(F.col("key").alias("unit_key"), "row_number", F.explode(F.concat(*arrays)).alias("f"))
-    return found.select("unit_key", "row_number", "f.*").drop("source_column").distinct()
+    found = known.select(F.col("key").alias("unit_key"), "row_number", "header", "value", F.explode(F.concat(*arrays)).alias("f"))
+    # Places in a cell; a name that was put together need not stand in it as it is.
+    at = F.nullif(F.call_function("locate", F.col("matched_text"), F.col("value")), F.lit(0)) - 1
+    cell = F.concat_ws(": ", "header", "value")
+    shift = F.length("header") + 2
+    found = found.select("unit_key", "row_number", "header", "value", "f.*").drop("source_column").withColumn("start_offset", at.cast("int"))
+    end = F.col("start_offset") + F.length("matched_text")
+    around = context_window(cell, F.coalesce(F.col("start_offset"), F.lit(0)) + shift, F.coalesce(end, F.length("value")) + shift, AROUND)
+    return found.withColumns({"end_offset": end.cast("int"), "context": around}).drop("header", "value").distinct()
 
 
 def numbered(contents: DataFrame, label: str = "") -> DataFrame:
@@ -119,11 +132,12 @@ class Engine:
         units = record_units(structured, "path", "content", kind, c.structured_max_depth, c.xml_max_fields)
         tables = record_units(plain.where(~kind.isin(*STRUCTURED)), "path", "content", kind)
         units = units.unionByName(tables.withColumn("row_number", F.concat(F.lit("table:"), "row_number")))
-        prose = numbered(texts(plain, "path", "content", kind, lambda c, _: decode(c)))
+        prose = numbered(texts(plain, "path", "content", kind, plain_text))
         rest = numbered(texts(structured.where(~kind.isin(*TEXT)), "path", "content", kind, rest_text), "text:")
         packed = numbered(texts(files.where(kind.isin(*PACKED)), "path", "content", kind, rest_text))
+        units = units.unionByName(record_units(files.where(kind == ".xlsx"), "path", "content", kind))
         prose = prose.unionByName(rest).unionByName(packed)
-        found = scan_units(units, self.rules).unionByName(scan_text(prose, self.rules))
+        found = scan_units(units, self.rules).select(*FOUND).unionByName(scan_text(prose, self.rules, places=True).select(*FOUND))
         if c.email_suffixes:
             found = found.withColumn("evidence_type", F.when(F.col("evidence_type") == "Email", email_type(F.col("normalized_value"), c.email_suffixes)).otherwise(F.col("evidence_type")))
         if c.max_findings_per_file:
@@ -161,7 +175,26 @@ class Engine:
         self.save(P.not_in_dataset(people, hits), "not_in_dataset")
         self.save(P.unknown_rows(linked, hits, ["unit_key", "row_number"]), "unknown_evidence")
 
+    def statuses(self, index: DataFrame) -> DataFrame:
+        """(path, status, detail) of every listed file; what was not read is listed with its reason.
+
+        Files without any content are not listed: the reader of files passes them over.
+        """
+        kind = F.col("detected_extension")
+        readable = kind.isin(*STRUCTURED, *TEXT, *PACKED)
+        collapse = self.config.duplicate_files != "scan"
+        status = F.when(F.lit(collapse) & (F.col("duplicate_index") > 1), "duplicate").when(
+            F.col("binary") & ~kind.isin(*PACKED), "binary").when(~readable, "unsupported").otherwise("scanned")
+        detail = F.when(status == "duplicate", F.col("canonical_path")).when(status.isin("binary", "unsupported"), kind).otherwise("")
+        return index.select("path", status.alias("status"), detail.alias("detail"))
+
     def report(self, findings: DataFrame) -> None:
+        index = self.read("file_index")
+        statuses = self.save(self.statuses(index), "file_status")
+        write_table(statuses.where(~F.col("status").isin("scanned", "duplicate")), self.path("errors"))
+        types = sorted({r.evidence_type for r in self.rules} | {"Name"})
+        files = index.select(F.col("path").alias("unit_key"), "size_bytes", "detected_extension").join(statuses.select(F.col("path").alias("unit_key"), "status"), "unit_key")
+        write_table(file_summary(files, findings, "unit_key", types), self.path("file_summary"))
         write_table(entity_summary(findings, "unit_key"), self.path("entity_summary"))
         write_table(regex_summary(findings, "unit_key"), self.path("regex_summary"))
         write_evidence(findings, self.path("evidence"), self.config.output_format)

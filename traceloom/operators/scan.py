@@ -12,7 +12,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from traceloom.functions.text import address_compact, canonical_postcode, clean_name, digits_only, lines, name_key, normal_form, safe_cell
+from traceloom.functions.text import address_compact, canonical_postcode, clean_name, context_window, digits_only, lines, name_key, normal_form, safe_cell
 from traceloom.functions.validators import person_name, validate
 from traceloom.operators.rules import RULES, TIER_2, TIER_3, Rule, guard_allows, names_no_person, resolve_header, rules_for, slug_of
 
@@ -22,6 +22,39 @@ FINDING = (
 )
 
 
+#: The same with places in the text of the unit and what stands around.
+PLACED = FINDING.replace("source_column:string", "source_column:string,start_offset:int,end_offset:int,context:string")
+#: Characters of context on either side of a finding.
+AROUND = 80
+
+
+def in_order(text: Column, values: Column) -> Column:
+    """(v, start) of values that stand in a text in this order: each is sought behind the one before."""
+    none = F.array().cast("array<struct<v:string,start:int>>")
+
+    def seek(done: Column, v: Column) -> Column:
+        at = F.call_function("locate", v, text, done["at"])
+        return F.struct((at + F.length(v)).cast("int").alias("at"), F.concat(done["out"], F.array(F.struct(v.alias("v"), (at - 1).cast("int").alias("start")))).alias("out"))
+
+    return F.aggregate(values, F.struct(F.lit(1).alias("at"), none.alias("out")), seek, lambda done: done["out"])
+
+
+def match_places(text: Column, rule: Rule) -> Column:
+    """Findings of one rule with offsets and context; offsets count characters of the unit's text from 0."""
+    found = in_order(text, F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)))
+    good = F.filter(found, lambda x: (x["v"] != "") & validate(rule.validator, x["v"]))
+    placed = F.transform(good, lambda x: F.struct(
+        F.lit(rule.evidence_type).alias("evidence_type"), F.lit(rule.pattern_name).alias("pattern_name"), x["v"].alias("matched_text"),
+        normal_form(rule.normal, x["v"]).alias("normalized_value"), F.lit(rule.confidence).alias("confidence"), F.lit(rule.tier).alias("evidence_tier"),
+        F.lit(None).cast("string").alias("source_column"), x["start"].alias("start_offset"), (x["start"] + F.length(x["v"])).cast("int").alias("end_offset"),
+        context_window(text, x["start"], x["start"] + F.length(x["v"]), AROUND).alias("context"),
+    ))
+    low, hit = F.lower(text), F.lit(not rule.triggers)
+    for t in sorted(rule.triggers, key=len, reverse=True):
+        hit = hit | low.contains(t)
+    return F.when(hit, placed).otherwise(F.array().cast(PLACED))
+
+
 def _findings(rule: Rule, values: Column, column: str | None) -> Column:
     """Validated matches of a rule as an array of findings."""
     good = F.filter(values, lambda v: (v != "") & validate(rule.validator, v))
@@ -50,9 +83,10 @@ def text_units(df: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def scan_text(units: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """Findings of the rules in units of free text (unit_key, row_number, text)."""
-    arrays = [match_text(F.col("text"), r) for r in rules if not r.labelled_only]
+def scan_text(units: DataFrame, rules: Sequence[Rule] = RULES, places: bool = False) -> DataFrame:
+    """Findings of the rules in units of free text (unit_key, row_number, text), with offsets and context if asked."""
+    match = match_places if places else match_text
+    arrays = [match(F.col("text"), r) for r in rules if not r.labelled_only]
     return units.select("unit_key", "row_number", F.explode(F.concat(*arrays)).alias("f")).select("unit_key", "row_number", "f.*").drop("source_column")
 
 

@@ -44,9 +44,12 @@ def table_records(text: str, delimiter: str | None = None) -> list[list[tuple[st
     row does not. Empty cells give no field; a table without headers gets ``column_N``.
     """
     delimiter = delimiter or sniff_delimiter(text)
-    if not delimiter:
-        return []
-    rows = [[clean(c) for c in r] for r in csv.reader(io.StringIO(text), delimiter=delimiter)]
+    return row_records(list(csv.reader(io.StringIO(text), delimiter=delimiter))) if delimiter else []
+
+
+def row_records(rows: list[list[str]]) -> list[list[tuple[str, str]]]:
+    """The same of rows of cells."""
+    rows = [[clean(c) for c in r] for r in rows]
     rows = [r for r in rows if any(r)]
     if len(rows) < 2:
         return []
@@ -295,6 +298,77 @@ def docx_text(raw: bytes) -> str:
     return "\n".join(r for r in rows if r.strip())
 
 
+def xlsx_sheets(raw: bytes) -> list[list[list[str]]]:
+    """Rows of cells of every sheet of a workbook, empty cells in their places."""
+    ns = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+    book = zipfile.ZipFile(io.BytesIO(raw))
+    names = set(book.namelist())
+    say = lambda e: "".join(t.text or "" for t in e.iter(f"{ns}t"))
+    shared = [say(x) for x in ElementTree.fromstring(book.read("xl/sharedStrings.xml")).findall(f"{ns}si")] if "xl/sharedStrings.xml" in names else []
+    sheets = []
+    for name in sorted((n for n in names if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n)), key=lambda n: int(re.sub(r"\D", "", n))):
+        rows = []
+        for row in ElementTree.fromstring(book.read(name)).iter(f"{ns}row"):
+            cells: dict[int, str] = {}
+            for c in row.findall(f"{ns}c"):
+                letters = re.match(r"[A-Z]*", c.get("r") or "")[0]
+                at = sum((ord(x) - 64) * 26 ** i for i, x in enumerate(reversed(letters))) - 1 if letters else len(cells)
+                value = c.find(f"{ns}v")
+                kind = c.get("t")
+                if kind == "s" and value is not None:
+                    cells[at] = shared[int(value.text)] if int(value.text) < len(shared) else ""
+                else:
+                    cells[at] = say(c) if kind == "inlineStr" else (value.text or "") if value is not None else ""
+            rows.append([cells.get(i, "") for i in range(max(cells, default=-1) + 1)])
+        sheets.append(rows)
+    return sheets
+
+
+_RTF = re.compile(r"\\'([0-9a-fA-F]{2})|\\u(-?\d+) ?\??|\\([a-zA-Z]+)(-?\d+)? ?|\\([^a-zA-Z])|([{}])|([\r\n]+)")
+#: Groups of a rich text that hold no text of the document.
+_RTF_HIDDEN = {"fonttbl", "colortbl", "stylesheet", "info", "pict", "object", "themedata", "datastore", "generator", "listtable", "listoverridetable", "rsidtbl", "xmlnstbl"}
+
+
+def rtf_text(raw: bytes) -> str:
+    """The text of a rich text file: control words off, paragraphs as lines, hidden groups left out."""
+    text = raw.decode("latin-1")
+    out, last, hidden = [], 0, [False]
+    for m in _RTF.finditer(text):
+        if not hidden[-1]:
+            out.append(text[last:m.start()])
+        last = m.end()
+        code, uni, word, _, sign, brace, _ = m.groups()
+        if brace == "{":
+            hidden.append(hidden[-1])
+        elif brace == "}":
+            if len(hidden) > 1:
+                hidden.pop()
+        elif word in _RTF_HIDDEN or sign == "*":
+            hidden[-1] = True
+        elif hidden[-1]:
+            continue
+        elif code:
+            out.append(bytes([int(code, 16)]).decode("cp1252", "replace"))
+        elif uni:
+            out.append(chr(int(uni) % 65536))
+        elif word in ("par", "line", "row", "sect", "page"):
+            out.append("\n")
+        elif word in ("tab", "cell"):
+            out.append("\t")
+        elif sign in ("\\", "{", "}"):
+            out.append(sign)
+        elif sign == "~":
+            out.append(" ")
+    return "".join([*out, "" if hidden[-1] else text[last:]])
+
+
+def plain_text(content: bytes | str, extension: str) -> str:
+    """The text of a content that is no record format."""
+    if isinstance(content, str):
+        return content
+    return rtf_text(content) if extension == ".rtf" else decode(content)
+
+
 def jsonl_records(text: str, max_depth: int = DEPTH, max_fields: int = FIELDS) -> list[list[tuple[str, str]]]:
     """Records of the lines that are JSON; others are skipped."""
     out = []
@@ -327,8 +401,10 @@ DELIMITED = "|\t;~#"
 
 def records_of(content: bytes | str, extension: str, max_depth: int = DEPTH, max_fields: int = FIELDS) -> tuple[str, list[list[tuple[str, str]]]]:
     """(kind, records) of a content by its extension; what fails gives none."""
-    text = decode(content) if isinstance(content, bytes) else content
+    text = plain_text(content, extension)
     try:
+        if extension == ".xlsx":
+            return "TABLE_ROW", [r for rows in xlsx_sheets(content) for r in row_records(rows)]
         if extension == ".json":
             return "JSON_RECORD", tree_records(json.loads(text), max_depth, max_fields)
         if extension == ".jsonl":
@@ -362,7 +438,13 @@ def rest_text(content: bytes | str, extension: str) -> str:
             return docx_text(content)
         except (zipfile.BadZipFile, KeyError, ElementTree.ParseError, AttributeError, RuntimeError, NotImplementedError, OSError):
             return ""
-    text = decode(content) if isinstance(content, bytes) else content
+    if extension == ".xlsx":
+        # Sheets without records, as those of a single row, are text.
+        try:
+            return "\n".join("\t".join(r) for rows in xlsx_sheets(content) if not row_records(rows) for r in rows)
+        except (zipfile.BadZipFile, KeyError, ElementTree.ParseError, ValueError, RuntimeError, NotImplementedError, OSError):
+            return ""
+    text = plain_text(content, extension)
     if extension in (".html", ".htm"):
         return html_text(text)
     if extension == ".eml":
