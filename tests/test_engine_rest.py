@@ -5,7 +5,7 @@ import zipfile
 
 from traceloom.cli import parse_args
 from traceloom.engine import Engine
-from traceloom.sources.records import eml_records, rest_text, rtf_text, tree_records, xlsx_sheets, xml_scopes
+from traceloom.sources.records import eml_records, records_of, rest_text, rtf_text, tree_records, xlsx_sheets, xml_scopes
 
 
 def emails(spark, root, out):
@@ -94,8 +94,10 @@ def test_findings_have_places_and_files_a_status(spark, tmp_path):
     (root / "c.txt").write_text((root / "a.txt").read_text())
     (root / "bin.dat").write_bytes(bytes(range(256)) * 20)
     (root / "odd.xyz").write_bytes(b"%PDF-1.4 something")
-    engine = Engine(spark, parse_args(["--root", str(root), "--output-dir", str(out)]))
+    (root / "scan.png").write_bytes(b"\x89PNG and more")
+    engine = Engine(spark, parse_args(["--root", str(root), "--output-dir", str(out), "--html-report"]))
     engine.run()
+    assert "contact_location_email" in (out / "report.html").read_text() and (out / "manifest.json").exists()
     found = spark.read.parquet(f"{out}/findings").where("evidence_type = 'Email'").collect()
     line = "first a@x.org, then b@x.org and a@x.org again"
     placed = sorted((r.start_offset, r.end_offset) for r in found if r.unit_key.endswith("a.txt"))
@@ -103,6 +105,14 @@ def test_findings_have_places_and_files_a_status(spark, tmp_path):
     cell = [r for r in found if r.unit_key.endswith("b.csv")]
     assert [(r.start_offset, r.end_offset, r.context) for r in cell] == [(0, 7, "Email: c@x.org")]
     status = {r.path.rsplit("/", 1)[1]: r.status for r in spark.read.parquet(f"{out}/file_status").collect()}
-    assert status == {"a.txt": "scanned", "b.csv": "scanned", "c.txt": "duplicate", "bin.dat": "binary", "odd.xyz": "unsupported"}
+    assert status == {"a.txt": "scanned", "b.csv": "scanned", "c.txt": "duplicate", "bin.dat": "binary", "odd.xyz": "unsupported", "scan.png": "ocr_disabled"}
     summary = {r.unit_key.rsplit("/", 1)[1]: int(r.finding_count) for r in spark.read.option("header", "true").csv(f"{out}/file_summary").collect()}
-    assert summary["a.txt"] == 3 and summary["odd.xyz"] == 0 and len(summary) == 5
+    assert summary["a.txt"] == 3 and summary["odd.xyz"] == 0 and len(summary) == 6
+
+
+def test_structured_xml_and_cells_of_any_length():
+    kind, records = records_of("<r><p id='1'><name>Ada</name><email>a@x.org</email></p><p id='2'><name>Bob</name><email>b@x.org</email></p></r>", ".xml", xml_tree=True)
+    assert kind == "XML_RECORD" and [dict(r)["email"] for r in records] == ["a@x.org", "b@x.org"] and dict(records[0])["@id"] == "1"
+    assert records_of("<r><p>", ".xml", xml_tree=True) == ("", [])
+    long = "x" * 300_000
+    assert dict(records_of(f"name,note,email\nAda,{long},a@x.org\n", ".csv")[1][0])["note"] == long

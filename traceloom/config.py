@@ -27,7 +27,11 @@ class EngineConfig:
     #: Fields of a record and levels of an object that are read at most; 0: all.
     xml_max_fields: int = 0
     structured_max_depth: int = 0
+    #: fast: scopes by tags alone; structured: records of the parsed tree.
+    xml_mode: str = "fast"
     hub_limit: int = 200
+    person_evidence: bool = False
+    html_report: bool = False
     profile: bool = False
     resume: str = ""
     output_format: str = "parquet"
@@ -35,7 +39,7 @@ class EngineConfig:
     def __post_init__(self) -> None:
         choices = {
             "file_hash": ("sha256", "md5"), "duplicate_files": ("scan", "report", "collapse"), "duplicate_evidence": ("scan", "report", "collapse"),
-            "resume": ("", "scanning", "clustering", "reidentification", "reporting"), "output_format": ("parquet", "csv", "json", "orc"),
+            "resume": ("", "scanning", "clustering", "reidentification", "reporting"), "xml_mode": ("fast", "structured"), "output_format": ("parquet", "csv", "json", "orc"),
         }
         for name, allowed in choices.items():
             if getattr(self, name) not in allowed:

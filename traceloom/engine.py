@@ -24,9 +24,9 @@ from traceloom.operators.profiling import column_profile, value_type
 from traceloom.operators.rules import RULES, Rule, load_rules, resolve_header, rules_for
 from traceloom.operators.scan import AROUND, FINDING, assemble_names, cap_findings, lines, match_text, scan_table, scan_text
 from traceloom.operators.summary import entity_summary, file_summary, regex_summary
-from traceloom.sources.files import excluded, file_index, hidden, list_files
+from traceloom.sources.files import IMAGES, excluded, file_index, file_signals, hidden, list_files
 from traceloom.sources.records import plain_text, record_units, rest_text, texts
-from traceloom.sources.sinks import write_evidence, write_manifest, write_table
+from traceloom.sources.sinks import html_report, widen_context, write_evidence, write_manifest, write_person_evidence, write_table
 
 STAGES = ("scanning", "clustering", "reidentification", "reporting")
 STRUCTURED = (".csv", ".tsv", ".json", ".jsonl", ".xml", ".html", ".htm", ".eml", ".yaml", ".yml")
@@ -129,7 +129,7 @@ class Engine:
         kind = F.col("detected_extension")
         structured, plain = files.where(kind.isin(*STRUCTURED)), files.where(kind.isin(*TEXT))
         # Places of tables in a text, and of text beside records, are named apart from its lines.
-        units = record_units(structured, "path", "content", kind, c.structured_max_depth, c.xml_max_fields)
+        units = record_units(structured, "path", "content", kind, c.structured_max_depth, c.xml_max_fields, c.xml_mode == "structured")
         tables = record_units(plain.where(~kind.isin(*STRUCTURED)), "path", "content", kind)
         units = units.unionByName(tables.withColumn("row_number", F.concat(F.lit("table:"), "row_number")))
         prose = numbered(texts(plain, "path", "content", kind, plain_text))
@@ -183,9 +183,11 @@ class Engine:
         kind = F.col("detected_extension")
         readable = kind.isin(*STRUCTURED, *TEXT, *PACKED)
         collapse = self.config.duplicate_files != "scan"
-        status = F.when(F.lit(collapse) & (F.col("duplicate_index") > 1), "duplicate").when(
+        image = F.coalesce(kind.isin(*IMAGES), F.lit(False))
+        status = F.when(image, "ocr_disabled").when(F.lit(collapse) & (F.col("duplicate_index") > 1), "duplicate").when(
             F.col("binary") & ~kind.isin(*PACKED), "binary").when(~readable, "unsupported").otherwise("scanned")
-        detail = F.when(status == "duplicate", F.col("canonical_path")).when(status.isin("binary", "unsupported"), kind).otherwise("")
+        # Pictures are known by name and type only (see file_signals); nothing reads their pixels.
+        detail = F.when(status == "duplicate", F.col("canonical_path")).when(status.isin("binary", "unsupported", "ocr_disabled"), kind).otherwise("")
         return index.select("path", status.alias("status"), detail.alias("detail"))
 
     def report(self, findings: DataFrame) -> None:
@@ -197,7 +199,17 @@ class Engine:
         write_table(file_summary(files, findings, "unit_key", types), self.path("file_summary"))
         write_table(entity_summary(findings, "unit_key"), self.path("entity_summary"))
         write_table(regex_summary(findings, "unit_key"), self.path("regex_summary"))
-        write_evidence(findings, self.path("evidence"), self.config.output_format)
+        # Every finding of a unit carries the longest context any of them has.
+        write_evidence(widen_context(findings, ["unit_key", "row_number"]), self.path("evidence"), self.config.output_format)
+        names = index.select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "extension")
+        write_table(file_signals(names, "file_name", "extension"), self.path("file_signals"))
+        links = self.path("person_links")
+        if self.config.person_evidence and self.config.person_tables:
+            write_person_evidence(self.spark.read.parquet(links), self.path("person_evidence"), self.config.output_format)
+        if self.config.html_report:
+            # One row per rule.
+            rows = [r.asDict() for r in regex_summary(findings, "unit_key").orderBy("evidence_type", "pattern_name").collect()]
+            html_report(self.path("report.html"), "Findings by rule", rows)
         if self.config.profile:
             for p in self.config.person_tables:
                 df = self.spark.read.option("header", "true").csv(p)

@@ -54,6 +54,17 @@ def canonical_postcode(value: Column) -> Column:
     return F.when(good, F.concat(F.expr("''"), F.substring(compact, F.lit(1), F.length(compact) - 3), F.lit(" "), F.right(compact, F.lit(3)))).otherwise("")
 
 
+def country_name(value: Column, aliases: dict[str, Iterable[str]]) -> Column:
+    """A country by its usual name, in capitals; ``aliases`` lists other names by it. Others stay as they are."""
+    pairs = sorted((a.upper(), name) for name, others in aliases.items() for a in others)
+    v = F.upper(safe_cell(value))
+    if not pairs:
+        return v
+    # Membership is one look into a hash set; a map is searched entry by entry.
+    known = F.create_map(*[F.lit(x) for p in pairs for x in p])
+    return F.when(v.isin(*[a for a, _ in pairs]), F.element_at(known, v)).otherwise(v)
+
+
 NORMAL_FORMS = {
     "lower": lambda v: F.lower(F.trim(v)),
     "compact_upper": compact_upper,

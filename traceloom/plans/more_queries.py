@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traceloom.functions.text import alias_rules, email_aliases, name_key
+from traceloom.functions.text import alias_rules, country_name, email_aliases, name_key
 from traceloom.functions.validators import DOCUMENT_CUE, DOCUMENT_WORDS, RELATIVES, identity_document_file
 from traceloom.operators import linking as L
 from traceloom.operators import overlap as O
@@ -33,10 +33,9 @@ def p_email_aliases(spark: SparkSession, base: str) -> DataFrame:
 
 def p_countries(spark: SparkSession, base: str) -> DataFrame:
     """Nation names and short forms brought to one name."""
-    pairs = spark.createDataFrame([(a, c) for c, names in COUNTRIES.items() for a in names], "alias string, canonical string")
-    n = table(spark, base, "nation").select(F.upper(F.trim("n_name")).alias("value")).unionByName(pairs.select(F.col("alias").alias("value")))
-    # As many rows as there are aliases in the configuration.
-    return n.join(F.broadcast(pairs), F.col("value") == F.col("alias"), "left").select("value", F.coalesce("canonical", "value").alias("country"))
+    n = table(spark, base, "nation").select(F.upper(F.trim("n_name")).alias("value"))
+    short = spark.createDataFrame([(a,) for names in COUNTRIES.values() for a in names], "value string")
+    return n.unionByName(short).select("value", country_name(F.col("value"), COUNTRIES).alias("country"))
 
 
 def v_file_names(spark: SparkSession, base: str) -> DataFrame:

@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from traceloom.operators.rules import resolve_header
 from traceloom.sources.files import decode, sniff_delimiter
 
+# A cell of any length is one cell.
+csv.field_size_limit((1 << 31) - 1)
 UNITS = "key string, row_number string, kind string, fields array<struct<header:string,value:string>>"
 #: Most levels and most fields of a record that are read; 0: all of them.
 DEPTH, FIELDS = 0, 0
@@ -399,7 +401,13 @@ def embedded_tables(text: str) -> list[list[tuple[str, str]]]:
 DELIMITED = "|\t;~#"
 
 
-def records_of(content: bytes | str, extension: str, max_depth: int = DEPTH, max_fields: int = FIELDS) -> tuple[str, list[list[tuple[str, str]]]]:
+def xml_records(text: str, max_depth: int = DEPTH, max_fields: int = FIELDS) -> list[list[tuple[str, str]]]:
+    """Records of the tree that a strict parser makes of XML; fields are named by their paths."""
+    root = ElementTree.fromstring(text)
+    return tree_records({root.tag.rsplit("}", 1)[-1]: element_tree(root)}, max_depth, max_fields)
+
+
+def records_of(content: bytes | str, extension: str, max_depth: int = DEPTH, max_fields: int = FIELDS, xml_tree: bool = False) -> tuple[str, list[list[tuple[str, str]]]]:
     """(kind, records) of a content by its extension; what fails gives none."""
     text = plain_text(content, extension)
     try:
@@ -409,6 +417,8 @@ def records_of(content: bytes | str, extension: str, max_depth: int = DEPTH, max
             return "JSON_RECORD", tree_records(json.loads(text), max_depth, max_fields)
         if extension == ".jsonl":
             return "JSONL_RECORD", jsonl_records(text, max_depth, max_fields)
+        if extension == ".xml" and xml_tree:
+            return "XML_RECORD", xml_records(text, max_depth, max_fields)
         if extension == ".xml":
             return "XML_SCOPE", xml_scopes(text, max_fields)
         if extension in (".html", ".htm"):
@@ -467,7 +477,7 @@ def texts(df: DataFrame, key: str, content: str, extension, read) -> DataFrame:
     return cols.mapInPandas(walk, "key string, text string")
 
 
-def record_units(df: DataFrame, key: str, content: str, extension, max_depth: int = DEPTH, max_fields: int = FIELDS) -> DataFrame:
+def record_units(df: DataFrame, key: str, content: str, extension, max_depth: int = DEPTH, max_fields: int = FIELDS, xml_tree: bool = False) -> DataFrame:
     """(key, row_number, kind, fields) of every record in the contents."""
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -476,7 +486,7 @@ def record_units(df: DataFrame, key: str, content: str, extension, max_depth: in
             for k, c, e in zip(b["key"], b["content"], b["ext"]):
                 if c is None:
                     continue
-                kind, records = records_of(c, e or "", max_depth, max_fields)
+                kind, records = records_of(c, e or "", max_depth, max_fields, xml_tree)
                 label = "xml_scope:" if kind == "XML_SCOPE" else ""
                 rows += [(k, f"{label}{i + 1}", kind, [{"header": h, "value": v} for h, v in r]) for i, r in enumerate(records)]
             yield pd.DataFrame(rows, columns=["key", "row_number", "kind", "fields"])

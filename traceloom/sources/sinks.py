@@ -6,12 +6,27 @@ import json
 from datetime import datetime, timezone
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from traceloom.operators.rules import RULES
 
 
+def write_text(path: str, text: str) -> None:
+    """A small text under any path the session can write to, also on shared storage."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        Path(path).parent.mkdir(parents=True, exist_ok=True)
+        Path(path).write_text(text, encoding="utf-8")
+        return
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
 def write_evidence(findings: DataFrame, path: str, form: str = "parquet") -> None:
     """Findings partitioned by evidence type and rule; every rule's folder is a partition."""
     findings.write.mode("overwrite").partitionBy("evidence_type", "pattern_name").format(form).save(path)
@@ -35,8 +50,7 @@ def write_manifest(path: str, outputs: dict[str, int], options: dict) -> dict:
         "written_at": datetime.now(timezone.utc).isoformat(timespec="seconds"), "options": options, "outputs": outputs,
         "rules": {r.pattern_name: r.fingerprint for r in RULES},
     }
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps(manifest, indent=1, sort_keys=True), encoding="utf-8")
+    write_text(path, json.dumps(manifest, indent=1, sort_keys=True))
     return manifest
 
 
@@ -47,7 +61,7 @@ def html_report(path: str, title: str, rows: list[dict]) -> None:
     cols = list(rows[0]) if rows else []
     head = "".join(f"<th>{escape(c)}</th>" for c in cols)
     body = "".join("<tr>" + "".join(f"<td>{escape(str(r[c]))}</td>" for c in cols) + "</tr>" for r in rows)
-    Path(path).write_text(f"<!doctype html><title>{escape(title)}</title><h1>{escape(title)}</h1><table><tr>{head}</tr>{body}</table>", encoding="utf-8")
+    write_text(path, f"<!doctype html><title>{escape(title)}</title><h1>{escape(title)}</h1><table><tr>{head}</tr>{body}</table>")
 
 
 def write_person_evidence(links: DataFrame, path: str, form: str = "parquet") -> None:
