@@ -113,13 +113,15 @@ def _grow(edges: DataFrame, hot: DataFrame | None, round_no: int, beta: float) -
     while True:
         # Some steps at a time, so that fewer jobs ask whether anything changed.
         for _ in range(STEPS_AT_ONCE):
-            rim = _copies(state.where("fresh").select("v", "t", "c"), hot)
-            told = ends.join(rim, (ends.a == rim.v) & (ends.s == rim.s)).select(F.col("b").alias("v"), (F.col("t") + 1.0).alias("t"), "c", F.lit(None).cast("double").alias("was"))
-            held = state.select("v", "t", "c", F.col("t").alias("was"))
-            # Numbers aggregate by hash, a struct of them would be sorted. Times of
+            rim = state.where("fresh").select("v", "t", "c")
+            told = ends.join(rim, ends.a == rim.v) if hot is None else ends.join(_copies(rim, hot).withColumnRenamed("s", "_s"), (ends.a == F.col("v")) & (ends.s == F.col("_s")))
+            told = told.select(F.col("b").alias("v"), (F.col("t") + 1.0).alias("t2"), F.col("c").alias("c2"))
+            # Only what is told is shuffled; the state stays where its vertices are. Times of
             # different clusters do not tie: they hold 52 random bits each.
-            state = held.unionByName(told).groupBy("v").agg(F.min("t").alias("t"), F.min_by("c", "t").alias("c"), F.max("was").alias("was"))
-            state = state.select("v", "t", "c", (F.col("t") < F.col("was")).alias("fresh"))
+            told = told.groupBy("v").agg(F.min_by("c2", "t2").alias("c2"), F.min("t2").alias("t2"))
+            first = F.coalesce(F.col("t2") < F.col("t"), F.lit(False))
+            state = state.drop("fresh").join(told, "v", "left").select(
+                "v", F.when(first, F.col("t2")).otherwise(F.col("t")).alias("t"), F.when(first, F.col("c2")).otherwise(F.col("c")).alias("c"), first.alias("fresh"))
             steps += 1
         state, changed = _cut_counting(state, F.count_if("fresh"))
         if not changed:
