@@ -32,6 +32,8 @@ from traceloom.session import cut, table
 
 #: The classifier is fitted on at most this many labelled rows per source, over hashed token counts.
 SAMPLE_PER_SOURCE, FEATURES = 200, 2048
+#: Distinct sources up to which their counts go to all tasks.
+SOURCES = 10_000
 #: Chance that a label is wrong.
 MISLABELLED = 0.005
 #: Gradient steps for one total, distance of every source's share at which they have settled, factor
@@ -65,8 +67,9 @@ def softmax(z: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame, path: str = TOKENIZER) -> tuple[list[str], np.ndarray]:
     """(sources, weights) fitted on a sample of labelled rows, at most SAMPLE_PER_SOURCE of each."""
     labelled = docs.where("source IS NOT NULL AND length(text) > 0")
-    counts = labelled.groupBy("source").agg(F.count("*").alias("n"))
-    near = labelled.join(counts, "source").withColumn("u", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 40)) / float(1 << 40))
+    counts = cut(labelled.groupBy("source").agg(F.count("*").alias("n")))
+    # One row per source, sent to all tasks if there are no more than SOURCES.
+    near = labelled.join(F.broadcast(counts) if counts.count() <= SOURCES else counts, "source").withColumn("u", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 40)) / float(1 << 40))
     # Twice the expected share first, so that no source is ranked as a whole.
     near = near.where(F.col("u") < F.lit(2.0 * SAMPLE_PER_SOURCE) / F.col("n"))
     rank = F.row_number().over(Window.partitionBy("source").orderBy("u", "doc_id"))
