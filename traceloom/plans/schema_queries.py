@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from traceloom.operators import compare as C
 from traceloom.operators.exact import exact_index, exact_matches
-from traceloom.operators.infer import column_votes, infer_headers, plan_decisions, rule_coverage, schema_plan, value_candidates
+from traceloom.operators.infer import DISTINCT, WIN, column_votes, infer_headers, plan_decisions, rule_coverage, schema_plan, value_candidates
 from traceloom.operators.profiling import column_profile
 from traceloom.plans import report_queries as R
 from traceloom.plans import scan_queries as S
+from traceloom.plans.sql_text import NAME_SQL
 from traceloom.session import table
 
 HEADERLESS = ("full_name", "user_contact", "born_when", "category_flag", "reference_code", "postcode")
@@ -86,7 +87,13 @@ SELECT column_name, count(*) AS filled, count(DISTINCT v) AS distinct_values,
   count(*) FILTER (regexp_full_match(upper(regexp_replace(v, '\\s+', '', 'g')), '(?:GIR0AA|[A-PR-UWYZ][A-HK-Y]?\\d[A-HJKPSTUW\\d]?\\d[ABD-HJLNP-UW-Z]{{2}})')) AS postcode,
   count(*) FILTER (regexp_full_match(v, '(?:(?:25[0-5]|2[0-4]\\d|1?\\d?\\d)\\.){{3}}(?:25[0-5]|2[0-4]\\d|1?\\d?\\d)')) AS ip_address
 FROM c WHERE v <> '' GROUP BY 1""",
-    "u_inferred": "SELECT * FROM (VALUES ('column_1', 'full name'), ('column_2', 'email'), ('column_3', 'column_3'), ('column_4', 'column_4'), ('column_5', 'column_5'), ('column_6', 'postcode')) t(column_name, header)",
+    "u_inferred": f"""WITH c AS ({' UNION ALL '.join(f"SELECT 'column_{i + 1}' AS column_name, trim(regexp_replace(CAST({c} AS VARCHAR), '\\s+', ' ', 'g')) AS v FROM roster_contacts_b" for i, c in enumerate(HEADERLESS))}),
+filled AS (SELECT * FROM c WHERE v <> ''), n AS ({S._clean_sql('filled', 'v', 'column_name')}),
+names AS (SELECT column_name, count(*) AS names, count(DISTINCT {S._FOLD}) AS distinct_names FROM n WHERE {NAME_SQL} AND {S._WORDS} >= 2 GROUP BY 1),
+votes AS (SELECT column_name, count(*) AS filled, count(*) FILTER (regexp_full_match(v, '(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+\\.[A-Z]{{2,}}')) AS mails,
+  count(*) FILTER (regexp_full_match(upper(regexp_replace(v, '\\s+', '', 'g')), '(?:GIR0AA|[A-PR-UWYZ][A-HK-Y]?\\d[A-HJKPSTUW\\d]?\\d[ABD-HJLNP-UW-Z]{{2}})')) AS codes FROM filled GROUP BY 1),
+typed AS (SELECT v.*, names, distinct_names, CASE WHEN mails >= {WIN} * filled THEN 'email' WHEN codes >= {WIN} * filled THEN 'postcode' END AS kind FROM votes v LEFT JOIN names n ON v.column_name = n.column_name)
+SELECT column_name, CASE WHEN kind IS NOT NULL THEN kind WHEN (SELECT count(kind) FROM typed) > 0 AND names >= {WIN} * filled AND distinct_names >= {DISTINCT} * filled THEN 'full name' ELSE column_name END AS header FROM typed""",
     "f_rule_coverage": S._TEXT + f""", seen AS (SELECT pattern_name, count(*) AS n, count(DISTINCT unit_key) AS f, count(DISTINCT normalized_value) AS d FROM findings GROUP BY 1),
 names AS (SELECT * FROM (VALUES {', '.join(f"('{r.pattern_name}', '{r.evidence_type}')" for r in S.PLAIN)}) t(pattern_name, evidence_type))
 SELECT names.pattern_name, evidence_type, coalesce(n, 0) AS findings, coalesce(f, 0) AS files, coalesce(d, 0) AS distinct_values,
