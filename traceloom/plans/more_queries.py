@@ -124,4 +124,16 @@ SELECT array_to_string(fs, '|') AS fields, count(*) AS files, CAST(len(fs) AS IN
     "o_not_in_list": """SELECT lower(trim(email)) AS email, count(DISTINCT record_no) AS rows FROM exposed_records_008 WHERE trim(email) <> ''
   AND lower(trim(email)) NOT IN (SELECT lower(trim(mailbox)) FROM roster_contacts_a WHERE mailbox IS NOT NULL) GROUP BY 1""",
 }
+_KEYS_OF = {n: f"SELECT DISTINCT k FROM ({S._KEYS.replace(S._RECORDS, findings)} SELECT * FROM keys)" for n, findings in (("l", S._RECORDS), ("r", S._ROSTER))}
+SQL |= {
+    "o_person_tokens": f"""WITH l AS ({_KEYS_OF['l']}), r AS ({_KEYS_OF['r']}), j AS (SELECT l.k AS a, r.k AS b FROM l FULL JOIN r ON l.k = r.k),
+c AS (SELECT count(*) FILTER (a IS NOT NULL AND b IS NOT NULL) AS "both", count(*) FILTER (b IS NULL) AS left_only, count(*) FILTER (a IS NULL) AS right_only FROM j)
+SELECT *, round("both" / greatest(1, "both" + left_only + right_only), 6) AS jaccard FROM c""",
+    "a_authoritative": f"""WITH findings AS ({S._RECORDS}), exact AS ({Q.SQL['i_exact']}), contacts AS (SELECT * FROM synthetic_slim_contacts WHERE id IS NOT NULL),
+names AS (SELECT DISTINCT id, {S._FOLD} AS name FROM ({S._clean_sql('contacts', "concat_ws(' ', first_name, last_name)", 'contact_no, id')}) WHERE c <> ''),
+sure AS (SELECT unit_key, min(person) AS person FROM exact GROUP BY 1 HAVING count(DISTINCT person) = 1),
+own AS (SELECT DISTINCT unit_key, name FROM sure JOIN names ON person = id),
+found AS (SELECT DISTINCT unit_key, normalized_value AS name FROM findings WHERE evidence_type = 'Name' AND unit_key NOT IN (SELECT unit_key FROM own))
+SELECT 'person list' AS origin, count(*) AS names, count(DISTINCT unit_key) AS units FROM own HAVING count(*) > 0 UNION ALL SELECT 'found', count(*), count(DISTINCT unit_key) FROM found HAVING count(*) > 0""",
+}
 QUERIES = {f.__name__: f for f in (p_email_aliases, p_countries, v_file_names, s_file_signals, m_selected, a_authoritative, i_values, f_grouped, f_families, o_email_pairs, o_not_in_list, o_person_tokens)}
