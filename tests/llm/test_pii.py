@@ -7,6 +7,7 @@ import time
 import pytest
 
 from traceloom.llm.name_model import NameModel, fit
+from traceloom.llm import pii
 from traceloom.llm.pii import EMAIL, NAME, _nhs_ok, dated, find_mentions, fit_names, mentions, numbers_and_places, permute, pseudonym, pseudonym_date, redact, redacted
 
 GIVEN = "Ada Piotr Thandiwe Kenji Uzma Mehmet Siobhan Tomasz Ffion Karim Lakshmi Noor Dewei Hope Mark Rose Frank Grace Søren Renée Ike Bram Dilnoza Wilhelmina".split()
@@ -167,3 +168,22 @@ def test_tables(spark, model):
     out = {r.row_key: r.pseudonym for r in dated(days, "k", "d", "s").collect()}
     assert out[2] is None and out[3] == "unknown" and out[1] != "29/02/2004" and re.fullmatch(r"\d\d/\d\d/\d{4}", out[1])
     assert fit_names(df.select("text").limit(0), df.select("text").limit(0)).spans("Ada") == []
+
+
+def test_a_model_counts_every_name_and_every_text(spark, monkeypatch):
+    """No name or text is left out of the counts, and tasks come to the weights of the driver."""
+    letters = "abcdefghijklmnopqrst"
+    rare = [f"Ada X{a}{b}{c}{d}o" for a in letters for b in letters for c in letters for d in letters[:3]]
+    texts = [f"Note {i} by Ada X{a}{b}ao about the lease" for i, (a, b) in enumerate((a, b) for a in letters for b in letters)]
+    texts += [f"Dear Ada X{a}{b}bo, your file {i} is open" for i in range(20) for a in letters for b in letters]
+    names = spark.createDataFrame([(x,) for x in [*rare, "Dear Ada"]], "x string")
+    said = spark.createDataFrame([(x,) for x in [*texts, *texts]], "x string")
+    model = fit_names(names, said)
+    assert len(rare) > 20_000 and all(r.split()[1].lower() in model.names for r in rare)
+    assert model.lower["lease"] == (400, 400) and model.lower["file"] == (8000, 8000)
+    # A column holds this word by mistake.
+    assert "dear" not in model.names
+    monkeypatch.setattr(pii, "AT_HAND", 0)
+    spread = fit_names(names, said)
+    assert spread.weights.keys() == model.weights.keys()
+    assert all(abs(w - model.weights[f]) < 1e-6 for f, w in spread.weights.items())

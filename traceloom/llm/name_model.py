@@ -1,7 +1,7 @@
 """What a person's name looks like in running text: a linear tagger.
 
 Nothing here knows a sentence that carries a name. Four things are learned when a
-model is fitted, all from bounded samples:
+model is fitted, all from every value of the columns and every text:
 
 * how often a token stands in columns of names, and how often it is written in
   lower case in texts (``hope`` and ``mark`` are names and words);
@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,8 +31,8 @@ import numpy as np
 from traceloom.llm.people import NICKNAMES
 from traceloom.llm.tokens import TOKENIZER, encoder
 
-#: Rows of names and of texts that a model is fitted on at most.
-NAME_ROWS, TEXT_ROWS = 20_000, 6_000
+#: Rows of features that are summed at once; what parts the pieces of a key that is counted.
+BLOCK, PART = 50_000, "\x1f"
 #: Titles that announce a name and are left out of it, particles that belong to one (fixed values).
 TITLES = frozenset("dr mr mrs ms miss mx prof professor sir dame rev revd lord lady".split())
 PARTICLES = frozenset("van der den de la von di al del da bin ibn ter le du".split())
@@ -55,6 +57,13 @@ START, END = "<s>", "</s>"
 SURE, NEARLY = 1.0, -2.0
 #: Share of a word's places that lie in one pair of words, from which the pair is a set phrase.
 SET_SHARE = 0.2
+#: Times that a set phrase is seen at least, and texts that hold it once at least on average.
+SET_LEAST, SET_TEXTS = 5, 1200
+#: Values of columns from which a word is often held; times the usual number of places for its
+#: values from which a word is held by mistake.
+OFTEN, STRAY = 5, 20
+#: Times that a feature has to be seen to say anything.
+LEAST_SEEN = 3
 
 
 def _fold(token: str) -> str:
@@ -101,19 +110,51 @@ def _gram_ids(token: str) -> list[int]:
     return out
 
 
-def logistic(rows: np.ndarray, y: np.ndarray, size: int, weight: np.ndarray, steps: int, rate: float, decay: float = 1e-6) -> np.ndarray:
-    """Weights of a logistic regression over rows of feature numbers (-1: none), by adaptive gradient steps."""
-    used = rows >= 0
-    flat = np.where(used, rows, size).ravel()
+#: Rows of feature numbers (0: none), their labels (-1: not known) and weights.
+Block = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _labels(block: Block, first: np.ndarray | None) -> np.ndarray:
+    """Labels of a block; those not known are the sure answers of ``first`` weights."""
+    x, y, _ = block
+    if first is None:
+        return y
+    z = first[x].sum(1)
+    return np.where(y >= 0, y, np.where(z > 2, 1.0, np.where(z < -2, 0.0, -1.0)))
+
+
+def _gradient(block: Block, w: np.ndarray, first: np.ndarray | None) -> np.ndarray:
+    x, y, times = block[0], _labels(block, first), block[2]
+    z = w[x].sum(1)
+    miss = np.where(y >= 0, times, 0.0) * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
+    return np.bincount(x.ravel(), weights=np.repeat(miss, x.shape[1]), minlength=len(w))
+
+
+def logistic(total: Callable[[Callable[[Block], np.ndarray]], np.ndarray], size: int, mass: float, steps: int, rate: float, decay: float = 1e-6, first: np.ndarray | None = None) -> np.ndarray | None:
+    """Weights of a logistic regression, the first of none and always 0, by adaptive gradient steps; none without labels.
+
+    ``total`` adds up what a function tells of each block of rows, wherever they are;
+    weights of the rows are scaled so that they add up to ``mass``.
+    """
+    seen_rows = float(total(lambda b: np.where(_labels(b, first) >= 0, b[2], 0.0).sum()))
+    if not seen_rows:
+        return None
     w, seen = np.zeros(size + 1), np.full(size + 1, 1e-8)
     for _ in range(steps):
-        z = w[flat].reshape(rows.shape).sum(1)
-        miss = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
-        grad = np.bincount(flat, weights=np.repeat(miss, rows.shape[1]), minlength=size + 1) + decay * w
+        grad = total(lambda b: _gradient(b, w, first)) * (mass / seen_rows) + decay * w  # noqa: B023
         seen += grad * grad
-        w -= rate * grad / np.sqrt(seen)
-        w[size] = 0.0
-    return w[:size]
+        w = w - rate * grad / np.sqrt(seen)
+        w[0] = 0.0
+    return w
+
+
+def blocks_of(x: np.ndarray, y: np.ndarray, times: np.ndarray) -> list[Block]:
+    return [(x[i:i + BLOCK], y[i:i + BLOCK], times[i:i + BLOCK]) for i in range(0, len(x), BLOCK)]
+
+
+def total_of(blocks: list[Block]) -> Callable:
+    """Sums over blocks that are at hand."""
+    return lambda tell: sum(tell(b) for b in blocks)
 
 
 @dataclass
@@ -304,85 +345,164 @@ def usual_case(path: str = TOKENIZER) -> dict[str, str]:
     return {w: min(forms, key=forms.get) for w, forms in place.items()}
 
 
-def fit(names: list[str], texts: list[str], steps: int = 80, path: str = TOKENIZER) -> NameModel:
-    """A model from values of name columns and texts whose other mentions are masked."""
-    model = NameModel(vocabulary=usual_case(path))
-    for c in COMMON:
-        model.names[c] = 3
+class _Memo(dict):
+    """What a function tells of a token, kept."""
+
+    def __init__(self, tell: Callable[[str], object]):
+        super().__init__()
+        self.tell = tell
+
+    def __missing__(self, token: str):
+        got = self[token] = self.tell(token)
+        return got
+
+
+def name_words(value: str) -> set[str]:
+    """Words of one value of a name column."""
+    return {w for w in (_fold(t) for t, _, _ in tokens_of(value) if t[0].isalpha()) if len(w) > 1 and w not in TITLES and w not in PARTICLES}
+
+
+def base_names() -> dict[str, int]:
+    """Names that are known without any column."""
+    out = dict.fromkeys(COMMON, 3)
     for full, shorts in NICKNAMES.items():
         for w in (full, *shorts.split()):
-            model.names[w] = max(2, model.names.get(w, 0))
-    for value in set(names):
-        for t in {_fold(t) for t, _, _ in tokens_of(value) if t[0].isalpha()}:
-            if len(t) > 1 and t not in TITLES and t not in PARTICLES:
-                model.names[t] = model.names.get(t, 0) + 1
-    rows = [[t for t, _, _ in tokens_of(x)] for x in texts]
+            out[w] = max(2, out.get(w, 0))
+    return out
+
+
+def base_model(counts: Mapping[str, int], path: str = TOKENIZER) -> NameModel:
+    """A model that knows names by how many values of name columns hold each word."""
+    model = NameModel(base_names(), vocabulary=usual_case(path))
+    for w, n in counts.items():
+        model.names[w] = model.names.get(w, 0) + n
+    return model
+
+
+def text_counts(rows: Iterable[list[str]], names: Mapping[str, int]) -> Counter:
+    """Numbers of places in tokens of texts, by kind of key: ``w`` words, ``l`` those in lower case,
+    ``e`` words that columns hold, ``f`` pairs of such a word and one that no column holds."""
+    held = _Memo(lambda t: t[0].isalpha() and _fold(t) in names)
+    singles: Counter = Counter()
+    pairs: Counter = Counter()
     for row in rows:
-        for t in row:
-            if t[0].isalpha():
-                s, a = model.lower.get(_fold(t), (0, 0))
-                model.lower[_fold(t)] = (s + (t[0].islower()), a + 1)
-    model.phrases = _set_phrases(rows, model.names)
+        singles.update(row)
+        pairs.update(p for p in zip(row, row[1:]) if held[p[0]])
+    out: Counter = Counter()
+    for a, n in singles.items():
+        # Tokens with digits are of one class, whatever they are.
+        if a[0].isalpha() and shape_of(a) != "d":
+            out["w", _fold(a)] += n
+            if a[0].islower():
+                out["l", _fold(a)] += n
+    for (a, b), n in pairs.items():
+        out["e", _fold(a)] += n
+        if b[0].isalpha() and _fold(b) not in PARTICLES and (_fold(b) not in names and b[0].isupper() == a[0].isupper() or b.islower()):
+            out["f", _fold(a) + PART + _fold(b)] += n
+    return out
+
+
+def set_least(texts: int) -> int:
+    """Times that a set phrase is seen at least, in so many texts."""
+    return max(SET_LEAST, texts // SET_TEXTS)
+
+
+def learn_texts(model: NameModel, counts: Mapping[tuple[str, str], int], texts: int) -> None:
+    """Share of lower case, set phrases and n-grams from the counts of all texts.
+
+    A set phrase is a pair in which a good share of its first word's places lie. Columns
+    also hold words by mistake: one that texts write without lower case many times more
+    often, for its values, than names in general is no name.
+    """
+    model.lower = {w: (n, counts["w", w]) for (kind, w), n in counts.items() if kind == "l"}
+    least = set_least(texts)
+    pairs = ((w.split(PART), n) for (kind, w), n in counts.items() if kind == "f" and n >= least)
+    model.phrases = frozenset((a, b) for (a, b), n in pairs if n >= SET_SHARE * counts["e", a])
+    places = {w: n - model.lower.get(w, (0, 0))[0] for (kind, w), n in counts.items() if kind == "e"}
+    ratios = sorted(n / model.names[w] for w, n in places.items() if model.names[w] >= OFTEN)
+    if ratios:
+        most, sure = STRAY * ratios[len(ratios) // 2], base_names()
+        model.names = {w: n for w, n in model.names.items() if w in sure or places.get(w, 0) <= max(OFTEN, most * n)}
     # Words: tokens of texts, mostly in lower case, that no column holds.
     words = sorted(w for w, (s, a) in model.lower.items() if s >= 0.5 * a and w not in model.names and len(w) > 1)
-    people = sorted(w for w, n in model.names.items() if len(w) > 1 and (w not in model.lower or model.lower[w][0] < 0.5 * model.lower[w][1]))
+    people = sorted(w for w in model.names if len(w) > 1 and (w not in model.lower or model.lower[w][0] < 0.5 * model.lower[w][1]))
     if words and people:
         grams = [_gram_ids(w) for w in (*people, *words)]
-        wide = max(map(len, grams))
-        table = np.full((len(grams), wide), -1, dtype=np.int64)
+        table = np.zeros((len(grams), max(map(len, grams))), dtype=np.int32)
         for i, g in enumerate(grams):
-            table[i, :len(g)] = g
+            table[i, :len(g)] = np.array(g) + 1
         y = np.array([1.0] * len(people) + [0.0] * len(words))
-        weight = np.where(y > 0, 0.5 / len(people), 0.5 / len(words)) * len(y)
-        model.grams = logistic(table, y, 1 << GRAM_BITS, weight, 60, 0.3)
-    place: dict[str, int] = {}
-    feats, labels, everyone = [], [], model.names
-    # A fifth of the names count as not known while features are made, so that the
-    # weights also fit names that no column holds.
-    fewer = {w: n for w, n in everyone.items() if zlib.crc32(w.encode()) % 5}
+        weight = np.where(y > 0, 0.5 / len(people), 0.5 / len(words))
+        model.grams = logistic(total_of(blocks_of(table, y, weight)), 1 << GRAM_BITS, len(y), 60, 0.3)[1:]
+
+
+def training_rows(rows: Iterable[list[str]], model: NameModel) -> Counter:
+    """How often each row of features, with its label, stands in tokens of texts.
+
+    A fifth of the names count as not known while features are made, so that the
+    weights also fit names that no column holds.
+    """
+    everyone = model.names
+    fewer = NameModel({w: n for w, n in everyone.items() if zlib.crc32(w.encode()) % 5}, model.lower, model.phrases, model.vocabulary, model.grams)
+    kinds = _Memo(lambda t: model.facts(t)[0])
+    # Tokens of equal features have one number.
+    numbers: dict[tuple[str, str, str, str], int] = {}
+
+    def tell(token: str) -> int:
+        own, before, after, kind = fewer.features(token)
+        return numbers.setdefault((PART.join(own), PART.join(before), PART.join(after), kind), len(numbers))
+
+    ids = _Memo(tell)
+    seen: Counter = Counter()
     for row in rows:
-        model.names = everyone
-        labels += _first_labels(row, [model.facts(t)[0] for t in row], model.phrases)
-        model.names = fewer
-        info = [model.features(t) for t in (START, *row, END)]
-        for i in range(1, len(info) - 1):
-            before, own, after = info[i - 1], info[i], info[i + 1]
-            names_ = [*own[0], *before[1], *after[2], f"b:{before[3]}|{own[3]}", f"f:{own[3]}|{after[3]}"]
-            feats.append([place.setdefault(f, len(place)) for f in names_])
-    model.names = everyone
-    if not feats:
-        return model
-    x, y = np.array(feats, dtype=np.int64), np.array(labels, dtype=float)
-    # A feature seen less than three times says nothing.
-    counts = np.bincount(x.ravel(), minlength=len(place))
-    x = np.where(counts[x] >= 3, x, -1)
-    # Equal rows with equal labels count once, with their number as weight.
-    both, times = np.unique(np.column_stack([x, y.astype(np.int64)]), axis=0, return_counts=True)
-    x, y = both[:, :-1], both[:, -1].astype(float)
-    for turn in range(2):
-        sure = y >= 0
-        if not sure.any():
-            return model
-        w = logistic(x[sure], y[sure], len(place), times[sure] * (1000 / times[sure].sum()), steps, 0.25, 1e-4)
-        if turn == 0:
-            z = np.concatenate([w, [0.0]])[x].sum(1)
-            y = np.where(y >= 0, y, np.where(z > 2, 1.0, np.where(z < -2, 0.0, -1.0)))
-    model.weights = {f: float(w[i]) for f, i in place.items() if w[i] != 0.0}
+        info = [ids[t] for t in (START, *row, END)]
+        seen.update(zip(info, info[1:], info[2:], _first_labels(row, [kinds[t] for t in row], model.phrases)))
+    told = list(numbers)
+    out: Counter = Counter()
+    for (i, j, k, label), n in seen.items():
+        before, own, after = told[i], told[j], told[k]
+        out[f"{own[0]}{PART}{before[1]}{PART}{after[2]}{PART}b:{before[3]}|{own[3]}{PART}f:{own[3]}|{after[3]}", int(label)] += n
+    return out
+
+
+def numbered(rows: Mapping[tuple[str, int], int], place: Mapping[str, int]) -> Counter:
+    """Rows of features as numbers; those of no number say nothing, and rows that become equal count together."""
+    out: Counter = Counter()
+    for (features, label), n in rows.items():
+        out[np.array([place.get(f, 0) for f in features.split(PART)], dtype=np.int32).tobytes(), label] += n
+    return out
+
+
+def block_of(rows: Iterable[tuple[bytes, int, int]]) -> Block:
+    """Numbered rows, their labels and numbers as arrays, in an order of their own."""
+    held = sorted((bytes(k), label, n) for k, label, n in rows)
+    x = np.frombuffer(b"".join(k for k, _, _ in held), dtype=np.int32).reshape(len(held), -1).astype(np.intp)
+    return x, np.array([r[1] for r in held], dtype=float), np.array([r[2] for r in held], dtype=float)
+
+
+def learn_weights(model: NameModel, place: Mapping[str, int], total: Callable, steps: int = 80) -> None:
+    """The tagger's weights from labels, and once more with its own sure answers."""
+    w = logistic(total, len(place), 1000, steps, 0.25, 1e-4)
+    if w is not None:
+        w = logistic(total, len(place), 1000, steps, 0.25, 1e-4, w)
+        model.weights = {f: float(w[i]) for f, i in place.items() if w[i] != 0.0}
     model.memo.clear()
-    return model
 
 
-def _set_phrases(rows: list[list[str]], names: dict[str, int], least: int = 5) -> frozenset[tuple[str, str]]:
-    """Pairs of a word and one that no column holds, in which a good share of the word's places lie."""
-    seen: dict[str, int] = {}
-    follow: dict[tuple[str, str], int] = {}
-    for row in rows:
-        for a, b in zip(row, row[1:]):
-            if a[0].isalpha():
-                seen[_fold(a)] = seen.get(_fold(a), 0) + 1
-                if b[0].isalpha() and _fold(b) not in names and _fold(b) not in PARTICLES and b[0].isupper() == a[0].isupper() or b.islower():
-                    follow[_fold(a), _fold(b)] = follow.get((_fold(a), _fold(b)), 0) + 1
-    return frozenset((a, b) for (a, b), n in follow.items() if a in names and b[0].isalpha() and n >= least and n >= SET_SHARE * seen[a])
+def fit(names: list[str], texts: list[str], steps: int = 80, path: str = TOKENIZER) -> NameModel:
+    """A model from values of name columns and texts whose other mentions are masked."""
+    model = base_model(Counter(w for value in set(names) for w in name_words(value)), path)
+    rows = [[t for t, _, _ in tokens_of(x)] for x in texts]
+    learn_texts(model, text_counts(rows, model.names), len(rows))
+    found = training_rows(rows, model)
+    if found:
+        seen: Counter = Counter()
+        for (features, _), n in found.items():
+            for f in features.split(PART):
+                seen[f] += n
+        place = {f: i for i, f in enumerate(sorted(f for f, n in seen.items() if n >= LEAST_SEEN), 1)}
+        learn_weights(model, place, total_of(blocks_of(*block_of((*k, n) for k, n in numbered(found, place).items()))), steps)
+    return model
 
 
 def _first_labels(row: list[str], kinds: list[str], phrases: frozenset) -> list[float]:

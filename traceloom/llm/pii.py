@@ -24,14 +24,20 @@ import hashlib
 import hmac
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traceloom.llm.name_model import NAME_ROWS, TEXT_ROWS, TITLES, NameModel, fit
+from traceloom.llm.name_model import (
+    LEAST_SEEN, PART, TITLES, NameModel, base_model, block_of, blocks_of, learn_texts, learn_weights, name_words, numbered, set_least, text_counts, tokens_of, total_of,
+    training_rows,
+)
+from traceloom.session import cut
 
 EMAIL, PHONE, ID_NUMBER, ADDRESS, NAME = "EMAIL", "PHONE", "ID_NUMBER", "ADDRESS", "NAME"
 #: Masks of what has been found, by type, for the grammars that follow.
@@ -348,20 +354,72 @@ def redact(text: str, key: bytes, model: NameModel, dates: bool = False) -> tupl
 MENTIONS = "row_key long, pii_type string, char_start long, char_end long, mention string"
 
 
+#: Keys that a task counts before it hands them on; rows of features up to which the driver sums them.
+HELD, AT_HAND = 200_000, 1_000_000
+
+
+def _counted(df: DataFrame, count: Callable[[pd.DataFrame], Counter], keys: str) -> DataFrame:
+    """(keys, n): what ``count`` tells of all batches, added up by its keys."""
+    names = [c.split()[0] for c in keys.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: Counter = Counter()
+
+        def out() -> pd.DataFrame:
+            return pd.DataFrame([(*(k if isinstance(k, tuple) else (k,)), n) for k, n in held.items()], columns=[*names, "n"])
+
+        for batch in batches:
+            held.update(count(batch))
+            if len(held) > HELD:
+                yield out()
+                held.clear()
+        yield out()
+
+    return df.mapInPandas(run, f"{keys}, n long").groupBy(*names).agg(F.sum("n").alias("n"))
+
+
 def fit_names(names: DataFrame, texts: DataFrame) -> NameModel:
-    """A name model from one column of names and one of texts.
+    """A name model from one column of names and one of texts, from all their distinct values.
 
-    Fitted on a sample of at most about NAME_ROWS distinct names and TEXT_ROWS
-    distinct texts of more than one word, chosen by hash, so the same in every run.
+    Counts are aggregates over all names and all texts of more than one word. Words that
+    texts use in lower case, those of names, and features come to the driver, as the model
+    holds them. Equal rows of features are one row; up to AT_HAND of them are summed on
+    the driver, more of them by tasks, once a step.
     """
-    def sample(df: DataFrame, most: int) -> list[str]:
-        df = df.toDF("x").where("x IS NOT NULL AND x <> ''")
-        n = df.count()
-        share = F.pmod(F.xxhash64("x"), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, most / max(1, n))))
-        return sorted(r[0] for r in df.where(share).distinct().collect())
-
-    many = texts.toDF("x").where(F.col("x").contains(" "))
-    return fit(sample(names, NAME_ROWS), [numbers_and_places(t)[1] for t in sample(many, TEXT_ROWS)])
+    spark = names.sparkSession
+    values = names.toDF("x").where("x IS NOT NULL AND x <> ''").distinct()
+    held = _counted(values, lambda b: Counter(w for v in b["x"] for w in name_words(v)), "w string")
+    model = base_model({r.w: r.n for r in held.collect()})
+
+    def masked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"x": [PART.join(t for t, _, _ in tokens_of(numbers_and_places(x)[1])) for x in batch["x"]]})
+
+    many = cut(texts.toDF("x").where(F.col("x").contains(" ")).distinct().mapInPandas(masked, "x string"))
+    n_texts = many.count()
+    rows_of = lambda batch: (x.split(PART) for x in batch["x"] if x)
+    known = spark.sparkContext.broadcast(model)
+    seen = cut(_counted(many, lambda b: text_counts(rows_of(b), known.value.names), "kind string, w string"))
+    # Of words, those that stand in lower case somewhere; of pairs, the frequent ones.
+    small = seen.where("kind = 'l'").select("w")
+    told = seen.where((F.col("kind") != "w") & ((F.col("kind") != "f") | (F.col("n") >= set_least(n_texts)))).unionByName(seen.where("kind = 'w'").join(small, "w", "left_semi"))
+    learn_texts(model, {(r.kind, r.w): r.n for r in told.collect()}, n_texts)
+    known = spark.sparkContext.broadcast(model)
+    found = cut(_counted(many, lambda b: training_rows(rows_of(b), known.value), "features string, label int"))
+    each = found.select(F.explode(F.split("features", PART)).alias("f"), "n").groupBy("f").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_SEEN)
+    place = {f: i for i, f in enumerate(sorted(r.f for r in each.collect()), 1)}
+    if not place:
+        return model
+    numbers = spark.sparkContext.broadcast(place)
+    small_rows = cut(_counted(
+        found, lambda b: numbered({(f, k): n for f, k, n in zip(b["features"], b["label"], b["n"])}, numbers.value), "features binary, label int"))
+    if small_rows.count() <= AT_HAND:
+        learn_weights(model, place, total_of(blocks_of(*block_of(small_rows.collect()))))
+        return model
+    parts = small_rows.rdd.mapPartitions(lambda rs: iter([list(rs)])).filter(len).map(block_of).persist(StorageLevel.MEMORY_AND_DISK)
+    learn_weights(model, place, lambda tell: parts.map(tell).treeReduce(lambda a, b: a + b))
+    parts.unpersist()
+    return model
 
 
 def mentions(df: DataFrame, key: str, text: str, model: NameModel) -> DataFrame:
