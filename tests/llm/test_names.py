@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from traceloom.llm.metric_join import radius_pairs
 from traceloom.llm import name_variants
 from traceloom.llm.name_variants import keyed_rows, names_agree, people_of, variant_links
-from traceloom.llm.people import birth_date, birth_parts, mailbox, name_tokens, phone
+from traceloom.llm.people import birth_date, birth_parts, mailbox, name_tokens, people_rows, phone
 
 
 def lev(a, b):
@@ -109,3 +109,15 @@ def test_every_mailbox_is_a_proof_and_cells_are_reported(spark):
     got = {frozenset((ids[r.a], ids[r.b])) for r in variant_links(df, report=report).collect()}
     assert frozenset(("K1", "K2")) in got
     assert [r["level"] for r in report] == list(range(len(report))) and len(report) > 1 and report[1]["cells"] > 1
+
+
+def test_evidence_parses_a_name_once_and_is_shuffled_once(spark):
+    df = spark.createDataFrame([("K1", "Ann Lark", "1990-01-02", "ann.lark@a.org"), ("K2", "Ann Lark", "1990-01-02", None), ("K3", "Ann", "1990-01-02", "ann.lark@a.org")], "id string, name string, born string, mail string")
+    known = name_variants.held_evidence(people_rows(df, "id", ["name"], "born", ["mail"]))
+    plan = known._jdf.queryExecution()
+    assert plan.optimizedPlan().toString().count("split(regexp_replace") == 1
+    assert plan.executedPlan().toString().count("Exchange hashpartitioning") == 1
+    # One holder for both keys of the date, another proof for the mailbox; a single token is no name.
+    rows = known.collect()
+    assert len(rows) == 3 and len({r.key for r in rows}) == 2
+    assert sum(r.key != r.holder for r in rows) == 1 and len({(r.proof, r.name, r.holder) for r in rows}) == 2
