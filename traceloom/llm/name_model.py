@@ -97,6 +97,11 @@ def tokens_of(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def token_texts(text: str) -> list[str]:
+    """The tokens of ``tokens_of`` without their places."""
+    return [t[:-2] if t[-1] == "s" and len(t) > 2 and t[0].isalpha() and _OWNED.search(t) else t for t in TOKEN.findall(text)]
+
+
 def _gram_ids(token: str) -> list[int]:
     t = f"^{_fold(token)}$"
     mask = (1 << GRAM_BITS) - 1
@@ -114,34 +119,32 @@ def _gram_ids(token: str) -> list[int]:
 Block = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
-def _labels(block: Block, first: np.ndarray | None) -> np.ndarray:
-    """Labels of a block; those not known are the sure answers of ``first`` weights."""
-    x, y, _ = block
-    if first is None:
-        return y
-    z = first[x].sum(1)
-    return np.where(y >= 0, y, np.where(z > 2, 1.0, np.where(z < -2, 0.0, -1.0)))
+def _sure(block: Block, w: np.ndarray) -> Block:
+    """A block whose labels that are not known are the sure answers of weights."""
+    x, y, times = block
+    z = w[x].sum(1)
+    return x, np.where(y >= 0, y, np.where(z > 2, 1.0, np.where(z < -2, 0.0, -1.0))), times
 
 
-def _gradient(block: Block, w: np.ndarray, first: np.ndarray | None) -> np.ndarray:
-    x, y, times = block[0], _labels(block, first), block[2]
+def _gradient(block: Block, w: np.ndarray) -> np.ndarray:
+    x, y, times = block
     z = w[x].sum(1)
     miss = np.where(y >= 0, times, 0.0) * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
     return np.bincount(x.ravel(), weights=np.repeat(miss, x.shape[1]), minlength=len(w))
 
 
-def logistic(total: Callable[[Callable[[Block], np.ndarray]], np.ndarray], size: int, mass: float, steps: int, rate: float, decay: float = 1e-6, first: np.ndarray | None = None) -> np.ndarray | None:
+def logistic(total: Callable[[Callable[[Block], np.ndarray]], np.ndarray], size: int, mass: float, steps: int, rate: float, decay: float = 1e-6) -> np.ndarray | None:
     """Weights of a logistic regression, the first of none and always 0, by adaptive gradient steps; none without labels.
 
     ``total`` adds up what a function tells of each block of rows, wherever they are;
     weights of the rows are scaled so that they add up to ``mass``.
     """
-    seen_rows = float(total(lambda b: np.where(_labels(b, first) >= 0, b[2], 0.0).sum()))
+    seen_rows = float(total(lambda b: np.where(b[1] >= 0, b[2], 0.0).sum()))
     if not seen_rows:
         return None
     w, seen = np.zeros(size + 1), np.full(size + 1, 1e-8)
     for _ in range(steps):
-        grad = total(lambda b: _gradient(b, w, first)) * (mass / seen_rows) + decay * w  # noqa: B023
+        grad = total(lambda b: _gradient(b, w)) * (mass / seen_rows) + decay * w  # noqa: B023
         seen += grad * grad
         w = w - rate * grad / np.sqrt(seen)
         w[0] = 0.0
@@ -152,9 +155,17 @@ def blocks_of(x: np.ndarray, y: np.ndarray, times: np.ndarray) -> list[Block]:
     return [(x[i:i + BLOCK], y[i:i + BLOCK], times[i:i + BLOCK]) for i in range(0, len(x), BLOCK)]
 
 
-def total_of(blocks: list[Block]) -> Callable:
-    """Sums over blocks that are at hand."""
-    return lambda tell: sum(tell(b) for b in blocks)
+class AtHand:
+    """Blocks on the driver."""
+
+    def __init__(self, blocks: list[Block]):
+        self.blocks = blocks
+
+    def map(self, change: Callable[[Block], Block]) -> AtHand:
+        return AtHand([change(b) for b in self.blocks])
+
+    def total(self, tell: Callable[[Block], np.ndarray]) -> np.ndarray:
+        return sum(tell(b) for b in self.blocks)
 
 
 @dataclass
@@ -433,7 +444,7 @@ def learn_texts(model: NameModel, counts: Mapping[tuple[str, str], int], texts:
             table[i, :len(g)] = np.array(g) + 1
         y = np.array([1.0] * len(people) + [0.0] * len(words))
         weight = np.where(y > 0, 0.5 / len(people), 0.5 / len(words))
-        model.grams = logistic(total_of(blocks_of(table, y, weight)), 1 << GRAM_BITS, len(y), 60, 0.3)[1:]
+        model.grams = logistic(AtHand(blocks_of(table, y, weight)).total, 1 << GRAM_BITS, len(y), 60, 0.3)[1:]
 
 
 def training_rows(rows: Iterable[list[str]], model: NameModel) -> Counter:
@@ -480,11 +491,11 @@ def block_of(rows: Iterable[tuple[bytes, int, int]]) -> Block:
     return x, np.array([r[1] for r in held], dtype=float), np.array([r[2] for r in held], dtype=float)
 
 
-def learn_weights(model: NameModel, place: Mapping[str, int], total: Callable, steps: int = 80) -> None:
+def learn_weights(model: NameModel, place: Mapping[str, int], rows: AtHand, steps: int = 80) -> None:
     """The tagger's weights from labels, and once more with its own sure answers."""
-    w = logistic(total, len(place), 1000, steps, 0.25, 1e-4)
+    w = logistic(rows.total, len(place), 1000, steps, 0.25, 1e-4)
     if w is not None:
-        w = logistic(total, len(place), 1000, steps, 0.25, 1e-4, w)
+        w = logistic(rows.map(lambda b, w=w: _sure(b, w)).total, len(place), 1000, steps, 0.25, 1e-4)
         model.weights = {f: float(w[i]) for f, i in place.items() if w[i] != 0.0}
     model.memo.clear()
 
@@ -501,7 +512,7 @@ def fit(names: list[str], texts: list[str], steps: int = 80, path: str = TOKENIZ
             for f in features.split(PART):
                 seen[f] += n
         place = {f: i for i, f in enumerate(sorted(f for f, n in seen.items() if n >= LEAST_SEEN), 1)}
-        learn_weights(model, place, total_of(blocks_of(*block_of((*k, n) for k, n in numbered(found, place).items()))), steps)
+        learn_weights(model, place, AtHand(blocks_of(*block_of((*k, n) for k, n in numbered(found, place).items()))), steps)
     return model
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from traceloom.llm.name_model import (
-    LEAST_SEEN, PART, TITLES, NameModel, base_model, block_of, blocks_of, learn_texts, learn_weights, name_words, numbered, set_least, text_counts, tokens_of, total_of,
+    LEAST_SEEN, PART, TITLES, AtHand, NameModel, base_model, block_of, blocks_of, learn_texts, learn_weights, name_words, numbered, set_least, text_counts, token_texts,
     training_rows,
 )
 from traceloom.session import cut
@@ -52,6 +52,9 @@ EMAIL_RE = re.compile(
     _LOCAL.format(1) + rf"{_AT}[\w-]++(?:{_DOT}[\w-]++)+(?![\w.]*+@))|" + _LOCAL.format(2) + r"\s+at\s+[\w-]++(?:\s+dot\s+[\w-]++)+)"
 )
 
+#: What every mailbox holds; a test that costs little.
+_MAYBE_MAIL = re.compile(r"[@＠]|[\s(\[{](?i:at)[\s)\]}]")
+
 _TYPES = (
     "Row", "Street", "Lane", "Avenue", "Close", "Crescent", "Terrace", "Road", "Drive", "Way", "Hall", "Court", "Gardens", "Grove", "Place", "Square",
     "Mews", "Hill", "Walk", "Rd", "St", "Ave", "Cres", "Ln", "Dr", "Ter", "Cl",
@@ -109,7 +112,7 @@ def numbers_and_places(text: str) -> tuple[list[tuple[str, int, int]], str]:
         found.extend((kind, a, b) for a, b in spans)
         return _masked(masked, kind, spans) if spans else masked
 
-    if "@" in text or "＠" in text or "at" in text or "AT" in text or "At" in text:
+    if _MAYBE_MAIL.search(text):
         masked = mask(EMAIL, [m.span("m1") if m["m1"] else m.span("m2") for m in EMAIL_RE.finditer(masked)])
     if any(t in text for t in _TYPES):
         masked = mask(ADDRESS, [m.span() for m in ADDRESS_RE.finditer(masked)])
@@ -378,6 +381,16 @@ def _counted(df: DataFrame, count: Callable[[pd.DataFrame], Counter], keys: str)
     return df.mapInPandas(run, f"{keys}, n long").groupBy(*names).agg(F.sum("n").alias("n"))
 
 
+class Spread(AtHand):
+    """Blocks of an RDD."""
+
+    def map(self, change):
+        return Spread(self.blocks.map(change))
+
+    def total(self, tell):
+        return self.blocks.map(tell).treeReduce(lambda a, b: a + b)
+
+
 def fit_names(names: DataFrame, texts: DataFrame) -> NameModel:
     """A name model from one column of names and one of texts, from all their distinct values.
 
@@ -393,7 +406,7 @@ def fit_names(names: DataFrame, texts: DataFrame) -> NameModel:
 
     def masked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"x": [PART.join(t for t, _, _ in tokens_of(numbers_and_places(x)[1])) for x in batch["x"]]})
+            yield pd.DataFrame({"x": [PART.join(token_texts(numbers_and_places(x)[1])) for x in batch["x"]]})
 
     many = cut(texts.toDF("x").where(F.col("x").contains(" ")).distinct().mapInPandas(masked, "x string"))
     n_texts = many.count()
@@ -414,10 +427,10 @@ def fit_names(names: DataFrame, texts: DataFrame) -> NameModel:
     small_rows = cut(_counted(
         found, lambda b: numbered({(f, k): n for f, k, n in zip(b["features"], b["label"], b["n"])}, numbers.value), "features binary, label int"))
     if small_rows.count() <= AT_HAND:
-        learn_weights(model, place, total_of(blocks_of(*block_of(small_rows.collect()))))
+        learn_weights(model, place, AtHand(blocks_of(*block_of(small_rows.collect()))))
         return model
     parts = small_rows.rdd.mapPartitions(lambda rs: iter([list(rs)])).filter(len).map(block_of).persist(StorageLevel.MEMORY_AND_DISK)
-    learn_weights(model, place, lambda tell: parts.map(tell).treeReduce(lambda a, b: a + b))
+    learn_weights(model, place, Spread(parts))
     parts.unpersist()
     return model
 
@@ -429,11 +442,9 @@ def mentions(df: DataFrame, key: str, text: str, model: NameModel) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [
-                (k, kind, a, b, t[a:b])
-                for k, t in zip(batch["row_key"], batch["text"])
-                for kind, a, b in find_mentions(t, held.value)
-            ]
+            # Equal texts of a batch are read once.
+            found = {t: find_mentions(t, held.value) for t in set(batch["text"])}
+            rows = [(k, kind, a, b, t[a:b]) for k, t in zip(batch["row_key"], batch["text"]) for kind, a, b in found[t]]
             yield pd.DataFrame(rows, columns=names)
 
     rows = df.select(F.col(f"`{key}`").cast("long").alias("row_key"), F.col(f"`{text}`").alias("text"))
