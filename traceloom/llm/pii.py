@@ -427,7 +427,8 @@ def fit_names(names: DataFrame, texts: DataFrame) -> NameModel:
     small_rows = cut(_counted(
         found, lambda b: numbered({(f, k): n for f, k, n in zip(b["features"], b["label"], b["n"])}, numbers.value), "features binary, label int"))
     if small_rows.count() <= AT_HAND:
-        learn_weights(model, place, AtHand(blocks_of(*block_of(small_rows.collect()))))
+        columns = small_rows.select("features", "label", "n").toArrow().columns
+        learn_weights(model, place, AtHand(blocks_of(*block_of(zip(*(c.to_pylist() for c in columns))))))
         return model
     parts = small_rows.rdd.mapPartitions(lambda rs: iter([list(rs)])).filter(len).map(block_of).persist(StorageLevel.MEMORY_AND_DISK)
     learn_weights(model, place, Spread(parts))
