@@ -130,7 +130,7 @@ def _gradient(block: Block, w: np.ndarray) -> np.ndarray:
     x, y, times = block
     z = w[x].sum(1)
     miss = np.where(y >= 0, times, 0.0) * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
-    return np.bincount(x.ravel(), weights=np.repeat(miss, x.shape[1]), minlength=len(w))
+    return sum(np.bincount(column, weights=miss, minlength=len(w)) for column in x.T)
 
 
 def logistic(total: Callable[[Callable[[Block], np.ndarray]], np.ndarray], size: int, mass: float, steps: int, rate: float, decay: float = 1e-6) -> np.ndarray | None:
@@ -487,7 +487,7 @@ def numbered(rows: Mapping[tuple[str, int], int], place: Mapping[str, int]) -> C
 def block_of(rows: Iterable[tuple[bytes, int, int]]) -> Block:
     """Numbered rows, their labels and numbers as arrays, in an order of their own."""
     held = sorted((bytes(k), label, n) for k, label, n in rows)
-    x = np.frombuffer(b"".join(k for k, _, _ in held), dtype=np.int32).reshape(len(held), -1).astype(np.intp)
+    x = np.frombuffer(b"".join(k for k, _, _ in held), dtype=np.int32).reshape(len(held), -1).astype(np.intp, order="F")
     return x, np.array([r[1] for r in held], dtype=float), np.array([r[2] for r in held], dtype=float)
 
 
