@@ -121,3 +121,16 @@ def test_evidence_parses_a_name_once_and_is_shuffled_once(spark):
     rows = known.collect()
     assert len(rows) == 3 and len({r.key for r in rows}) == 2
     assert sum(r.key != r.holder for r in rows) == 1 and len({(r.proof, r.name, r.holder) for r in rows}) == 2
+
+
+def test_dates_and_agreement_read_their_values_once(spark):
+    df = spark.createDataFrame([("x", "ann lark", "ann larrk")], "d string, a string, b string")
+    plan = lambda c: df.select(c.alias("c"))._jdf.queryExecution().analyzed().toString()
+    assert plan(birth_date(df.d)).count("RLIKE") == 3
+    assert plan(names_agree(F.split("a", " "), F.split("b", " "))).count("split(") == 2
+    cases = {
+        "1990-05-04": "19900504", "19900504": "19900504", " 1990-05-04T10:00": "19900504", "1900-12-31": None, "1901-01-01": "19010101", "04/05/1990": "19900504",
+        "4.5.1990": "19900504", "1/1/1900": None, "4 May 1990": "19900504", "14 SEPT 1990": "19900914", "4 Foo 1990": None, "4 May 1900": None, "May 1990": None, "1990": None, None: None,
+    }
+    dates = spark.createDataFrame([(k,) for k in cases], "d string")
+    assert {r.d: r.t for r in dates.select("d", birth_date(dates.d).alias("t")).collect()} == cases
