@@ -187,3 +187,17 @@ def test_a_model_counts_every_name_and_every_text(spark, monkeypatch):
     spread = fit_names(names, said)
     assert spread.weights.keys() == model.weights.keys()
     assert all(abs(w - model.weights[f]) < 1e-6 for f, w in spread.weights.items())
+
+
+def test_each_token_is_looked_up_once(monkeypatch):
+    from traceloom.llm.name_model import TOKEN, NameModel, base_model, tokens_of
+
+    calls = []
+    known = NameModel.known
+    monkeypatch.setattr(NameModel, "known", lambda self, token: calls.append(token) or known(self, token))
+    text = "Ann's _x_ note__1 ½ l’Ann A. Lark,\n\nMr  Lark's s's"
+    base_model({"ann": 3, "lark": 3}).spans(text)
+    assert len(calls) == len(tokens_of(text)) + 2
+    # Places are those of the grammar, whatever lies between the tokens.
+    assert [a for _, a, _ in tokens_of(text)] == [m.start() for m in TOKEN.finditer(text)]
+    assert all(text[a:b] == t for t, a, b in tokens_of(text))

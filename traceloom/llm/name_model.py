@@ -88,10 +88,12 @@ def shape_of(token: str) -> str:
 
 def tokens_of(text: str) -> list[tuple[str, int, int]]:
     """(token, start, end); an owner's ``'s`` is left out of its token."""
-    out = []
-    for m in TOKEN.finditer(text):
-        t, a, b = m.group(), m.start(), m.end()
-        if t[0].isalpha() and len(t) > 2 and t[-1] == "s" and _OWNED.search(t):
+    out, at = [], 0
+    for t in TOKEN.findall(text):
+        # Only blanks and underscores lie between tokens, so the next place of a token is its own.
+        a = text.find(t, at)
+        at = b = a + len(t)
+        if t[-1] == "s" and len(t) > 2 and t[0].isalpha() and _OWNED.search(t):
             t, b = t[:-2], b - 2
         out.append((t, a, b))
     return out
@@ -219,12 +221,14 @@ class NameModel:
         usual = self.vocabulary.get(word, "0")
         return [f"o:{kind}", f"w:{word}", f"v:{usual}{kind[:2]}"], [f"pc:{kind}", f"p:{word}", f"ps:{kind[:1]}"], [f"nc:{kind}", f"n:{word}", f"ns:{kind[:1]}"], kind
 
-    def known(self, token: str) -> tuple[float, float, float, str]:
+    def known(self, token: str) -> tuple[float, float, float, str, str, bool]:
+        """Sums for a token itself, as the one before, and as the one after; its class; its plain form; whether it is usually in lower case."""
         got = self.memo.get(token)
         if got is None:
             own, before, after, kind = self.features(token)
             w = self.weights
-            got = tuple(sum(w.get(f, 0.0) for f in fs) for fs in (own, before, after)) + (kind,)
+            low = _fold(token)
+            got = tuple(sum(w.get(f, 0.0) for f in fs) for fs in (own, before, after)) + (kind, low, self.vocabulary.get(low) == "w")
             if len(self.memo) > 400_000:
                 self.memo.clear()
             self.memo[token] = got
@@ -238,7 +242,10 @@ class NameModel:
         return got
 
     def scores(self, tokens: list[str]) -> list[float]:
-        rows = [self.known(t) for t in (START, *tokens, END)]
+        return self._scores(tokens, [self.known(t) for t in (START, *tokens, END)])
+
+    def _scores(self, tokens: list[str], rows: list[tuple]) -> list[float]:
+        """Scores of tokens from what is known of each, and of a start and an end."""
         out = []
         for i in range(1, len(rows) - 1):
             before, own, after = rows[i - 1], rows[i], rows[i + 1]
@@ -248,13 +255,13 @@ class NameModel:
                 continue
             titled = before[3] == "title" or (i > 1 and tokens[i - 2] == "." and rows[i - 2][3] == "title")
             # An ordinary word in lower case that no column of names holds.
-            if kind[:2] == "l0" and self.vocabulary.get(_fold(tokens[i - 1])) == "w":
+            if kind[:2] == "l0" and own[5]:
                 out.append(-9.0)
                 continue
             if i < len(tokens) and tokens[i] in PLACES and kind[0] in "CU":
                 out.append(-9.0)
                 continue
-            if self.phrases and (_fold(tokens[i - 1]), _fold(tokens[i]) if i < len(tokens) else END) in self.phrases:
+            if self.phrases and (own[4], after[4]) in self.phrases:
                 out.append(-9.0)
                 continue
             if titled and kind[0] in "CUi":
@@ -269,8 +276,8 @@ class NameModel:
         if not any(t[0].isalpha() for t, _, _ in found):
             return []
         tokens = [t for t, _, _ in found]
-        marks = self.scores(tokens)
-        return _runs(text, found, marks, [self.known(t)[3] for t in tokens])
+        rows = [self.known(t) for t in (START, *tokens, END)]
+        return _runs(text, found, self._scores(tokens, rows), [r[3] for r in rows[1:-1]])
 
 
 def _runs(text: str, found: list[tuple[str, int, int]], marks: list[float], kinds: list[str]) -> list[tuple[int, int]]:
@@ -520,7 +527,7 @@ def _first_labels(row: list[str], kinds: list[str], phrases: frozenset) -> list[
     """1 name, 0 none, -1 not known, of each token of a text."""
     held = [k[0] in "UClx" and len(k) == 4 and k[1] in "123" for k in kinds]
     for i in range(len(row) - 1):
-        if (_fold(row[i]), _fold(row[i + 1])) in phrases:
+        if held[i] and (_fold(row[i]), _fold(row[i + 1])) in phrases:
             held[i] = False
     # A lower-case token that texts mostly write so is a word first.
     strong = [h and not (k[0] == "l" and k[2] in "34") for h, k in zip(held, kinds)]

@@ -75,7 +75,8 @@ ADDRESS_RE = re.compile(
 
 #: Person numbers by their published formats; check digits where there are any.
 ID_RE = re.compile(
-    r"(?<![\w-])(?:"
+    # What every kind begins with, so that other words cost one test and not one a kind.
+    r"(?<![\w-])(?=[A-Z]{0,5}+[ -]?\d|CAS-|passport)(?:"
     r"(?:STU|STA|EXT)[ -]?\d{6,10}"
     r"|CAS-[A-Z]{2}-\d{5,9}"
     r"|(?P<nino>[A-Z]{2} ?\d{2} ?\d{2} ?\d{2} ?[A-D])"
@@ -87,6 +88,7 @@ ID_RE = re.compile(
     r")(?![\w]|-\d)",
     re.I,
 )
+_DIGIT = re.compile(r"\d")
 PHONE_RE = re.compile(r"(?<![\w.+/£-])(?:\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?|00\d{2}[ .-]?(?:\(0\)[ .-]?)?|\(0|0)\(?\d(?:[ .()-]{0,2}\d){7,11}(?![\d/])")
 
 
@@ -116,7 +118,7 @@ def numbers_and_places(text: str) -> tuple[list[tuple[str, int, int]], str]:
         masked = mask(EMAIL, [m.span("m1") if m["m1"] else m.span("m2") for m in EMAIL_RE.finditer(masked)])
     if any(t in text for t in _TYPES):
         masked = mask(ADDRESS, [m.span() for m in ADDRESS_RE.finditer(masked)])
-    if any(c.isdigit() for c in text):
+    if _DIGIT.search(text):
         ids = []
         for m in ID_RE.finditer(masked):
             nhs = m.group("nhs")
