@@ -3,8 +3,9 @@
 import math
 import random
 
+from traceloom.llm import components as module
 from traceloom.llm.cluster_links import cluster_tokens
-from traceloom.llm.components import BETA, STEPS_AT_ONCE, components, groups, star_edges
+from traceloom.llm.components import BETA, STEPS_AT_ONCE, components, groups, hooked_components, star_edges
 
 
 def brute(pairs):
@@ -51,6 +52,23 @@ def test_vertices_of_any_degree(spark):
         assert set(roots) == set(want) and len({(roots[v], want[v]) for v in want}) == len(set(want.values())) == len(set(roots.values()))
 
 
+def test_hooked_first(spark, monkeypatch):
+    """Pairs and stars end before the decomposition, which gets the rest; any degree, dirty edges."""
+    rng = random.Random(11)
+    pairs = [(i, i + 1) for i in range(0, 60)] + [(900, i) for i in range(901, 1100)] + [(2000 + rng.randrange(300), 2000 + rng.randrange(300)) for _ in range(200)]
+    dirty = pairs + [(7, 7), (None, 3), (1, 0), (0, 1), (5000, 5000)]
+    want = {v: r for v, r in brute(dirty).items() if v != 5000}
+    for least in (1, 10**6):
+        roots = {r.vertex: r.root for r in hooked_components(spark.createDataFrame(dirty, "a long, b long"), hot_least=least).collect()}
+        assert {v for v in want if sum(want[v] == x for x in want.values()) > 1} == set(roots)
+        assert len({(roots[v], want[v]) for v in roots}) == len({want[v] for v in roots}) == len(set(roots.values()))
+    left, whole = [], module.components
+    monkeypatch.setattr(module, "components", lambda edges, **k: left.append(edges.count()) or whole(edges, **k))
+    stars = [(0, i) for i in range(1, 50)] + [(100 + 2 * i, 101 + 2 * i) for i in range(50)]
+    assert hooked_components(spark.createDataFrame(stars, "a long, b long")).count() == 150 and left == [0]
+    assert hooked_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_empty(spark):
     assert groups(spark.createDataFrame([], "a long, b long")).count() == 0
 

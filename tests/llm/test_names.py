@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from traceloom.llm.metric_join import radius_pairs
-from traceloom.llm import name_variants
+from traceloom.llm import metric_join, name_variants
 from traceloom.llm.name_variants import keyed_rows, names_agree, people_of, variant_links
 from traceloom.llm.people import birth_date, birth_parts, mailbox, name_tokens, people_rows, phone
 
@@ -134,3 +134,40 @@ def test_dates_and_agreement_read_their_values_once(spark):
     }
     dates = spark.createDataFrame([(k,) for k in cases], "d string")
     assert {r.d: r.t for r in dates.select("d", birth_date(dates.d).alias("t")).collect()} == cases
+
+
+def test_proof_of_few_names_is_one_cell(spark):
+    """Names of a proof that few share are compared as they are: one cell, where their objects made many."""
+    schema = "key string, tokens array<string>, dob string, mails array<string>"
+    rows = [("K1", ["ann", "lark"], None, ["shared"]), ("K2", ["ann", "larrk"], None, ["shared"]), ("K3", ["bob", "stone"], None, ["shared"]), ("K4", ["ann", "lark"], None, ["other"])]
+    report = []
+    df = spark.createDataFrame(rows, schema)
+    ids = {r.h: r.key for r in df.select("key", F.xxhash64("key").alias("h")).collect()}
+    assert [{ids[r.a], ids[r.b]} for r in variant_links(df, report=report).collect()] == [{"K1", "K2"}]
+    assert [tuple(r.values()) for r in report] == [(0, 2, 4, 3)]
+
+
+def test_few_names_link_as_their_objects_do(spark, monkeypatch):
+    rng = random.Random(5)
+    given = ["ann", "anne", "a", "bella", "arabella", "trixie", "beatrix", "rose", "rsoe", "jo", "ed", "edward", "ted", "liz", "betty"]
+    family = ["lark", "larrk", "lerk", "stone", "st", "bark", "al", "wenquist", "wenqiust", "l", "s"]
+    rows = []
+    for i in range(240):
+        tokens = sorted({rng.choice(given), rng.choice(family)} | ({rng.choice(given + family)} if rng.random() < 0.3 else set()))
+        rows.append((f"K{rng.randrange(200)}", tokens, None if i % 3 else f"1990{i // 6:04d}", [f"mail{i // 6}"]))
+    df = spark.createDataFrame(rows, "key string, tokens array<string>, dob string, mails array<string>")
+    direct = {tuple(r) for r in variant_links(df).collect()}
+    monkeypatch.setattr(metric_join, "SENT", 0)
+    assert {tuple(r) for r in variant_links(df).collect()} == direct
+    # As many crowded proofs as there are, so that all names are compared by their objects.
+    monkeypatch.setattr(name_variants, "CELL", 0)
+    assert {tuple(r) for r in variant_links(df).collect()} == direct and len(direct) > 20
+
+
+def test_capitals_and_tags(spark):
+    names = {"annLark": ["ann", "lark"], "McLark": ["mclark"], "MacLark": ["maclark"], "AnnMcLark": ["ann", "lark", "mc"], "lMcLark": ["l", "lark", "mc"], "ANN": ["ann"], "aB": ["a", "b"]}
+    df = spark.createDataFrame([(k,) for k in names], "n string")
+    assert {r.n: r.t for r in df.select("n", name_tokens(df.n).alias("t")).collect()} == names
+    mails = {"+x@y": None, "@y": None, "a+b+c@x": "a", "A@x@y": "a", "a": None, "a+b": None, "a+b\nc@x": "a+b\nc", None: None}
+    df = spark.createDataFrame([(k,) for k in mails], "m string")
+    assert {r.m: r.t for r in df.select("m", mailbox(df.m).alias("t")).collect()} == mails
